@@ -78,8 +78,17 @@ EVENT_COLUMNS_SQL = "event_id, epoch_us(ts) AS ts_us, user_id, event_type, value
 PAGE_SQL = f"CAST(event_id // {PAGE_SIZE} + 1 AS INTEGER)"
 
 
+TABLE_SCHEMAS = {
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "region": "r_regionkey INT, r_name STRING",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, "
+    "props STRING",
+}
+
+
 def table(spark, sf_dir, name):
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def entity(spark, sf_dir):
@@ -162,23 +171,30 @@ def loose_pages(spark, sf_dir):
 
 
 def paged_folder(spark, pages):
-    """Store pages as ``page=N`` folders; returns the fetch that reads one of them.
+    """Store pages in shelves of 100; returns the fetch that reads one page.
 
     It stands in for a remote collection. A page that is not there is empty.
     """
     folder = scratch_dir(spark, "pages")
-    pages.write.partitionBy("page").text(folder)
+    shelf = F.expr("page DIV 100").alias("shelf")
+    shelved = pages.select("page", "payload", shelf).hint("rebalance", "shelf")
+    shelved.write.partitionBy("shelf").parquet(folder)
 
     def fetch(page):
-        from pyarrow import fs
+        from pyarrow import fs, parquet
 
         store, root = fs.FileSystem.from_uri(folder)
-        found = store.get_file_info(fs.FileSelector(f"{root}/page={page}", allow_not_found=True))
-        files = [f.path for f in found if f.base_name.startswith("part-")]
+        found = store.get_file_info(
+            fs.FileSelector(f"{root}/shelf={page // 100}", allow_not_found=True)
+        )
         texts = []
-        for path in files:
-            with store.open_input_stream(path) as stream:
-                texts.append(stream.read().decode("utf-8"))
-        return "".join(texts).strip()
+        for file in found:
+            if file.base_name.startswith("part-"):
+                rows = parquet.read_table(
+                    file.path, columns=["payload"], filters=[("page", "=", page)],
+                    filesystem=store, partitioning=None,
+                )
+                texts += rows["payload"].to_pylist()
+        return texts[0] if texts else "[]"
 
     return fetch

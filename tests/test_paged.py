@@ -1,0 +1,124 @@
+"""The paged source: ranges, cap, end, retries."""
+
+import json
+
+import pytest
+from pyspark.errors import PythonException
+
+from tests.pages import DATE, record, text_of
+from tierlake.layout import Layout
+from tierlake.sinks import land_pages
+from tierlake.sources import paged_source, read_bronze, read_pages, scan_pages, url_fetch
+
+QUICK = {"pause_sec": 0, "backoff_sec": 0}
+
+
+def collection(pages):
+    """Fetch over texts; a page past the end is empty."""
+    texts = [text_of(p) for p in pages]
+
+    def fetch(page):
+        return texts[page - 1] if page <= len(texts) else "[]"
+
+    return fetch
+
+
+def landed(spark, folder, fetch, **options):
+    layout = Layout(str(folder), "items")
+    land_pages(scan_pages(spark, fetch, **QUICK, **options), layout, DATE)
+    return {r["page"]: r["payload"] for r in read_pages(spark, layout, DATE).collect()}
+
+
+def pages_of(count):
+    return [[record(f"{n}-a"), record(f"{n}-b", name="Ärger ☃")] for n in range(1, count + 1)]
+
+
+def test_payload_is_kept_as_received(spark, tmp_path):
+    texts = ['[ {"id" : "1"} ]', '[{"id":"2","name":"Ärger ☃"}]']
+    got = landed(spark, tmp_path, collection(texts), total_pages=2)
+    assert got == {1: texts[0], 2: texts[1]}
+
+
+def test_one_range_per_task(spark):
+    reader = paged_source(collection([]))({}).reader(None)
+    with pytest.raises(ValueError, match="total_pages or max_pages"):
+        reader.partitions()
+
+    def ranges(**options):
+        made = paged_source(collection([]))({k: str(v) for k, v in options.items()})
+        return [(p.first, p.last) for p in made.reader(None).partitions()]
+
+    assert ranges(total_pages=7, pages_per_task=3) == [(1, 3), (4, 6), (7, 7), (8, None)]
+    assert ranges(total_pages=7, pages_per_task=3, max_pages=4) == [(1, 3), (4, 4)]
+    assert ranges(total_pages=2, max_pages=4) == [(1, 2), (3, 4)]
+    assert ranges(max_pages=2, start_page=5) == [(5, 6)]
+    assert ranges(total_pages=0) == [(1, None)]
+    assert ranges(total_pages=3, start_page=9) == [(9, None)]
+    assert len(ranges(total_pages=100_000_000)) == 10_001
+
+
+def test_tasks_cover_all_pages(spark, tmp_path):
+    pages = pages_of(7)
+    got = landed(spark, tmp_path, collection(pages), total_pages=7, pages_per_task=2)
+    assert got == {n: text_of(p) for n, p in enumerate(pages, start=1)}
+
+
+def test_pages_past_the_known_total_are_not_lost(spark, tmp_path):
+    got = landed(spark, tmp_path, collection(pages_of(6)), total_pages=3)
+    assert sorted(got) == [1, 2, 3, 4, 5, 6]
+
+
+def test_fewer_pages_than_announced(spark, tmp_path):
+    got = landed(spark, tmp_path, collection(pages_of(2)), total_pages=5, pages_per_task=1)
+    assert sorted(got) == [1, 2]
+
+
+def test_page_cap(spark, tmp_path):
+    assert sorted(landed(spark, tmp_path, collection(pages_of(6)), max_pages=4)) == [1, 2, 3, 4]
+
+
+@pytest.mark.parametrize("empty", ["[]", " [ ] ", "null", "", "{}"])
+def test_first_empty_page_ends_the_collection(spark, tmp_path, empty):
+    pages = [*pages_of(2), empty, *pages_of(2)]
+    got = landed(spark, tmp_path, collection(pages), total_pages=5, pages_per_task=1)
+    assert sorted(got) == [1, 2]
+
+
+def test_python_objects_become_json(spark, tmp_path):
+    got = landed(spark, tmp_path, lambda page: [{"id": "ü"}] if page == 1 else None, total_pages=1)
+    assert got == {1: '[{"id": "ü"}]'}
+
+
+def test_retry_until_success(spark, tmp_path):
+    marker = str(tmp_path / "attempts")
+
+    def flaky(page):
+        with open(marker, "a+") as log:
+            log.write("x")
+            log.seek(0)
+            attempt = len(log.read())
+        if attempt < 3:
+            raise OSError("not yet")
+        return json.dumps([{"id": "1"}])
+
+    assert sorted(landed(spark, tmp_path, flaky, max_pages=1)) == [1]
+    assert (tmp_path / "attempts").read_text() == "xxx"
+
+
+def test_last_attempt_raises(spark, tmp_path):
+    def down(page):
+        raise OSError("source is down")
+
+    with pytest.raises(PythonException, match="source is down"):
+        scan_pages(spark, down, max_pages=1, **QUICK).collect()
+
+
+def test_url_fetch(spark, tmp_path):
+    for n, page in enumerate([*pages_of(2), []], start=1):
+        (tmp_path / f"page={n}.json").write_text(text_of(page), encoding="utf-8")
+    fetch = url_fetch(f"file://{tmp_path}/page={{page}}.json")
+    layout = Layout(str(tmp_path), "items")
+    land_pages(scan_pages(spark, fetch, total_pages=2, **QUICK), layout, DATE)
+    rows = read_bronze(spark, layout, DATE).collect()
+    assert sorted(r["id"] for r in rows) == ["1-a", "1-b", "2-a", "2-b"]
+    assert {r["name"] for r in rows} == {"n1-a", "n2-a", "Ärger ☃"}

@@ -34,16 +34,18 @@ def scratch_dir(spark, label="scratch"):
 
 
 @contextmanager
-def shuffles_sized_for(spark, rows, rows_per_partition=250_000):
-    """Raise the initial shuffle width to ``rows / rows_per_partition``.
+def shuffles_sized_for(spark, rows, rows_per_partition=1_000_000, most=100_000):
+    """Widen the shuffles in the block to ``rows / rows_per_partition`` partitions.
 
     A window or a rebalance cannot split a shuffle partition that turned out too
     large for memory, but adaptive execution merges those that are too small.
-    So the width is set from the row count and never lowered.
+    So the width follows the row count and is never lowered; beyond ``most``
+    partitions they grow instead, and their sorts spill.
     """
     before = spark.conf.get(INITIAL_PARTITIONS, None)
     current = int(before or spark.conf.get("spark.sql.shuffle.partitions"))
-    spark.conf.set(INITIAL_PARTITIONS, str(max(current, math.ceil(rows / rows_per_partition))))
+    wanted = min(math.ceil(rows / rows_per_partition), most)
+    spark.conf.set(INITIAL_PARTITIONS, str(max(current, wanted)))
     try:
         yield
     finally:

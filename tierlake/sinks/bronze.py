@@ -10,6 +10,10 @@ from tierlake.schemas import BRONZE_PAGE, DATE_COLUMN, META
 from tierlake.sinks.layers import write_snapshot
 from tierlake.sources.bronze import read_pages
 
+# Payloads are large values and Parquet is decoded in batches of rows that never
+# cross a row group, so small row groups bound the memory of a reading task.
+PAYLOAD_OPTIONS = {"parquet.block.size": 16 * 1024 * 1024}
+
 
 def land_pages(pages, layout, date):
     """Replace the page table's snapshot ``date`` by ``pages``, up to the first empty page.
@@ -33,7 +37,7 @@ def land_pages(pages, layout, date):
             F.max(F.when(is_empty, None).otherwise(F.col("page"))).alias("last"),
         )
         kept = observed.where(F.col("n_rows").isNull() | (F.col("n_rows") > 0))
-        write_snapshot(kept, layout.bronze, date)
+        write_snapshot(kept, layout.bronze, date, **PAYLOAD_OPTIONS)
         first_empty, last = seen.get["first_empty"], seen.get["last"]
         if first_empty is None or last is None or last < first_empty:
             return

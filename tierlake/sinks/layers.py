@@ -4,20 +4,20 @@ from tierlake.layout import snapshot_path
 from tierlake.schemas import LOCATION_COLUMNS
 
 
-def write_snapshot(df, root, date, partition_by=(), fmt="parquet"):
+def write_snapshot(df, root, date, partition_by=(), fmt="parquet", **options):
     """Replace the snapshot ``date`` of a layer by ``df``.
 
     Rows are first rebalanced on the partition columns: a partition gets few
     files, and one that holds much of the data is split over several tasks.
     The overwrite is static within the date's folder; a dynamic one would keep
-    partitions that the new data no longer has.
+    partitions that the new data no longer has. ``options`` go to the writer.
     """
     if partition_by:
         df = df.hint("rebalance", *partition_by)
-    writer = df.write.format(fmt).mode("overwrite").partitionBy(*partition_by)
+    writer = df.write.format(fmt).mode("overwrite").options(**options)
     if fmt != "delta":
         writer = writer.option("partitionOverwriteMode", "static")
-    writer.save(snapshot_path(root, date))
+    writer.partitionBy(*partition_by).save(snapshot_path(root, date))
 
 
 def write_silver(df, layout, date):

@@ -1,5 +1,6 @@
 """A paged collection as a Spark data source: every task fetches a range of pages."""
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -30,7 +31,7 @@ def paged_source(fetch, name="paged_json"):
       start_page      first page (1)
       total_pages     pages known from the metadata
       max_pages       cap on the number of pages
-      pages_per_task  pages fetched by one task (50)
+      pages_per_task  pages fetched by one task (50, or more to stay within 10,000 tasks)
       max_retries     attempts per page (3)
       backoff_sec     wait between attempts (20)
       pause_sec       wait between the pages of a task (0.2)
@@ -52,7 +53,7 @@ def paged_source(fetch, name="paged_json"):
             self.start = int(options.get("start_page", 1))
             self.total = options.get("total_pages")
             self.cap = options.get("max_pages")
-            self.step = int(options.get("pages_per_task", 50))
+            self.step = options.get("pages_per_task")
             self.attempts = int(options.get("max_retries", 3))
             self.backoff = float(options.get("backoff_sec", 20))
             self.pause = float(options.get("pause_sec", 0.2))
@@ -64,9 +65,10 @@ def paged_source(fetch, name="paged_json"):
             known = end if self.total is None else int(self.total)
             if end is not None:
                 known = min(known, end)
+            step = int(self.step or max(50, math.ceil(known / 10_000)))
             ranges = [
-                PageRange(first, min(first + self.step - 1, known))
-                for first in range(self.start, known + 1, self.step)
+                PageRange(first, min(first + step - 1, known))
+                for first in range(self.start, known + 1, step)
             ]
             if end is None or end > known:
                 ranges.append(PageRange(max(known + 1, self.start), end))
