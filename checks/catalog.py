@@ -35,13 +35,13 @@ from tierlake.sinks import land_meta, land_pages, load_stats, write_gold, write_
 from tierlake.sources import (
     latest_date,
     latest_date_frame,
+    open_collection,
     page_count,
     read_bronze,
     read_gold,
     read_meta,
     read_quarantine,
     read_silver,
-    scan_pages,
 )
 
 QUERIES = {}
@@ -220,13 +220,17 @@ def _(spark, sf_dir):
 # --- paged source ------------------------------------------------------------
 
 
-def scan_events(spark, pages, **options):
-    fetch = paged_folder(spark, pages)
-    return scan_pages(spark, fetch, pages_per_task=25, pause_sec=0, backoff_sec=0, **options)
+def event_total(spark, sf_dir):
+    return table(spark, sf_dir, "events").count()
 
 
-def event_page_total(spark, sf_dir):
-    return math.ceil(table(spark, sf_dir, "events").count() / PAGE_SIZE)
+def scan_events(spark, pages, total, **options):
+    """Pages of a stand-in for a remote collection that announces ``total`` rows."""
+    scanned, _ = open_collection(
+        spark, paged_folder(spark, pages), lambda: {"total": total}, PAGE_SIZE,
+        pages_per_task=25, pause_sec=0, **options,
+    )
+    return scanned
 
 
 def page_records_of(pages):
@@ -242,28 +246,27 @@ SELECT {PAGE_SQL} AS page, {EVENT_COLUMNS_SQL} FROM events"""
 
 @query("paged_scan", PAGES_SQL)
 def _(spark, sf_dir):
-    total = event_page_total(spark, sf_dir)
-    return page_records_of(scan_events(spark, event_pages(spark, sf_dir), total_pages=total))
+    total = event_total(spark, sf_dir)
+    return page_records_of(scan_events(spark, event_pages(spark, sf_dir), total))
 
 
 @query("page_cap", PAGES_SQL + f"""
 WHERE {PAGE_SQL} <= (SELECT pages // 2 FROM total)""")
 def _(spark, sf_dir):
-    total = event_page_total(spark, sf_dir)
-    pages = scan_events(
-        spark, event_pages(spark, sf_dir), total_pages=total, max_pages=total // 2
-    )
-    return page_records_of(pages)
+    total = event_total(spark, sf_dir)
+    half = math.ceil(total / PAGE_SIZE) // 2
+    return page_records_of(scan_events(spark, event_pages(spark, sf_dir), total, max_pages=half))
 
 
 @query("stop_at_empty", PAGES_SQL + f"""
 WHERE {PAGE_SQL} < (SELECT pages // 2 FROM total)""")
 def _(spark, sf_dir):
-    total = event_page_total(spark, sf_dir)
-    emptied = F.when(F.col("page") == total // 2, "[]").otherwise(F.col("payload"))
+    total = event_total(spark, sf_dir)
+    middle = math.ceil(total / PAGE_SIZE) // 2
+    emptied = F.when(F.col("page") == middle, "[]").otherwise(F.col("payload"))
     remote = event_pages(spark, sf_dir).withColumn("payload", emptied)
     layout = new_layout(spark, "events")
-    land_pages(scan_events(spark, remote, total_pages=total), layout, DATE)
+    land_pages(scan_events(spark, remote, total), layout, DATE)
     return event_rows(read_bronze(spark, layout, DATE, EVENT_SCHEMA), "page")
 
 
@@ -349,7 +352,7 @@ SELECT '{DATE}' AS ingestion_date, count(*) AS total_rows,
 FROM events""")
 def _(spark, sf_dir):
     layout = new_layout(spark, "events")
-    land_meta(spark, {"total": table(spark, sf_dir, "events").count()}, layout, DATE)
+    land_meta(spark, {"total": event_total(spark, sf_dir)}, layout, DATE)
     counted = page_count(read_meta(spark, layout, DATE), PAGE_SIZE)
     return with_date_text(counted, "total_rows", "pages")
 

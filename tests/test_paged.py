@@ -8,7 +8,14 @@ from pyspark.errors import PythonException
 from tests.pages import DATE, record, text_of
 from tierlake.layout import Layout
 from tierlake.sinks import land_pages
-from tierlake.sources import paged_source, read_bronze, read_pages, scan_pages, url_fetch
+from tierlake.sources import (
+    open_collection,
+    paged_source,
+    read_bronze,
+    read_pages,
+    scan_pages,
+    url_fetch,
+)
 
 QUICK = {"pause_sec": 0, "backoff_sec": 0}
 
@@ -113,12 +120,25 @@ def test_last_attempt_raises(spark, tmp_path):
         scan_pages(spark, down, max_pages=1, **QUICK).collect()
 
 
-def test_url_fetch(spark, tmp_path):
+def test_url_fetch_with_metadata(spark, tmp_path):
     for n, page in enumerate([*pages_of(2), []], start=1):
         (tmp_path / f"page={n}.json").write_text(text_of(page), encoding="utf-8")
+    (tmp_path / "meta.json").write_text('{"total": "4"}')
     fetch = url_fetch(f"file://{tmp_path}/page={{page}}.json")
+    fetch_meta = url_fetch(f"file://{tmp_path}/meta.json")
     layout = Layout(str(tmp_path), "items")
-    land_pages(scan_pages(spark, fetch, total_pages=2, **QUICK), layout, DATE)
+    pages, metadata = open_collection(spark, fetch, fetch_meta, per_page=2, **QUICK)
+    assert metadata == {"total": "4"}
+    land_pages(pages, layout, DATE)
     rows = read_bronze(spark, layout, DATE).collect()
     assert sorted(r["id"] for r in rows) == ["1-a", "1-b", "2-a", "2-b"]
     assert {r["name"] for r in rows} == {"n1-a", "n2-a", "Ärger ☃"}
+
+
+def test_without_metadata_a_cap_is_needed(spark, tmp_path):
+    missing = url_fetch(f"file://{tmp_path}/meta.json")
+    with pytest.raises(Exception, match="total_pages or max_pages"):
+        open_collection(spark, collection(pages_of(2)), missing, **QUICK)[0].collect()
+    pages, metadata = open_collection(spark, collection(pages_of(2)), missing, max_pages=5, **QUICK)
+    assert metadata == {}
+    assert sorted(r["page"] for r in pages.where("n_rows > 0").collect()) == [1, 2]

@@ -1,14 +1,17 @@
 """Bronze records to the clean table."""
 
+from pyspark.sql import types as T
+
 from tierlake.operators.clean import cast_doubles, default_location, tidy, trim_strings
 from tierlake.operators.dedup import latest_per_key
-from tierlake.schemas import KEY_COLUMN, NAME_COLUMN, SILVER_COLUMNS, VERSION_COLUMN
+from tierlake.schemas import KEY_COLUMN, NAME_COLUMN, RAW, SILVER_COLUMNS, VERSION_COLUMN
 from tierlake.session import shuffles_sized_for
 from tierlake.sinks.bronze import load_stats
 from tierlake.sinks.layers import write_silver
 from tierlake.sources.bronze import loose_size, read_bronze
 
 LOOSE_RECORD_BYTES = 300
+NEEDED = [*SILVER_COLUMNS, VERSION_COLUMN]
 
 
 def transform(raw, blank_is_null=True, null_key="collapse"):
@@ -17,7 +20,7 @@ def transform(raw, blank_is_null=True, null_key="collapse"):
     Columns that silver does not keep are dropped first, so they are not shuffled.
     """
     order = [c for c in [VERSION_COLUMN] if c in raw.columns] + [NAME_COLUMN]
-    df = tidy(raw, [*SILVER_COLUMNS, VERSION_COLUMN])
+    df = tidy(raw, NEEDED)
     df = default_location(cast_doubles(trim_strings(df)), blank_is_null=blank_is_null)
     return tidy(latest_per_key(df, KEY_COLUMN, order, null_key), SILVER_COLUMNS)
 
@@ -32,6 +35,7 @@ def build(spark, layout, date, loose=False, **options):
         pages, rows = (stats["pages"], stats["rows"]) if stats else (0, 0)
     if not pages:
         raise FileNotFoundError(f"no bronze pages for {date} in {layout.bronze}")
-    raw = read_bronze(spark, layout, date, loose=loose)
+    needed = T.StructType([field for field in RAW if field.name in NEEDED])
+    raw = read_bronze(spark, layout, date, needed, loose)
     with shuffles_sized_for(spark, rows):
         write_silver(transform(raw, **options), layout, date)

@@ -12,7 +12,7 @@ from tierlake.sources.bronze import read_pages
 
 # Payloads are large values and Parquet is decoded in batches of rows that never
 # cross a row group, so small row groups bound the memory of a reading task.
-PAYLOAD_OPTIONS = {"parquet.block.size": 16 * 1024 * 1024}
+PAYLOAD_OPTIONS = {"parquet.block.size": 16 * 1024 * 1024, "compression": "zstd"}
 
 
 def land_pages(pages, layout, date):

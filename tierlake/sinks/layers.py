@@ -14,10 +14,8 @@ def write_snapshot(df, root, date, partition_by=(), fmt="parquet", **options):
     """
     if partition_by:
         df = df.hint("rebalance", *partition_by)
-    writer = df.write.format(fmt).mode("overwrite").options(**options)
-    if fmt != "delta":
-        writer = writer.option("partitionOverwriteMode", "static")
-    writer.partitionBy(*partition_by).save(snapshot_path(root, date))
+    writer = df.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.options(**options).partitionBy(*partition_by).save(snapshot_path(root, date))
 
 
 def write_silver(df, layout, date):

@@ -8,10 +8,17 @@ from tierlake.sources.layers import (
     read_silver,
 )
 from tierlake.sources.meta import fetch_metadata, page_count, read_meta, total_pages
-from tierlake.sources.paged import paged_source, scan_pages, url_fetch
+from tierlake.sources.paged import (
+    open_collection,
+    paged_source,
+    retrying,
+    scan_pages,
+    url_fetch,
+)
 
 __all__ = [
-    "fetch_metadata", "latest_date", "latest_date_frame", "latest_loose_date", "page_count",
-    "paged_source", "parse", "read_bronze", "read_gold", "read_layer", "read_meta", "read_pages",
-    "read_quarantine", "read_silver", "scan_pages", "total_pages", "url_fetch",
+    "fetch_metadata", "latest_date", "latest_date_frame", "latest_loose_date", "open_collection",
+    "page_count", "paged_source", "parse", "read_bronze", "read_gold", "read_layer", "read_meta",
+    "read_pages", "read_quarantine", "read_silver", "retrying", "scan_pages", "total_pages",
+    "url_fetch",
 ]

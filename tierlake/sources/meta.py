@@ -15,7 +15,7 @@ log = logging.getLogger(__name__)
 
 
 def fetch_metadata(fetch):
-    """``fetch()`` as a dict; ``{}`` if it fails, since a run can do without."""
+    """``fetch()`` as a dict; ``{}`` if it fails, since a run can do without it."""
     try:
         body = fetch()
         return json.loads(body) if isinstance(body, (str, bytes)) else body

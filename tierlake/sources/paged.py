@@ -1,17 +1,19 @@
 """A paged collection as a Spark data source: every task fetches a range of pages."""
 
 import math
+import time
 from dataclasses import dataclass
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from tierlake.functions.pages import record_count
+from tierlake.sources.meta import fetch_metadata, total_pages
 
 
 def url_fetch(url, timeout=10):
     """Fetch of ``url.format(page=n)`` as text; any URL the standard library opens."""
 
-    def fetch(page):
+    def fetch(page=None):
         from urllib.request import urlopen
 
         with urlopen(url.format(page=page), timeout=timeout) as response:
@@ -20,6 +22,21 @@ def url_fetch(url, timeout=10):
     return fetch
 
 
+def retrying(fetch, max_retries=3, backoff_sec=20):
+    """``fetch`` with up to ``max_retries`` attempts; the last error is raised."""
+
+    def attempt(*args):
+        for left in reversed(range(max_retries)):
+            try:
+                return fetch(*args)
+            except Exception:
+                if not left:
+                    raise
+                time.sleep(backoff_sec)
+
+    return attempt
+
+
 def paged_source(fetch, name="paged_json"):
     """A data source class that calls ``fetch(page)`` in the executors.
 
@@ -32,8 +49,6 @@ def paged_source(fetch, name="paged_json"):
       total_pages     pages known from the metadata
       max_pages       cap on the number of pages
       pages_per_task  pages fetched by one task (50, or more to stay within 10,000 tasks)
-      max_retries     attempts per page (3)
-      backoff_sec     wait between attempts (20)
       pause_sec       wait between the pages of a task (0.2)
 
     One of ``total_pages`` and ``max_pages`` is needed to lay out the tasks. Should
@@ -54,8 +69,6 @@ def paged_source(fetch, name="paged_json"):
             self.total = options.get("total_pages")
             self.cap = options.get("max_pages")
             self.step = options.get("pages_per_task")
-            self.attempts = int(options.get("max_retries", 3))
-            self.backoff = float(options.get("backoff_sec", 20))
             self.pause = float(options.get("pause_sec", 0.2))
 
         def partitions(self):
@@ -77,14 +90,13 @@ def paged_source(fetch, name="paged_json"):
         def read(self, partition):
             import json
             import re
-            import time
 
             import pyarrow as pa
 
             schema = pa.schema([("page", pa.int32()), ("payload", pa.string())])
             page = partition.first
             while partition.last is None or page <= partition.last:
-                body = self.fetch_page(page)
+                body = fetch(page)
                 if isinstance(body, bytes):
                     body = body.decode("utf-8")
                 elif not isinstance(body, str):
@@ -98,17 +110,6 @@ def paged_source(fetch, name="paged_json"):
                 if partition.last is None or page <= partition.last:
                     time.sleep(self.pause)
 
-        def fetch_page(self, page):
-            import time
-
-            for attempt in range(1, self.attempts + 1):
-                try:
-                    return fetch(page)
-                except Exception:
-                    if attempt == self.attempts:
-                        raise
-                    time.sleep(self.backoff)
-
     class PagedJsonSource(DataSource):
         @classmethod
         def name(cls):
@@ -123,9 +124,25 @@ def paged_source(fetch, name="paged_json"):
     return PagedJsonSource
 
 
-def scan_pages(spark, fetch, name="paged_json", **options):
+def scan_pages(spark, fetch, name="paged_json", max_retries=3, backoff_sec=20, **options):
     """``(page, payload, n_rows)`` of a paged collection; see :func:`paged_source`."""
-    spark.dataSource.register(paged_source(fetch, name))
+    source = paged_source(retrying(fetch, max_retries, backoff_sec), name)
+    spark.dataSource.register(source)
     given = {key: value for key, value in options.items() if value is not None}
     pages = spark.read.format(name).options(**given).load()
     return pages.withColumn("n_rows", record_count("payload"))
+
+
+def open_collection(
+    spark, fetch, fetch_meta=None, per_page=200, total_field="total",
+    max_retries=3, backoff_sec=20, **options,
+):
+    """``(pages, metadata)`` of a collection whose metadata tells its number of rows.
+
+    Without metadata, which is not an error, ``max_pages`` has to bound the scan.
+    """
+    metadata = {}
+    if fetch_meta is not None:
+        metadata = fetch_metadata(retrying(fetch_meta, max_retries, backoff_sec))
+    options.setdefault("total_pages", total_pages(metadata, per_page, total_field))
+    return scan_pages(spark, fetch, max_retries=max_retries, backoff_sec=backoff_sec, **options), metadata
