@@ -399,14 +399,10 @@ def _(spark, sf_dir):
 # --- runs over all layers ----------------------------------------------------
 
 
-def run_entity(spark, layout, records, date=DATE):
-    return run(spark, layout, entity_pages(records), date)
-
-
 @query("medallion_end_to_end", f"WITH {LAYERS_SQL} SELECT {GOLD_LIST} FROM gold")
 def _(spark, sf_dir):
     layout = new_layout(spark, "entity")
-    date = run_entity(spark, layout, entity(spark, sf_dir))
+    date = run(spark, layout, entity_pages(entity(spark, sf_dir)), DATE)
     return read_gold(spark, layout, date).select(*GOLD_FRAME)
 
 
@@ -417,7 +413,7 @@ UNION ALL SELECT 'silver', '{DATE}', count(*) FROM silver
 UNION ALL SELECT 'gold', '{DATE}', count(*) FROM gold""")
 def _(spark, sf_dir):
     layout = new_layout(spark, "entity")
-    run_entity(spark, layout, entity(spark, sf_dir))
+    run(spark, layout, entity_pages(entity(spark, sf_dir)), DATE)
     return with_date_text(layer_counts(spark, layout), "layer", "rows")
 
 
@@ -433,9 +429,9 @@ def _(spark, sf_dir):
     """The second run of a date has older names and no country ASIA; only it remains."""
     layout = new_layout(spark, "entity")
     records = entity(spark, sf_dir)
-    run_entity(spark, layout, records, EARLIER_DATE)
-    run_entity(spark, layout, records, DATE)
     in_asia = F.coalesce(F.trim("country"), F.lit("")) == COUNTRY
     corrected = records.where((F.col("updated_at") == "2024-01-01") & ~in_asia)
-    run_entity(spark, layout, corrected, DATE)
+    for date, given in [(EARLIER_DATE, records), (DATE, records), (DATE, corrected)]:
+        land_pages(entity_pages(given), layout, date)
+        silver.build(spark, layout, date)
     return with_date_text(read_silver(spark, layout), *SILVER_FRAME)

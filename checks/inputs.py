@@ -93,28 +93,26 @@ def table(spark, sf_dir, name):
 
 def entity(spark, sf_dir):
     """The records of ``ENTITY_SQL``, in one pass over the customers."""
-    k = F.col("c_custkey")
     base = (
         table(spark, sf_dir, "customer")
-        .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+        .join(table(spark, sf_dir, "nation"), F.expr("c_nationkey = n_nationkey"))
+        .join(table(spark, sf_dir, "region"), F.expr("n_regionkey = r_regionkey"))
+    )
+    versions = """inline(CASE
+        WHEN c_custkey % 3 = 0 THEN array(struct('2024-01-01' AS updated_at, '' AS suffix),
+                                          struct('2024-02-01' AS updated_at, ' v2' AS suffix))
+        ELSE array(struct('2024-01-01' AS updated_at, '' AS suffix)) END)"""
+    return base.selectExpr("*", versions).selectExpr(
+        "concat('  ', c_custkey, ' ') AS id",
+        "concat(' ', c_name, suffix, '  ') AS name",
+        "CASE WHEN c_custkey % 11 <> 0 THEN c_mktsegment END AS brewery_type",
+        """CASE WHEN c_custkey % 7 = 0 THEN NULL WHEN c_custkey % 17 = 0 THEN '  '
+                ELSE concat(' ', r_name, ' ') END AS country""",
+        "CASE WHEN c_custkey % 5 <> 0 THEN concat(n_name, '  ') END AS state",
+        "CASE WHEN c_custkey % 13 = 0 THEN 'bad' ELSE string(c_acctbal) END AS latitude",
+        "string(c_nationkey) AS longitude",
+        "updated_at",
     )
-    first = F.struct(F.lit("2024-01-01").alias("updated_at"), F.lit("").alias("suffix"))
-    second = F.struct(F.lit("2024-02-01").alias("updated_at"), F.lit(" v2").alias("suffix"))
-    versions = F.when(k % 3 == 0, F.array(first, second)).otherwise(F.array(first))
-    columns = {
-        "id": F.concat(F.lit("  "), k.cast("string"), F.lit(" ")),
-        "name": F.concat(F.lit(" "), "c_name", "suffix", F.lit("  ")),
-        "brewery_type": F.when(k % 11 == 0, None).otherwise(F.col("c_mktsegment")),
-        "country": F.when(k % 7 == 0, None)
-        .when(k % 17 == 0, "  ")
-        .otherwise(F.concat(F.lit(" "), "r_name", F.lit(" "))),
-        "state": F.when(k % 5 == 0, None).otherwise(F.concat("n_name", F.lit("  "))),
-        "latitude": F.when(k % 13 == 0, "bad").otherwise(F.col("c_acctbal").cast("string")),
-        "longitude": F.col("c_nationkey").cast("string"),
-        "updated_at": F.col("updated_at"),
-    }
-    return base.select("*", F.inline(versions)).select(*[c.alias(n) for n, c in columns.items()])
 
 
 def entity_pages(records):
@@ -158,7 +156,8 @@ def page_table_by_date(spark, pages):
     """Store pages that carry their snapshot date, all dates in one write."""
     layout = new_layout(spark, "events")
     counted = pages.withColumn("n_rows", record_count("payload"))
-    counted.write.partitionBy("ingestion_date").parquet(layout.bronze)
+    by_date = counted.hint("rebalance", "ingestion_date").write.partitionBy("ingestion_date")
+    by_date.parquet(layout.bronze)
     return layout
 
 

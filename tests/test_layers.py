@@ -12,7 +12,7 @@ from tierlake.operators import sample_rows
 from tierlake.plans import gold, layer_counts, run, silver
 from tierlake.schemas import GOLD, SILVER
 from tierlake.session import INITIAL_PARTITIONS, scratch_dir, shuffles_sized_for
-from tierlake.sinks import land_meta, load_stats, write_snapshot
+from tierlake.sinks import land_meta, load_stats, write_silver, write_snapshot
 from tierlake.sources import page_count, read_gold, read_layer, read_meta, read_pages, read_silver
 
 
@@ -89,6 +89,23 @@ def test_rerun_replaces_its_date_only(spark, tmp_path):
     assert read_silver(spark, layout).count() == 4
 
 
+def test_hot_partition_is_split_over_tasks(spark, tmp_path):
+    """A third of the rows has one location; its size decides on the number of files."""
+    rows = spark.range(60_000).selectExpr(
+        "string(id) AS id", "sha2(string(id), 256) AS name",
+        "if(id % 3 = 0, 'Hot', concat('C', id % 40)) AS country", "'S' AS state",
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200k")
+    try:
+        write_silver(rows, Layout(str(tmp_path), "items"), DATE)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    folder = tmp_path / "silver" / "items" / f"ingestion_date={DATE}"
+    assert len(list(folder.glob("country=Hot/state=S/*.parquet"))) > 3
+    assert len(list(folder.glob("country=C1/state=S/*.parquet"))) <= 3
+    assert read_silver(spark, Layout(str(tmp_path), "items"), DATE).count() == 60_000
+
+
 def test_gold_in_another_format(spark, tmp_path):
     layout = Layout(str(tmp_path), "items")
     run(spark, layout, page_frame(spark, [[record("1")]]), DATE, fmt="orc")

@@ -1,7 +1,6 @@
 """Session options, scratch space and shuffle sizing."""
 
 import math
-import os
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -23,13 +22,13 @@ def configure(spark):
 def scratch_dir(spark, label="scratch"):
     """A new folder name under the shared folder of ``spark.checkpoint.dir``.
 
-    Only where the session names none, as in a bare local test, the folder is a
-    temporary one of this machine.
+    Only a local session may go without that setting and use a temporary folder.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        if not spark.conf.get("spark.master").startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder all executors share")
         shared = tempfile.mkdtemp(prefix="tierlake-")
-        spark.sparkContext.setCheckpointDir(os.path.join(shared, "checkpoints"))
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
