@@ -14,6 +14,7 @@ from checks.inputs import (
     GOLD_SQL,
     PAGE_SIZE,
     PAGE_SQL,
+    SHELF,
     entity,
     entity_pages,
     event_pages,
@@ -228,7 +229,7 @@ def scan_events(spark, pages, total, **options):
     """Pages of a stand-in for a remote collection that announces ``total`` rows."""
     scanned, _ = open_collection(
         spark, paged_folder(spark, pages), lambda: {"total": total}, PAGE_SIZE,
-        pages_per_task=25, pause_sec=0, **options,
+        pages_per_task=SHELF, pause_sec=0, **options,
     )
     return scanned
 

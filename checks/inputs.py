@@ -12,6 +12,7 @@ from tierlake.layout import Layout
 from tierlake.session import scratch_dir
 
 PAGE_SIZE = 200
+SHELF = 25
 DATE = "2024-01-30"
 EARLIER_DATE = "2024-01-29"
 
@@ -170,30 +171,34 @@ def loose_pages(spark, sf_dir):
 
 
 def paged_folder(spark, pages):
-    """Store pages in shelves of 100; returns the fetch that reads one page.
+    """Store pages in shelves of ``SHELF``; returns the fetch that reads one page.
 
-    It stands in for a remote collection. A page that is not there is empty.
+    It stands in for a remote collection. A page that is not there is empty. The
+    pages of a task share a shelf, so it is read once and held until the next one.
     """
     folder = scratch_dir(spark, "pages")
-    shelf = F.expr("page DIV 100").alias("shelf")
+    shelf = F.expr(f"(page - 1) DIV {SHELF}").alias("shelf")
     shelved = pages.select("page", "payload", shelf).hint("rebalance", "shelf")
     shelved.write.partitionBy("shelf").parquet(folder)
+    held = {}
 
-    def fetch(page):
+    def read_shelf(number):
         from pyarrow import fs, parquet
 
         store, root = fs.FileSystem.from_uri(folder)
-        found = store.get_file_info(
-            fs.FileSelector(f"{root}/shelf={page // 100}", allow_not_found=True)
-        )
-        texts = []
-        for file in found:
+        path = fs.FileSelector(f"{root}/shelf={number}", allow_not_found=True)
+        texts = {}
+        for file in store.get_file_info(path):
             if file.base_name.startswith("part-"):
-                rows = parquet.read_table(
-                    file.path, columns=["payload"], filters=[("page", "=", page)],
-                    filesystem=store, partitioning=None,
-                )
-                texts += rows["payload"].to_pylist()
-        return texts[0] if texts else "[]"
+                rows = parquet.read_table(file.path, filesystem=store, partitioning=None)
+                texts.update(zip(rows["page"].to_pylist(), rows["payload"].to_pylist()))
+        return texts
+
+    def fetch(page):
+        number = (page - 1) // SHELF
+        if number not in held:
+            held.clear()
+            held[number] = read_shelf(number)
+        return held[number].get(page, "[]")
 
     return fetch

@@ -23,7 +23,7 @@ def canonical(columns, rows):
 
     def cell(value):
         if isinstance(value, float):
-            return "nan" if math.isnan(value) else repr(round(value, 6))
+            return "nan" if math.isnan(value) else repr(value)
         return repr(value)
 
     return sorted(columns), sorted(tuple(cell(row[i]) for i in order) for row in rows)

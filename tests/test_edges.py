@@ -208,6 +208,18 @@ def test_text_of_values_that_are_no_strings(spark, tmp_path, loose):
     assert (row["city"], row["phone"]) == ("1000.0", "12345678901234567890")
 
 
+def test_same_rows_without_ansi_mode(spark, tmp_path, loose):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        pages = [[record("1", latitude="bad"), record("1", latitude="2")], '[{"id": broken', [record("2")]]
+        layout, rows = clean(spark, tmp_path, pages, loose)
+        counts = {r["page"]: r["n_rows"] for r in read_pages(spark, layout, DATE, loose).collect()}
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+    assert {i: r["latitude"] for i, r in rows.items()} == {"1": 2.0, "2": None}
+    assert counts == {1: 2, 2: None, 3: 1}
+
+
 def test_null_type_is_a_group(spark, tmp_path):
     page = [record("1", brewery_type=None), record("2"), record("3", brewery_type="micro")]
     layout, _ = clean(spark, tmp_path, [page], False)

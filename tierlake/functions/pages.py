@@ -15,7 +15,7 @@ def page_records(payload, schema=T.StructType([])):
 
 def record_count(payload):
     """Number of records of a page; null where the page is not readable."""
-    return F.size(page_records(payload))
+    return F.array_size(page_records(payload))
 
 
 def to_pages(df, page, columns, order_by, by=()):
