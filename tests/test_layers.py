@@ -11,8 +11,8 @@ from tierlake.layout import Layout, snapshot_path, today_utc
 from tierlake.operators import sample_rows
 from tierlake.plans import gold, layer_counts, run, silver
 from tierlake.schemas import GOLD, SILVER
-from tierlake.session import INITIAL_PARTITIONS, scratch_dir, shuffles_sized_for
-from tierlake.sinks import land_meta, load_stats, write_silver, write_snapshot
+from tierlake.session import INITIAL_PARTITIONS, scratch_dir, shuffles_sized_for, skimming_scans
+from tierlake.sinks import land_meta, land_pages, load_stats, write_silver, write_snapshot
 from tierlake.sources import page_count, read_gold, read_layer, read_meta, read_pages, read_silver
 
 
@@ -170,3 +170,21 @@ def test_shuffle_width_follows_the_rows(spark):
     with shuffles_sized_for(spark, 10**15):
         assert spark.conf.get(INITIAL_PARTITIONS) == "100000"
     assert spark.conf.get(INITIAL_PARTITIONS, None) == before
+
+
+def test_skimming_scans_end_with_the_block(spark):
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    with pytest.raises(ZeroDivisionError), skimming_scans(spark):
+        assert spark.conf.get(key) == str(16 << 30)
+        raise ZeroDivisionError
+    assert spark.conf.get(key) == before
+
+
+def test_landing_returns_what_the_write_counted(spark, tmp_path):
+    layout = Layout(str(tmp_path), "items")
+    pages = [[record("1"), record("2")], "[{", [record("3")], [], [record("4")]]
+    stats = land_pages(page_frame(spark, pages), layout, DATE)
+    assert stats == {"pages": 3, "unreadable_pages": 1, "rows": 3}
+    stored_stats = load_stats(spark, layout, DATE).drop("ingestion_date").first()
+    assert stored_stats.asDict() == stats

@@ -15,7 +15,7 @@ def run(spark, layout, pages, date=None, metadata=None, fmt="parquet"):
     configure(spark)
     date = date or today_utc()
     land_meta(spark, metadata, layout, date)
-    land_pages(pages, layout, date)
-    silver.build(spark, layout, date)
+    stats = land_pages(pages, layout, date)
+    silver.build(spark, layout, date, stats=stats)
     gold.build(spark, layout, date, fmt)
     return date

@@ -8,7 +8,10 @@ from tierlake.sources.layers import read_gold, read_silver
 
 
 def layer_counts(spark, layout, date=None, fmt="parquet"):
-    """``(layer, ingestion_date, rows)``, from the page counts and the file footers."""
+    """``(layer, ingestion_date, rows)``, from the page counts and the file footers.
+
+    Over many terabytes run its action in ``skimming_scans``.
+    """
     bronze = read_pages(spark, layout, date).select(DATE_COLUMN, F.col("n_rows").alias("n"))
     silver = read_silver(spark, layout, date).select(DATE_COLUMN, F.lit(1).alias("n"))
     gold = read_gold(spark, layout, date, fmt).select(DATE_COLUMN, F.lit(1).alias("n"))

@@ -6,6 +6,8 @@ import uuid
 from contextlib import contextmanager
 
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+MAX_PARTITION_BYTES = "spark.sql.files.maxPartitionBytes"
 
 
 def configure(spark):
@@ -33,22 +35,36 @@ def scratch_dir(spark, label="scratch"):
 
 
 @contextmanager
+def _setting(spark, key, value):
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def shuffles_sized_for(spark, rows, rows_per_partition=1_000_000, most=100_000):
-    """Widen the shuffles in the block to ``rows / rows_per_partition`` partitions.
+    """Context that widens shuffles to ``rows / rows_per_partition`` partitions.
 
     A window or a rebalance cannot split a shuffle partition that turned out too
     large for memory, but adaptive execution merges those that are too small.
     So the width follows the row count and is never lowered; beyond ``most``
     partitions they grow instead, and their sorts spill.
     """
-    before = spark.conf.get(INITIAL_PARTITIONS, None)
-    current = int(before or spark.conf.get("spark.sql.shuffle.partitions"))
+    current = spark.conf.get(INITIAL_PARTITIONS, None) or spark.conf.get(SHUFFLE_PARTITIONS)
     wanted = min(math.ceil(rows / rows_per_partition), most)
-    spark.conf.set(INITIAL_PARTITIONS, str(max(current, wanted)))
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(INITIAL_PARTITIONS)
-        else:
-            spark.conf.set(INITIAL_PARTITIONS, before)
+    return _setting(spark, INITIAL_PARTITIONS, str(max(int(current), wanted)))
+
+
+def skimming_scans(spark, bytes_per_task=16 << 30):
+    """Context for actions that only look at listings, file footers or page counts.
+
+    Spark cuts files into tasks by their size, even if next to nothing is read.
+    Larger cuts keep such an action over many terabytes at a few thousand tasks;
+    small inputs are still spread over all cores.
+    """
+    return _setting(spark, MAX_PARTITION_BYTES, str(bytes_per_task))

@@ -1,6 +1,7 @@
 """Landing raw pages and metadata."""
 
 import json
+import logging
 
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
@@ -10,6 +11,8 @@ from tierlake.schemas import BRONZE_PAGE, DATE_COLUMN, META
 from tierlake.sinks.layers import write_snapshot
 from tierlake.sources.bronze import read_pages
 
+log = logging.getLogger(__name__)
+
 # Payloads are large values and Parquet is decoded in batches of rows that never
 # cross a row group, so small row groups bound the memory of a reading task.
 PAYLOAD_OPTIONS = {"parquet.block.size": 16 * 1024 * 1024, "compression": "zstd"}
@@ -23,24 +26,29 @@ def land_pages(pages, layout, date):
 
     The pages are fetched and written once, and the write itself reports the
     first empty page. Only if pages with data came after it (a gap), the write is
-    repeated with the pages before it.
+    repeated with the pages before it. Returns ``pages``, ``unreadable_pages`` and
+    ``rows`` as the write counted them.
     """
     if "n_rows" not in pages.columns:
         pages = pages.withColumn("n_rows", record_count("payload"))
     pages = pages.select(*BRONZE_PAGE.names)
+    is_empty = F.coalesce(F.col("n_rows") == 0, F.lit(False))
     while True:
         seen = Observation()
-        is_empty = F.col("n_rows") == 0
         observed = pages.observe(
             seen,
             F.min(F.when(is_empty, F.col("page"))).alias("first_empty"),
-            F.max(F.when(is_empty, None).otherwise(F.col("page"))).alias("last"),
+            F.max(F.when(~is_empty, F.col("page"))).alias("last"),
+            F.count_if(~is_empty).alias("pages"),
+            F.count_if(F.col("n_rows").isNull()).alias("unreadable_pages"),
+            F.coalesce(F.sum("n_rows"), F.lit(0)).alias("rows"),
         )
-        kept = observed.where(F.col("n_rows").isNull() | (F.col("n_rows") > 0))
-        write_snapshot(kept, layout.bronze, date, **PAYLOAD_OPTIONS)
-        first_empty, last = seen.get["first_empty"], seen.get["last"]
+        write_snapshot(observed.where(~is_empty), layout.bronze, date, **PAYLOAD_OPTIONS)
+        stats = dict(seen.get)
+        first_empty, last = stats.pop("first_empty"), stats.pop("last")
         if first_empty is None or last is None or last < first_empty:
-            return
+            log.info("%s: landed %s", date, stats)
+            return stats
         pages = pages.where(F.col("page") < first_empty)
 
 
@@ -53,7 +61,10 @@ def land_meta(spark, metadata, layout, date):
 
 
 def load_stats(spark, layout, date=None):
-    """``(ingestion_date, pages, unreadable_pages, rows)`` per snapshot; no payload is read."""
+    """``(ingestion_date, pages, unreadable_pages, rows)`` per snapshot, from the page counts.
+
+    No payload is read; over many terabytes run its action in ``skimming_scans``.
+    """
     return read_pages(spark, layout, date).groupBy(DATE_COLUMN).agg(
         F.count("*").alias("pages"),
         F.count_if(F.col("n_rows").isNull()).alias("unreadable_pages"),

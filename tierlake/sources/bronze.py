@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 from tierlake.functions.pages import page_records, record_count
 from tierlake.layout import snapshot_path
 from tierlake.schemas import BRONZE_PAGE, DATE_COLUMN, RAW
+from tierlake.session import skimming_scans
 from tierlake.sources.layers import dated, load, read_layer, with_date_text
 
 LOOSE_GLOB = "page=*.json"
@@ -53,8 +54,9 @@ def loose_size(spark, layout, date, glob=LOOSE_GLOB):
     """Number and bytes of a snapshot's loose page files, from the file listing."""
     reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
     files = load(reader, snapshot_path(layout.bronze, date))
-    size = files.agg(F.count("*").alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
-    return size.first()
+    size = F.coalesce(F.sum("length"), F.lit(0))
+    with skimming_scans(spark):
+        return files.agg(F.count("*").alias("pages"), size.alias("bytes")).first()
 
 
 def _loose_files(spark, layout, date, glob):

@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 
 from tierlake.layout import as_date, snapshot_path
 from tierlake.schemas import DATE_COLUMN, GOLD, SILVER
+from tierlake.session import skimming_scans
 
 ISO_DATE = "^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 
@@ -74,7 +75,7 @@ def latest_date_frame(spark, root, fmt="parquet"):
 
 
 def latest_date(spark, root, fmt="parquet"):
-    return _found(latest_date_frame(spark, root, fmt), root)
+    return _found(spark, latest_date_frame(spark, root, fmt), root)
 
 
 def latest_loose_date(spark, root, glob="page=*.json"):
@@ -84,11 +85,12 @@ def latest_loose_date(spark, root, glob="page=*.json"):
     if DATE_COLUMN not in files.columns:
         raise FileNotFoundError(f"no {DATE_COLUMN} folder with pages in {root}")
     names = files.where("length > 0").select(F.col(DATE_COLUMN).cast("string"))
-    return _found(dated(names).agg(F.max(DATE_COLUMN).alias(DATE_COLUMN)), root)
+    return _found(spark, dated(names).agg(F.max(DATE_COLUMN).alias(DATE_COLUMN)), root)
 
 
-def _found(frame, root):
-    newest = frame.first()[DATE_COLUMN]
+def _found(spark, frame, root):
+    with skimming_scans(spark):
+        newest = frame.first()[DATE_COLUMN]
     if newest is None:
         raise FileNotFoundError(f"no {DATE_COLUMN} snapshot with rows in {root}")
     return newest.isoformat()
