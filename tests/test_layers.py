@@ -13,7 +13,15 @@ from tierlake.plans import gold, layer_counts, run, silver
 from tierlake.schemas import GOLD, SILVER
 from tierlake.session import INITIAL_PARTITIONS, scratch_dir, shuffles_sized_for, skimming_scans
 from tierlake.sinks import land_meta, land_pages, load_stats, write_silver, write_snapshot
-from tierlake.sources import page_count, read_gold, read_layer, read_meta, read_pages, read_silver
+from tierlake.sources import (
+    page_count,
+    read_gold,
+    read_layer,
+    read_meta,
+    read_pages,
+    read_quarantine,
+    read_silver,
+)
 
 
 def random_pages(seed, pages=6, size=30):
@@ -114,6 +122,24 @@ def test_gold_in_another_format(spark, tmp_path):
         read_gold(spark, layout, fmt="delta")
 
 
+def test_any_text_can_name_a_folder(spark, tmp_path):
+    names = ["a/b", "x=y", "100%", "Ünï côdé", "2025-01-01", "007", "null", "it's", "a:b*c?", "__x"]
+    layout = Layout(str(tmp_path), "items")
+    page = [record(str(n), country=name, state=name) for n, name in enumerate(names)]
+    run(spark, layout, page_frame(spark, [page]), DATE)
+    rows = {int(r["id"]): (r["country"], r["state"]) for r in read_silver(spark, layout, DATE).collect()}
+    assert rows == {n: (name, name) for n, name in enumerate(names)}
+    assert {r["country"] for r in read_gold(spark, layout, DATE).collect()} == set(names)
+
+
+def test_run_with_nothing_readable(spark, tmp_path):
+    layout = Layout(str(tmp_path), "items")
+    run(spark, layout, page_frame(spark, ["[{", "oops"]), DATE)
+    assert read_quarantine(spark, layout, DATE).count() == 2
+    assert read_silver(spark, layout, DATE).count() == 0
+    assert read_gold(spark, layout, DATE).count() == 0
+
+
 def test_empty_snapshot_reads_as_no_rows(spark, tmp_path):
     nothing = spark.createDataFrame([], SILVER)
     write_snapshot(nothing, str(tmp_path), DATE, ["country", "state"])

@@ -80,6 +80,13 @@ def test_fewer_pages_than_announced(spark, tmp_path):
     assert sorted(got) == [1, 2]
 
 
+def test_two_collections_in_one_session(spark):
+    one = scan_pages(spark, lambda page: '[{"id":"one"}]', max_pages=2, **QUICK)
+    two = scan_pages(spark, lambda page: '[{"id":"two"}]', max_pages=1, **QUICK)
+    assert [r["payload"] for r in two.collect()] == ['[{"id":"two"}]']
+    assert [r["payload"] for r in one.collect()] == ['[{"id":"one"}]'] * 2
+
+
 def test_page_cap(spark, tmp_path):
     assert sorted(landed(spark, tmp_path, collection(pages_of(6)), max_pages=4)) == [1, 2, 3, 4]
 

@@ -48,7 +48,7 @@ def snapshot_path(layer_root, date):
 
 
 def as_date(date):
-    return date if isinstance(date, dt.date) else dt.date.fromisoformat(date)
+    return dt.date.fromisoformat(date) if isinstance(date, str) else date
 
 
 def today_utc():
