@@ -46,22 +46,33 @@ def test_payload_is_kept_as_received(spark, tmp_path):
     assert got == {1: texts[0], 2: texts[1]}
 
 
-def test_one_range_per_task(spark):
-    reader = paged_source(collection([]))({}).reader(None)
-    with pytest.raises(ValueError, match="total_pages or max_pages"):
-        reader.partitions()
-
-    def ranges(**options):
-        made = paged_source(collection([]))({k: str(v) for k, v in options.items()})
-        return [(p.first, p.last) for p in made.reader(None).partitions()]
-
-    assert ranges(total_pages=7, pages_per_task=3) == [(1, 3), (4, 6), (7, 7), (8, None)]
-    assert ranges(total_pages=7, pages_per_task=3, max_pages=4) == [(1, 3), (4, 4)]
-    assert ranges(total_pages=2, max_pages=4) == [(1, 2), (3, 4)]
-    assert ranges(max_pages=2, start_page=5) == [(5, 6)]
-    assert ranges(total_pages=0) == [(1, None)]
-    assert ranges(total_pages=3, start_page=9) == [(9, None)]
-    assert len(ranges(total_pages=100_000_000)) == 10_001
+@pytest.mark.parametrize("options, expected", [
+    # the page after the known total is empty
+    ({"total_pages": 7, "pages_per_task": 3}, [(1, 3), (4, 6), (7, 7)]),
+    # a cap within the known total
+    ({"total_pages": 7, "pages_per_task": 3, "max_pages": 4}, [(1, 3), (4, 4)]),
+    ({"total_pages": 7, "max_pages": 2, "start_page": 5}, [(5, 6)]),
+    # a cap a little past the known total
+    ({"total_pages": 2, "max_pages": 4}, [(1, 4)]),
+    # the total is too small: pages 4, 6 and 10 are tried, 10 is empty
+    ({"total_pages": 3, "pages_per_task": 3}, [(1, 3), (4, 6), (7, 9)]),
+    # no total: pages 1, 3, 7 and 15 are tried
+    ({"pages_per_task": 5}, [(1, 5), (6, 10), (11, 14)]),
+    # ... and a cap: 1, 3, 7 and 12 are tried
+    ({"pages_per_task": 5, "max_pages": 12}, [(1, 5), (6, 10), (11, 11)]),
+    # nothing there
+    ({"total_pages": 0, "start_page": 8}, [(8, 7)]),
+    ({"total_pages": 7, "max_pages": 0}, [(1, 0)]),
+])
+def test_ranges(options, expected):
+    given = {key: str(value) for key, value in options.items()}
+    reader = paged_source(collection(pages_of(7)))(given).reader(None)
+    assert [(p.first, p.last) for p in reader.partitions()] == expected
+
+
+def test_number_of_tasks_is_bounded():
+    reader = paged_source(collection([]))({"total_pages": "100000000"}).reader(None)
+    assert len(reader.partitions()) == 10_000
 
 
 def test_tasks_cover_all_pages(spark, tmp_path):
@@ -75,6 +86,12 @@ def test_pages_past_the_known_total_are_not_lost(spark, tmp_path):
     assert sorted(got) == [1, 2, 3, 4, 5, 6]
 
 
+@pytest.mark.parametrize("count", [0, 1, 2, 5, 11])
+def test_collection_of_unknown_size(spark, tmp_path, count):
+    got = landed(spark, tmp_path, collection(pages_of(count)), pages_per_task=2)
+    assert sorted(got) == list(range(1, count + 1))
+
+
 def test_fewer_pages_than_announced(spark, tmp_path):
     got = landed(spark, tmp_path, collection(pages_of(2)), total_pages=5, pages_per_task=1)
     assert sorted(got) == [1, 2]
@@ -142,10 +159,8 @@ def test_url_fetch_with_metadata(spark, tmp_path):
     assert {r["name"] for r in rows} == {"n1-a", "n2-a", "Ärger ☃"}
 
 
-def test_without_metadata_a_cap_is_needed(spark, tmp_path):
+def test_missing_metadata_is_no_error(spark, tmp_path):
     missing = url_fetch(f"file://{tmp_path}/meta.json")
-    with pytest.raises(Exception, match="total_pages or max_pages"):
-        open_collection(spark, collection(pages_of(2)), missing, **QUICK)[0].collect()
-    pages, metadata = open_collection(spark, collection(pages_of(2)), missing, max_pages=5, **QUICK)
+    pages, metadata = open_collection(spark, collection(pages_of(2)), missing, **QUICK)
     assert metadata == {}
     assert sorted(r["page"] for r in pages.where("n_rows > 0").collect()) == [1, 2]

@@ -46,14 +46,16 @@ def paged_source(fetch, name="paged_json"):
 
     Options:
       start_page      first page (1)
-      total_pages     pages known from the metadata
-      max_pages       cap on the number of pages
+      total_pages     pages known from the metadata (none)
+      max_pages       cap on the number of pages (none)
       pages_per_task  pages fetched by one task (50, or more to stay within 10,000 tasks)
       pause_sec       wait between the pages of a task (0.2)
 
-    One of ``total_pages`` and ``max_pages`` is needed to lay out the tasks. Should
-    the collection have grown past ``total_pages``, the last task goes on to the
-    first empty page, unless ``max_pages`` ends it before.
+    Tasks run side by side; fewer and longer ones ask less of the collection.
+
+    The end need not be known. Planning looks for an empty page past the known
+    total in strides of 1, 2, 4, ... pages, so a collection that has grown, or has no
+    metadata, is still laid out over many tasks.
 
     The classes are local to this function so that Spark ships them by value.
     """
@@ -61,54 +63,57 @@ def paged_source(fetch, name="paged_json"):
     @dataclass
     class PageRange(InputPartition):
         first: int
-        last: int | None
+        last: int
 
     class PageReader(DataSourceReader):
         def __init__(self, options):
             self.start = int(options.get("start_page", 1))
-            self.total = options.get("total_pages")
-            self.cap = options.get("max_pages")
+            self.known = int(options.get("total_pages", 0))
+            cap = options.get("max_pages")
+            self.end = math.inf if cap is None else self.start + int(cap) - 1
             self.step = options.get("pages_per_task")
             self.pause = float(options.get("pause_sec", 0.2))
 
         def partitions(self):
-            if self.total is None and self.cap is None:
-                raise ValueError("give total_pages or max_pages: the number of pages is unknown")
-            end = None if self.cap is None else self.start + int(self.cap) - 1
-            known = end if self.total is None else int(self.total)
-            if end is not None:
-                known = min(known, end)
+            known = min(max(self.known, self.start - 1), self.end)
             step = int(self.step or max(50, math.ceil(known / 10_000)))
-            ranges = [
-                PageRange(first, min(first + step - 1, known))
-                for first in range(self.start, known + 1, step)
-            ]
-            if end is None or end > known:
-                ranges.append(PageRange(max(known + 1, self.start), end))
-            return ranges
-
-        def read(self, partition):
+            last = self.end if self.end - known <= step else self.search_end(known)
+            step = int(self.step or max(50, math.ceil(last / 10_000)))
+            firsts = range(self.start, last + 1, step) or [self.start]  # Spark needs one task
+            return [PageRange(first, min(first + step - 1, last)) for first in firsts]
+
+        def search_end(self, known):
+            stride = 1
+            while known < self.end:
+                probe = min(known + stride, self.end)
+                if self.payload(probe) == "[]":
+                    return probe - 1
+                known, stride = probe, stride * 2
+            return self.end
+
+        def payload(self, page):
             import json
             import re
 
+            body = fetch(page)
+            if isinstance(body, bytes):
+                body = body.decode("utf-8")
+            elif not isinstance(body, str):
+                body = json.dumps(body or [], ensure_ascii=False)
+            empty = re.fullmatch(r"\s*(\[\s*\]|\{\s*\}|null)?\s*", body)
+            return "[]" if empty else body
+
+        def read(self, partition):
             import pyarrow as pa
 
             schema = pa.schema([("page", pa.int32()), ("payload", pa.string())])
-            page = partition.first
-            while partition.last is None or page <= partition.last:
-                body = fetch(page)
-                if isinstance(body, bytes):
-                    body = body.decode("utf-8")
-                elif not isinstance(body, str):
-                    body = json.dumps(body or [], ensure_ascii=False)
-                empty = re.fullmatch(r"\s*(\[\s*\]|\{\s*\}|null)?\s*", body) is not None
-                payload = "[]" if empty else body
+            for page in range(partition.first, partition.last + 1):
+                if page > partition.first:
+                    time.sleep(self.pause)
+                payload = self.payload(page)
                 yield pa.RecordBatch.from_pydict({"page": [page], "payload": [payload]}, schema)
-                if empty:
+                if payload == "[]":
                     return
-                page += 1
-                if partition.last is None or page <= partition.last:
-                    time.sleep(self.pause)
 
     class PagedJsonSource(DataSource):
         @classmethod
@@ -139,7 +144,7 @@ def open_collection(
 ):
     """``(pages, metadata)`` of a collection whose metadata tells its number of rows.
 
-    Without metadata, which is not an error, ``max_pages`` has to bound the scan.
+    Missing metadata is no error: the end is then searched for.
     """
     metadata = {}
     if fetch_meta is not None:
