@@ -373,8 +373,10 @@ WITH {SILVER_SQL}
 SELECT '{DATE}' AS ingestion_date, {SILVER_LIST} FROM silver WHERE country = '{COUNTRY}'""")
 def _(spark, sf_dir):
     layout = new_layout(spark, "entity")
-    write_silver(silver_frame(spark, sf_dir).limit(0), layout, EARLIER_DATE)
-    write_silver(silver_frame(spark, sf_dir), layout, DATE)
+    records = entity(spark, sf_dir)
+    older = records.where(F.col("updated_at") == "2024-01-01")
+    write_silver(silver.transform(older), layout, EARLIER_DATE)
+    write_silver(silver.transform(records), layout, DATE)
     stored = read_silver(spark, layout).where(F.col(DATE_COLUMN) == F.lit(DATE).cast("date"))
     return with_date_text(stored.where(F.col("country") == COUNTRY), *SILVER_FRAME)
 

@@ -143,6 +143,9 @@ def test_newest_date_skips_what_holds_no_rows(spark, tmp_path):
     for name in ["2025-03-09", "latest"]:
         (tmp_path / "bronze" / "items" / f"ingestion_date={name}").mkdir()
     assert latest_date(spark, layout.bronze) == "2025-03-01"
+    assert latest_date(spark, layout.bronze, prefix="2025-02") == "2025-02-28"
+    with pytest.raises(FileNotFoundError):
+        latest_date(spark, layout.bronze, prefix="2024")
     assert {r[0] for r in read_pages(spark, layout).select("page").collect()} == {1}
 
 

@@ -65,17 +65,20 @@ def read_gold(spark, layout, date=None, fmt="parquet"):
     return read_layer(spark, layout.gold, GOLD, date, fmt)
 
 
-def latest_date_frame(spark, root, fmt="parquet"):
+def latest_date_frame(spark, root, fmt="parquet", prefix=None):
     """One row: the newest ``ingestion_date`` that holds rows, null if there is none.
 
-    No column is read; Parquet answers from the row counts in the file footers.
+    No column is read; Parquet answers from the row counts in the file footers. A
+    ``prefix`` such as ``"2025-03"`` limits the listing of a long history.
     """
     reader = spark.read.format(fmt).schema(with_date_text(T.StructType([])))
-    return dated(load(reader, root)).agg(F.max(DATE_COLUMN).alias(DATE_COLUMN))
+    path = root if prefix is None else f"{root}/{DATE_COLUMN}={prefix}*"
+    dates = dated(load(reader.option("basePath", root), path))
+    return dates.agg(F.max(DATE_COLUMN).alias(DATE_COLUMN))
 
 
-def latest_date(spark, root, fmt="parquet"):
-    return _found(spark, latest_date_frame(spark, root, fmt), root)
+def latest_date(spark, root, fmt="parquet", prefix=None):
+    return _found(spark, latest_date_frame(spark, root, fmt, prefix), root)
 
 
 def latest_loose_date(spark, root, glob="page=*.json"):
