@@ -4,6 +4,7 @@ import datetime as dt
 import random
 
 import pytest
+from pyarrow import parquet
 
 from tests.compare import spark_rows
 from tests.pages import DATE, page_frame, record, stored
@@ -207,6 +208,16 @@ def test_skimming_scans_end_with_the_block(spark):
     assert spark.conf.get(key) == before
 
 
+def test_row_groups_hold_few_pages(spark, tmp_path):
+    layout = Layout(str(tmp_path), "items")
+    pages = spark.range(1, 1001, 1, 1).selectExpr("int(id) AS page", "'[{\"id\":\"1\"}]' AS payload")
+    land_pages(pages, layout, DATE)
+    (file,) = (tmp_path / "bronze" / "items" / f"ingestion_date={DATE}").glob("*.parquet")
+    footer = parquet.ParquetFile(file).metadata
+    sizes = [footer.row_group(n).num_rows for n in range(footer.num_row_groups)]
+    assert sum(sizes) == 1000 and max(sizes) <= 256
+
+
 def test_landing_returns_what_the_write_counted(spark, tmp_path):
     layout = Layout(str(tmp_path), "items")
     pages = [[record("1"), record("2")], "[{", [record("3")], [], [record("4")]]

@@ -13,9 +13,10 @@ from tierlake.sources.bronze import read_pages
 
 log = logging.getLogger(__name__)
 
-# Payloads are large values and Parquet is decoded in batches of rows that never
-# cross a row group, so small row groups bound the memory of a reading task.
-PAYLOAD_OPTIONS = {"parquet.block.size": 16 * 1024 * 1024, "compression": "zstd"}
+# Payloads are large values, and Parquet is decoded in batches of up to 4096 rows that
+# never cross a row group. Row groups of few pages bound the memory of a reading task;
+# a limit in bytes does not, since it counts bytes after compression.
+PAYLOAD_OPTIONS = {"parquet.block.row.count.limit": 256, "compression": "zstd"}
 
 
 def land_pages(pages, layout, date):
