@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tierlake.llm import mixing, quality, simhash, urls
+from tierlake.llm import mixing, quality, secrets, simhash, urls
 from tierlake.llm.common import Scratch, configure, read
 
 QUERIES = {}
@@ -196,3 +196,17 @@ FROM hosts h LEFT JOIN best b ON h.page_id = b.page_id""")
 def _(spark, sf_dir):
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return urls.judge(read(spark, sf_dir, "pages", "page_id", "url"), rules)
+
+
+# --- 7 secrets -----------------------------------------------------------------
+
+
+def secret_model(spark, docs):
+    samples = secrets.random_strings(spark).unionByName(secrets.ordinary_identifiers(docs))
+    return secrets.train(samples)
+
+
+@query("op7_secret_scan")
+def _(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    return secrets.report(docs, secret_model(spark, docs))
