@@ -21,17 +21,22 @@ def components(edges, scratch, label="edges"):
         if now == seen:
             break
         seen, turn = now, turn + 1
-        edges = scratch.write(_small_star(_large_star(edges)), f"{label}{turn}")
-        scratch.drop(f"{label}{turn - 1}")
+        edges = scratch.write(_small_star(_large_star(edges, scratch, label)), f"{label}{turn}")
+        scratch.drop(f"{label}{turn - 1}", f"{label}-least")
     # In the end all edges are (node, root).
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionAll(roots)
 
 
-def _large_star(edges):
-    """Edges ``a > b``: the larger neighbours of each node go to the smallest one near it."""
+def _large_star(edges, scratch, label):
+    """Edges ``a > b``: the larger neighbours of each node go to the smallest one near it.
+
+    The smallest ones are staged, so that adaptive execution can split a node with very many
+    neighbours in the join.
+    """
     both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    least = scratch.write(least, f"{label}-least")
     larger = both.where("b > a").join(least, "a")
     return larger.select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 

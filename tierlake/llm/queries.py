@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tierlake.llm import mixing, quality, secrets, simhash, urls
+from tierlake.llm import mixing, quality, secrets, simhash, substrings, urls
 from tierlake.llm.common import Scratch, configure, read
 
 QUERIES = {}
@@ -210,3 +210,33 @@ def secret_model(spark, docs):
 def _(spark, sf_dir):
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
     return secrets.report(docs, secret_model(spark, docs))
+
+
+# --- 5 substrings --------------------------------------------------------------
+
+WINDOW_SQL = " || ' ' || ".join(f"lead(w, {n}) OVER d" for n in range(substrings.WINDOW))
+
+
+@query("op5_substring_dedup", f"""
+WITH tokens AS (
+  SELECT doc_id, unnest(words) AS w, generate_subscripts(words, 1) AS i
+  FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS words FROM documents)),
+windows AS (
+  SELECT doc_id, i, {WINDOW_SQL} AS seq FROM tokens WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+firsts AS (
+  SELECT doc_id, i, min(doc_id) OVER (PARTITION BY seq) AS first FROM windows WHERE seq IS NOT NULL),
+covered AS (
+  SELECT DISTINCT doc_id, i + k AS i FROM firsts, range({substrings.WINDOW}) AS s(k) WHERE first < doc_id),
+marked AS (
+  SELECT t.doc_id, t.i, w, c.i IS NOT NULL AS gone
+  FROM tokens t LEFT JOIN covered c ON t.doc_id = c.doc_id AND t.i = c.i),
+counted AS (
+  SELECT doc_id, count(*) AS n_words, count(*) FILTER (WHERE gone) AS n_removed,
+         coalesce(string_agg(w, ' ' ORDER BY i) FILTER (WHERE NOT gone), '') AS kept
+  FROM marked GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents d LEFT JOIN counted c ON d.doc_id = c.doc_id""")
+def _(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    return substrings.repeated_spans(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
