@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tierlake.llm import mixing, quality, secrets, simhash, substrings, urls
+from tierlake.llm import mixing, packing, quality, secrets, simhash, substrings, urls
 from tierlake.llm.common import Scratch, configure, read
 
 QUERIES = {}
@@ -240,3 +240,17 @@ FROM documents d LEFT JOIN counted c ON d.doc_id = c.doc_id""")
 def _(spark, sf_dir):
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
     return substrings.repeated_spans(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+# --- 3 packing -----------------------------------------------------------------
+
+
+def packed(docs):
+    """Pieces with the checksum of their ids in place of the ids."""
+    return packing.pack(docs).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query("op3_hilbert_packing")
+def _(spark, sf_dir):
+    return packed(read(spark, sf_dir, "documents", "doc_id", "text"))
