@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tierlake.llm import mixing, packing, quality, secrets, simhash, substrings, urls
+from tierlake.llm import extract, mixing, packing, quality, secrets, simhash, substrings, urls
 from tierlake.llm.common import Scratch, configure, read
 
 QUERIES = {}
@@ -254,3 +254,11 @@ def packed(docs):
 @query("op3_hilbert_packing")
 def _(spark, sf_dir):
     return packed(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+# --- 2 HTML extraction ---------------------------------------------------------
+
+
+@query("op2_html_extract")
+def _(spark, sf_dir):
+    return extract.extract(read(spark, sf_dir, "pages", "page_id", "url", "html"))
