@@ -141,7 +141,7 @@ def features(found):
 # --- the decision tree ---------------------------------------------------------
 
 
-def grow(rows, labels, depth=5, least=2):
+def grow(rows, labels, depth=6, least=10):
     """A binary decision tree by Gini impurity: ``(feature, threshold, low, high)`` or a share."""
     share = float(labels.mean())
     if depth == 0 or share in (0.0, 1.0) or len(labels) < 2 * least:
@@ -173,12 +173,37 @@ def decide(tree, rows):
     return np.where(rows[:, feature] <= threshold, decide(low, rows), decide(high, rows))
 
 
+def labelled_table(variants=40):
+    """``(features, labels)`` of the labelled pages and of variants of them.
+
+    Length says little where the place of a block tells what it is; so a variant gives the
+    blocks in a main element or in a boilerplate one other lengths, and leaves out what
+    comes before or after the main text now and then.
+    """
+    draw = np.random.Generator(np.random.PCG64(11))
+    rows, labels = [], []
+    for page in PAGES:
+        for variant in range(variants):
+            found = blocks(page)
+            if variant:
+                for block in found:
+                    if block.in_main or block.hinted:
+                        words = int(draw.integers(1, 60))
+                        block.link_words = round(block.link_words * words / block.words)
+                        block.words = words
+                kept = [i for i, block in enumerate(found) if block.keep]
+                low = kept[0] if draw.random() < 0.2 else 0
+                high = kept[-1] + 1 if draw.random() < 0.2 else len(found)
+                found = found[low:high]
+            rows.append(features(found))
+            labels += [block.keep for block in found]
+    return np.concatenate(rows), np.array(labels, float)
+
+
 @lru_cache(maxsize=1)
 def trained():
-    """The tree of the labelled pages."""
-    samples = [blocks(page) for page in PAGES]
-    rows = np.concatenate([features(found) for found in samples])
-    return grow(rows, np.array([b.keep for found in samples for b in found], float))
+    """The tree of the labelled table."""
+    return grow(*labelled_table())
 
 
 def main_text(page, tree=None):

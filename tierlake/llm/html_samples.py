@@ -66,4 +66,12 @@ PAGES = [
 <h1 data-keep>The last lamp lighter of the old town</h1><p data-keep>Every evening at dusk he takes his ladder and his pole and walks the same eleven streets as his father did.</p>
 <p data-keep>There are forty-one gas lamps left in the old town, and he knows each of them by its number and by its sound.</p>
 <p><a href="/d">Read the next story about the people of the old town here</a></p><p><a href="/e">Go back to the list of all stories of this month</a></p></body>""",
+    """<article><h1 data-keep>Snow</h1><p data-keep>It fell all night and by the morning the fences were gone and the road was only a guess.</p><p data-keep>We stayed in.</p></article>""",
+    """<html><body><main><p data-keep>First.</p><p data-keep>The first of anything is the hardest, the old man said, and he had done many things for the first time.""",
+    """<p data-keep>A page may be nothing but a few paragraphs that somebody wrote down in a hurry many years ago.</p>
+<p data-keep>Then there is no menu to leave out and no footer either, and all of the text has to stay as it is.</p>""",
+    """<div>Top</div><article><p data-keep>One.</p><p data-keep>Two.</p><p data-keep>Three.</p></article><div>Bottom</div>""",
+    """<div>Login</div><div>English</div><h1 data-keep>What the tide brings to the long beach in autumn</h1>
+<p data-keep>After every storm the long beach is covered with wood, rope, bottles and now and then with something nobody can name.</p>
+<div>Print page</div><div>Site map</div>""",
 ]
