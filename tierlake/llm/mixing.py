@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tierlake.llm.common import without
+from tierlake.llm.common import Scratch, without
 
 LAMBDA_MOST = 32.0  # mean that one inverted distribution may have; larger rates are split
 
@@ -79,13 +79,15 @@ def mix(docs, targets, size, id_column="doc_id", source_column="source", seed=17
     rows that repeat an id get the same count. A null id counts as one id. An empty
     table stays empty.
 
-    The rates are one row per source and are joined under Spark's own size check, as
-    a broadcast or as a join that adaptive execution splits at a hot source.
+    The rates are one row per source. They are staged, so that Spark knows their size: it
+    broadcasts them if small, and else joins in a way that adaptive execution splits at a hot
+    source.
     """
     own = ("copy", "rate", "order_key")
     docs = without(docs, *own)
-    by_source = rates(docs, targets, size, source_column, total).select(
-        F.col("source").alias("_source"), F.col("rate").alias("rate"))
+    by_source = Scratch(docs.sparkSession).write(
+        rates(docs, targets, size, source_column, total).select(F.col("source").alias("_source"), "rate"),
+        "rates")
     joined = docs.join(
         by_source, F.col(source_column).eqNullSafe(F.col("_source"))).drop("_source")
     key = F.coalesce(F.col(id_column).cast("string"), F.lit(""))

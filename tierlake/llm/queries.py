@@ -99,8 +99,10 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM base""")
 def _(spark, sf_dir):
     docs = read(spark, sf_dir, "documents", "doc_id", "text", "lang")
-    measured = Scratch(spark).write(quality.measure(docs).drop("text"), "measured")
-    cutoffs = quality.calibrate(measured, read(spark, sf_dir, "labels", "doc_id", "quality"))
+    scratch = Scratch(spark)
+    measured = scratch.write(quality.measure(docs).drop("text"), "measured")
+    labels = read(spark, sf_dir, "labels", "doc_id", "quality")
+    cutoffs = scratch.write(quality.calibrate(measured, labels), "cutoffs")
     return quality.judge(measured, cutoffs).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept")
