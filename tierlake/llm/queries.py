@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tierlake.llm import extract, mixing, packing, quality, secrets, simhash, substrings, urls
+from tierlake.llm import extract, mixing, packing, quality, secrets, simhash, substrings, toxicity, urls
 from tierlake.llm.common import Scratch, configure, read
 
 QUERIES = {}
@@ -264,3 +264,19 @@ def _(spark, sf_dir):
 @query("op2_html_extract")
 def _(spark, sf_dir):
     return extract.extract(read(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
+# --- 6 toxicity ----------------------------------------------------------------
+
+
+def held_out(doc_id="doc_id"):
+    return F.crc32(F.col(doc_id).cast("string")) % 5 == 0
+
+
+@query("op6_toxicity")
+def _(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    labels = read(spark, sf_dir, "labels", "doc_id", "toxic").where(~held_out())
+    lexicon = toxicity.train(docs, labels)
+    scored = toxicity.score(docs, lexicon)
+    return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
