@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tierlake.llm import extract, mixing, packing, quality, secrets, simhash, substrings, toxicity, urls
+from tierlake.llm import caps, extract, mixing, packing, quality, secrets, simhash, substrings, toxicity, urls
 from tierlake.llm.common import Scratch, configure, read
 
 QUERIES = {}
@@ -280,3 +280,28 @@ def _(spark, sf_dir):
     lexicon = toxicity.train(docs, labels)
     scored = toxicity.score(docs, lexicon)
     return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
+# --- 10 vectors ----------------------------------------------------------------
+
+
+@query("op10_embedding_near_dedup", f"""
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+units AS (SELECT vec_id, v, sqrt(list_dot_product(v, v)) AS norm FROM vectors),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM units a JOIN units b
+    ON a.vec_id <> b.vec_id AND list_dot_product(a.v, b.v) / (a.norm * b.norm) >= {caps.THRESHOLD}),
+reached AS (
+  SELECT vec_id AS a, vec_id AS b FROM units
+  UNION
+  SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a),
+smallest AS (SELECT a, min(b) AS component_id FROM reached GROUP BY a),
+degrees AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(component_id, vec_id) AS component_id,
+       coalesce(component_id, vec_id) = vec_id AS kept
+FROM embeddings e LEFT JOIN smallest s ON e.vec_id = s.a LEFT JOIN degrees d ON e.vec_id = d.a""")
+def _(spark, sf_dir):
+    return caps.near_duplicates(read(spark, sf_dir, "embeddings", "vec_id", "embedding"))
