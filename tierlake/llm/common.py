@@ -54,6 +54,18 @@ class Scratch:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def hash_sample(df, column, rows):
+    """The rows of ``df`` with the smallest hashes of ``column``: about ``rows`` of them, or all.
+
+    The same rows at every run; equal values are in or out together. Nothing is sorted
+    and only the row count reaches the driver.
+    """
+    share = rows / max(df.count(), 1)
+    if share >= 1:
+        return df
+    return df.where(F.xxhash64(column) < -(1 << 63) + int(share * (1 << 64)))
+
+
 def read(spark, sf_dir, table, *columns):
     return spark.read.parquet(f"{sf_dir}/{table}.parquet").select(*columns)
 

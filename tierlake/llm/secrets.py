@@ -7,6 +7,8 @@ import math
 
 from pyspark.sql import functions as F
 
+from tierlake.llm.common import hash_sample
+
 KINDS = ["assign", "access", "hex", "markov"]
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ASSIGN_LEAST = 12
@@ -38,11 +40,11 @@ def random_strings(spark, rows=3000):
 def ordinary_identifiers(docs, text_column="text", rows=2000):
     """Labelled samples of what is no secret: words and names put together from neighbouring words.
 
-    They come from at most ``rows`` documents, those with the smallest hash of their text; of
-    these, every word of letters counts.
+    They come from about ``rows`` documents, those with the smallest hash of their text, copies
+    counted once; of these, every word of letters counts.
     """
-    text = F.col(text_column).cast("string")
-    some = docs.select(text.alias("t")).where("t IS NOT NULL").orderBy(F.xxhash64("t"), "t").limit(rows)
+    texts = docs.select(F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("t"))
+    some = hash_sample(texts, "t", rows).dropDuplicates(["t"])
     words = some.select(F.regexp_extract_all("t", F.lit(r"[A-Za-z]{2,}"), 0).alias("w"))
     three = F.slice("w", F.col("i"), 3)
     named = words.where("size(w) >= 3").select(
