@@ -11,7 +11,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
-from tierlake.llm.common import Scratch
+from tierlake.llm.common import Scratch, hash_sample
 from tierlake.llm.words import words
 
 # Letters of other alphabets, and digits, that look like the Latin letter.
@@ -124,7 +124,7 @@ def train(docs, labels, id_column="doc_id", text_column="text", label="toxic", l
           least=4, purity=3.0, most=5_000, exceptions=()):
     """A :class:`Lexicon` from documents with a 0/1 label.
 
-    Learns from at most ``labelled`` labelled documents, those with the smallest hash of the
+    Learns from about ``labelled`` labelled documents, those with the smallest hash of the
     id; conflicting labels of an id and nulls are left out. Entries are words and word
     beginnings of 4 to 7 letters whose smoothed log-odds of being in a toxic document are
     at least ``purity``, in ``least`` or more toxic documents; at most ``most`` of them, the
@@ -139,7 +139,7 @@ def train(docs, labels, id_column="doc_id", text_column="text", label="toxic", l
     """
     given = labels.where(f"{id_column} IS NOT NULL AND {label} IS NOT NULL").groupBy(id_column).agg(
         F.min(label).alias("y"), F.max(label).alias("_y")).where("y = _y").drop("_y")
-    sample = given.orderBy(F.xxhash64(id_column), id_column).limit(labelled)
+    sample = hash_sample(given, id_column, labelled)
     sampled = docs.select(F.col(id_column).alias("_id"), F.col(text_column).cast("string").alias("_text")).join(
         sample.select(F.col(id_column).alias("_id"), "y"), "_id")
     kind = sampled.schema["_id"].dataType.simpleString()
