@@ -1,0 +1,60 @@
+import pytest
+from pyspark.sql import functions as F
+
+from tests.llm.helpers import edge_docs
+from tierlake.llm import toxicity
+from tierlake.llm.common import configure, read
+from tierlake.llm.queries import held_out
+
+
+@pytest.mark.parametrize("written", ["idiot", "IDIOT", "1d10t", "іdіоt", "ｉｄｉｏｔ", "ídïöt", "id\u200biot", "𝐢𝐝𝐢𝐨𝐭", "id!ot"])
+def test_folding(written):
+    assert toxicity.fold(written) == " idiot "
+
+
+def test_signs_are_letters_only_inside_words():
+    assert toxicity.fold("stupid$$$ w@y! a|b $5") == " stupid way aib s "
+    assert toxicity.fold("loser") == toxicity.fold("1oser") == toxicity.fold("Ioser")
+    assert toxicity.fold("") == toxicity.fold(None) == toxicity.fold("...") == " "
+
+
+def test_hits_and_exceptions():
+    lexicon = toxicity.Lexicon({" bad ": 2.0, " wor": 3.0}, ["not bad"])
+    assert [h[2] for h in lexicon.hits(toxicity.fold("bad worst worse badly"))] == [2.0, 3.0, 3.0]
+    assert lexicon.hits(toxicity.fold("it is not bad")) == []
+    assert len(lexicon.hits(toxicity.fold("not bad, but bad"))) == 1
+    assert lexicon.density("bad x x x") > lexicon.density("bad " + "x " * 500) > lexicon.density("x") == 0
+
+
+def test_learning(spark):
+    configure(spark)
+    rows = [(i, f"some w{chr(97 + i % 26)}rd text " + ("you zorgle now" if i % 4 == 0 else "you there now")
+             + (" fine zorgle cake" if i % 4 == 1 else ""), int(i % 4 == 0)) for i in range(400)]
+    docs = spark.createDataFrame([(i, t + f" u{i}n" * 5 + " ".join(map(str, range(i)))) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    lexicon = toxicity.train(docs, labels, purity=0.5)
+    assert " zorgie " in lexicon.weights
+    assert any("fine zorgie" in phrase for phrase in lexicon.exceptions)
+    scores = {r["doc_id"]: r["predicted"] for r in toxicity.score(docs, lexicon).collect()}
+    assert sum(scores[i] != y for i, _, y in rows) <= 4
+
+
+def test_held_out_documents(spark):
+    configure(spark)
+    sf_dir = "/root/testdata/sf0.1"
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    labels = read(spark, sf_dir, "labels", "doc_id", "toxic")
+    lexicon = toxicity.train(docs, labels.where(~held_out()))
+    scored = toxicity.score(docs.join(labels.where(held_out()), "doc_id"), lexicon).join(labels, "doc_id")
+    counts = {(r["toxic"], r["predicted"]): r["n"] for r in scored.groupBy("toxic", "predicted").agg(F.count("*").alias("n")).collect()}
+    assert counts.get((1, 1), 0) >= 0.8 * (counts.get((1, 1), 0) + counts.get((1, 0), 0))
+    assert counts.get((0, 1), 0) <= 0.01 * (counts.get((0, 1), 0) + counts.get((0, 0), 0))
+
+
+def test_edges(spark):
+    docs = edge_docs(spark)
+    labels = spark.createDataFrame([(3, 1), (4, 0), (4, 1), (None, 1), (5, None), (99, 0)], "doc_id long, toxic int")
+    lexicon = toxicity.train(docs, labels)
+    rows = toxicity.score(docs, lexicon).collect()
+    assert len(rows) == docs.count() and all(0 <= r["score"] <= 1 for r in rows)
+    assert toxicity.score(docs.limit(0), toxicity.train(docs.limit(0), labels.limit(0))).count() == 0

@@ -1,0 +1,39 @@
+import pytest
+
+from tierlake.llm import urls
+from tierlake.llm.common import configure
+
+RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
+         ("a.example.org", "/en/12", "allow"), ("net", "", "block"), ("x.net", "/p", "allow")]
+CASES = [
+    ("http://example.org/es/", "example.org/es/", "block"),
+    ("http://WWW.Example.ORG/es/1?x=/fr/", "example.org/es/", "block"),
+    ("http://example.org/ES/", "org/", "allow"),
+    ("http://badexample.org/es/", "org/", "allow"),
+    ("http://example.org/en/123", "example.org/en/1", "block"),
+    ("http://b.a.example.org/en/123", "a.example.org/en/12", "allow"),
+    ("http://example.org?q", None, "allow"),
+    ("http://net", "net", "block"), ("ftp://x.net/page#top", "x.net/p", "allow"),
+    ("example.org/es/", None, "allow"), ("", None, "allow"), (None, None, "allow"),
+    ("http://org.example/es/", None, "allow"), ("a://b://net/p", None, "allow"),
+    ("http://example.org/" + "é/" * 3000, "org/", "allow"),
+]
+
+
+def test_precedence(spark):
+    configure(spark)
+    pages = spark.createDataFrame([(i, c[0], "x", "y") for i, c in enumerate(CASES)], "page_id long, url string, host string, rule string")
+    rules = spark.createDataFrame([*RULES, RULES[0], (None, "/", "block")], "host string, path string, verdict string")
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in urls.judge(pages, rules).collect()}
+    assert got == {i: c[1:] for i, c in enumerate(CASES)}
+
+
+def test_edges(spark):
+    configure(spark)
+    pages = spark.createDataFrame([(1, "http://net/"), (1, "http://net/"), (None, None)], "page_id long, url string")
+    rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    assert sorted(r["verdict"] for r in urls.judge(pages, rules).collect()) == ["allow", "block", "block"]
+    assert [r["rule"] for r in urls.judge(pages, rules.limit(0)).collect()] == [None] * 3
+    assert urls.judge(pages.limit(0), rules).count() == 0
+    with pytest.raises(ValueError, match="path lengths"):
+        urls.judge(pages, rules, lengths_most=2)
