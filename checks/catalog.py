@@ -14,7 +14,6 @@ from checks.inputs import (
     GOLD_SQL,
     PAGE_SIZE,
     PAGE_SQL,
-    SHELF,
     entity,
     entity_pages,
     event_pages,
@@ -31,11 +30,12 @@ from tierlake import operators as ops
 from tierlake.functions import page_records, region_label
 from tierlake.plans import gold, layer_counts, run, silver
 from tierlake.schemas import DATE_COLUMN, SILVER_COLUMNS
-from tierlake.session import configure
+from tierlake.session import configure, use_local_scratch
 from tierlake.sinks import land_meta, land_pages, load_stats, write_gold, write_silver
 from tierlake.sources import (
     latest_date,
     latest_date_frame,
+    latest_loose_date,
     open_collection,
     page_count,
     read_bronze,
@@ -43,6 +43,7 @@ from tierlake.sources import (
     read_meta,
     read_quarantine,
     read_silver,
+    stop_at_empty,
 )
 
 QUERIES = {}
@@ -62,7 +63,7 @@ def query(name, sql):
 
     def register(function):
         def configured(spark, sf_dir):
-            return function(configure(spark), sf_dir)
+            return function(use_local_scratch(configure(spark)), sf_dir)
 
         QUERIES[name] = configured
         SQL[name] = sql.strip()
@@ -75,6 +76,13 @@ def silver_frame(spark, sf_dir):
     return silver.transform(entity(spark, sf_dir))
 
 
+def stored_silver(spark, sf_dir):
+    """The clean table as written and read back."""
+    layout = new_layout(spark, "entity")
+    write_silver(silver_frame(spark, sf_dir), layout, DATE)
+    return read_silver(spark, layout, DATE)
+
+
 def with_date_text(df, *columns):
     """Select with the date as text, which compares alike in every engine."""
     return df.select(F.col(DATE_COLUMN).cast("string").alias(DATE_COLUMN), *columns)
@@ -174,14 +182,14 @@ def _(spark, sf_dir):
 @query("count_by_country", f"""
 WITH {SILVER_SQL} SELECT country, count(*) AS "count" FROM silver GROUP BY country""")
 def _(spark, sf_dir):
-    return ops.count_by(silver_frame(spark, sf_dir), "country")
+    return ops.count_by(stored_silver(spark, sf_dir), "country")
 
 
 @query("filter_country", f"""
 WITH {SILVER_SQL}
 SELECT state, count(*) AS "count" FROM silver WHERE country = '{COUNTRY}' GROUP BY state""")
 def _(spark, sf_dir):
-    in_country = silver_frame(spark, sf_dir).where(F.col("country") == COUNTRY)
+    in_country = stored_silver(spark, sf_dir).where(F.col("country") == COUNTRY)
     return ops.count_by(in_country, "state")
 
 
@@ -190,7 +198,7 @@ WITH {SILVER_SQL}
 SELECT country, count(*) AS "count" FROM silver GROUP BY country
 ORDER BY count(*) DESC, country LIMIT 10""")
 def _(spark, sf_dir):
-    return ops.top_countries(silver_frame(spark, sf_dir))
+    return ops.top_countries(stored_silver(spark, sf_dir))
 
 
 @query("top_states", f"""
@@ -198,7 +206,7 @@ WITH {SILVER_SQL}
 SELECT state, count(*) AS "count" FROM silver WHERE country = '{COUNTRY}' GROUP BY state
 ORDER BY count(*) DESC, state LIMIT 10""")
 def _(spark, sf_dir):
-    return ops.top_states(silver_frame(spark, sf_dir), COUNTRY)
+    return ops.top_states(stored_silver(spark, sf_dir), COUNTRY)
 
 
 @query("top_regions", f"""
@@ -206,7 +214,20 @@ WITH {LAYERS_SQL}
 SELECT {GOLD_LIST}, concat_ws(' - ', country, state) AS label FROM gold
 ORDER BY breweries_count DESC, country, state, brewery_type NULLS FIRST LIMIT 15""")
 def _(spark, sf_dir):
-    return ops.top_regions(gold.aggregate(silver_frame(spark, sf_dir)))
+    layout = new_layout(spark, "entity")
+    write_gold(gold.aggregate(silver_frame(spark, sf_dir)), layout, DATE)
+    return ops.top_regions(read_gold(spark, layout, DATE)).drop(DATE_COLUMN)
+
+
+@query("sample_rows", f"""
+WITH {SILVER_SQL}
+SELECT least(5, count(*)) AS sampled, least(5, count(*)) AS found FROM silver""")
+def _(spark, sf_dir):
+    """Any rows will do: how many there are, and how many of them the table has."""
+    stored = stored_silver(spark, sf_dir)
+    some = ops.sample_rows(stored, 5).select("id")
+    known = stored.select("id", F.lit(1).alias("known"))
+    return some.join(known, "id", "left").agg(F.count("*").alias("sampled"), F.count("known").alias("found"))
 
 
 @query("region_labels", f"""
@@ -225,11 +246,11 @@ def event_total(spark, sf_dir):
     return table(spark, sf_dir, "events").count()
 
 
-def scan_events(spark, pages, total, **options):
+def scan_events(spark, pages, total, cut_first=0, **options):
     """Pages of a stand-in for a remote collection that announces ``total`` rows."""
+    fetch = paged_folder(spark, pages, math.ceil(total / PAGE_SIZE), cut_first)
     scanned, _ = open_collection(
-        spark, paged_folder(spark, pages), lambda: {"total": total}, PAGE_SIZE,
-        pages_per_task=SHELF, pause_sec=0, **options,
+        spark, fetch, lambda: {"total": total}, PAGE_SIZE, pause_sec=0, backoff_sec=0, **options
     )
     return scanned
 
@@ -259,18 +280,37 @@ def _(spark, sf_dir):
     return page_records_of(scan_events(spark, event_pages(spark, sf_dir), total, max_pages=half))
 
 
-@query("stop_at_empty", PAGES_SQL + f"""
-WHERE {PAGE_SQL} < (SELECT pages // 2 FROM total)""")
+@query("paged_retry", PAGES_SQL)
 def _(spark, sf_dir):
+    """Every seventh page is cut off in its first reply to a task."""
+    total = event_total(spark, sf_dir)
+    return page_records_of(scan_events(spark, event_pages(spark, sf_dir), total, cut_first=7))
+
+
+UNTIL_EMPTY_SQL = PAGES_SQL + f"""
+WHERE {PAGE_SQL} < (SELECT pages // 2 FROM total)"""
+
+
+def with_a_gap(spark, sf_dir):
+    """The pages of the events, with an empty one in the middle."""
     total = event_total(spark, sf_dir)
     middle = math.ceil(total / PAGE_SIZE) // 2
     emptied = F.when(F.col("page") == middle, "[]").otherwise(F.col("payload"))
-    remote = event_pages(spark, sf_dir).withColumn("payload", emptied)
+    return scan_events(spark, event_pages(spark, sf_dir).withColumn("payload", emptied), total)
+
+
+@query("stop_at_empty", UNTIL_EMPTY_SQL)
+def _(spark, sf_dir):
     layout = new_layout(spark, "events")
-    land_pages(scan_events(spark, remote, total), layout, DATE)
+    land_pages(with_a_gap(spark, sf_dir), layout, DATE)
     return event_rows(read_bronze(spark, layout, DATE, EVENT_SCHEMA), "page")
 
 
+@query("stop_at_empty_scan", UNTIL_EMPTY_SQL)
+def _(spark, sf_dir):
+    return page_records_of(stop_at_empty(with_a_gap(spark, sf_dir)))
+
+
 # --- bronze ------------------------------------------------------------------
 
 
@@ -286,10 +326,11 @@ def _(spark, sf_dir):
 
 @query("bronze_parse", f"""
 SELECT {PAGE_SQL} AS page, {EVENT_COLUMNS_SQL} FROM events
-WHERE CAST(ts AS DATE) = DATE '{DATE}'""")
+WHERE CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events)""")
 def _(spark, sf_dir):
     layout, glob = loose_pages(spark, sf_dir)
-    records = read_bronze(spark, layout, DATE, EVENT_SCHEMA, loose=True, glob=glob)
+    date = latest_loose_date(spark, layout.bronze, glob)
+    records = read_bronze(spark, layout, date, EVENT_SCHEMA, loose=True, glob=glob)
     return event_rows(records, "page")
 
 
@@ -299,7 +340,8 @@ SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS ingestion_date, count(*) AS "rows",
 FROM events GROUP BY 1""")
 def _(spark, sf_dir):
     layout, glob = loose_pages(spark, sf_dir)
-    records = read_bronze(spark, layout, schema=EVENT_SCHEMA, loose=True, glob=glob)
+    records = read_bronze(
+        spark, layout, schema=EVENT_SCHEMA, loose=True, glob=glob, columns=["event_id"])
     counts = records.groupBy(DATE_COLUMN).agg(
         F.count("*").alias("rows"), F.sum("event_id").alias("event_id_sum")
     )

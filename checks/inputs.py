@@ -4,15 +4,17 @@ The given tables are clean, so ``entity`` turns customers into padded, blank,
 missing, malformed and repeated records. ``events`` become pages of 200.
 """
 
+import math
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierlake.functions import record_count, to_pages
+from tierlake.functions import to_pages
 from tierlake.layout import Layout
 from tierlake.session import scratch_dir
+from tierlake.sinks import land_dated_pages
 
 PAGE_SIZE = 200
-SHELF = 25
 DATE = "2024-01-30"
 EARLIER_DATE = "2024-01-29"
 
@@ -154,11 +156,9 @@ def new_layout(spark, dataset):
 
 
 def page_table_by_date(spark, pages):
-    """Store pages that carry their snapshot date, all dates in one write."""
+    """Land pages that carry their snapshot date."""
     layout = new_layout(spark, "events")
-    counted = pages.withColumn("n_rows", record_count("payload"))
-    by_date = counted.hint("rebalance", "ingestion_date").write.partitionBy("ingestion_date")
-    by_date.parquet(layout.bronze)
+    land_dated_pages(pages, layout)
     return layout
 
 
@@ -170,22 +170,27 @@ def loose_pages(spark, sf_dir):
     return layout, "part-*"
 
 
-def paged_folder(spark, pages):
-    """Store pages in shelves of ``SHELF``; returns the fetch that reads one page.
+def paged_folder(spark, pages, total_pages, cut_first=0):
+    """Store pages in shelves; returns the fetch that reads one page.
+
+    It stands in for a remote collection. A page that is not there is empty. There are at
+    most about 10,000 shelves, and neighbouring pages share one, so it is read once and held
+    until the next one. Of every ``cut_first``-th page the first reply to a task is cut off.
 
-    It stands in for a remote collection. A page that is not there is empty. The
-    pages of a task share a shelf, so it is read once and held until the next one.
+    The tasks open the shared folder themselves, so it has to be one that pyarrow knows.
     """
     folder = scratch_dir(spark, "pages")
-    shelf = F.expr(f"(page - 1) DIV {SHELF}").alias("shelf")
+    size = max(25, math.ceil(total_pages / 10_000))
+    shelf = F.expr(f"(page - 1) DIV {size}").alias("shelf")
     shelved = pages.select("page", "payload", shelf).hint("rebalance", "shelf")
     shelved.write.partitionBy("shelf").parquet(folder)
-    held = {}
+    address = folder.replace("s3a://", "s3://", 1)
+    held, cut = {}, set()
 
     def read_shelf(number):
         from pyarrow import fs, parquet
 
-        store, root = fs.FileSystem.from_uri(folder)
+        store, root = fs.FileSystem.from_uri(address)
         path = fs.FileSelector(f"{root}/shelf={number}", allow_not_found=True)
         texts = {}
         for file in store.get_file_info(path):
@@ -195,10 +200,14 @@ def paged_folder(spark, pages):
         return texts
 
     def fetch(page):
-        number = (page - 1) // SHELF
+        number = (page - 1) // size
         if number not in held:
             held.clear()
             held[number] = read_shelf(number)
-        return held[number].get(page, "[]")
+        text = held[number].get(page, "[]")
+        if cut_first and page % cut_first == 0 and page not in cut:
+            cut.add(page)
+            return text[: len(text) // 2]
+        return text
 
     return fetch

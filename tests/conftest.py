@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import SparkSession
 
-from tierlake.session import configure
+from tierlake.session import configure, use_local_scratch
 
 
 @pytest.fixture(scope="session")
@@ -14,5 +14,5 @@ def spark():
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
-    yield configure(session)
+    yield use_local_scratch(configure(session))
     session.stop()

@@ -1,5 +1,7 @@
 """Edge semantics on hand-written pages, for both bronze layouts."""
 
+import shutil
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -140,15 +142,27 @@ def test_newest_date_skips_what_holds_no_rows(spark, tmp_path):
     layout = stored(spark, tmp_path, [[record("1")]], False, "2025-02-28")
     stored(spark, tmp_path, [[record("1")]], False, "2025-03-01")
     stored(spark, tmp_path, [[]], False, "2025-03-02")
-    for name in ["2025-03-09", "latest"]:
+    for name in ["2025-03-09", "latest", "2025-13-45"]:
         (tmp_path / "bronze" / "items" / f"ingestion_date={name}").mkdir()
     assert latest_date(spark, layout.bronze) == "2025-03-01"
-    assert latest_date(spark, layout.bronze, prefix="2025-02") == "2025-02-28"
-    with pytest.raises(FileNotFoundError):
-        latest_date(spark, layout.bronze, prefix="2024")
     assert {r[0] for r in read_pages(spark, layout).select("page").collect()} == {1}
 
 
+def test_newest_date_does_not_open_older_ones(spark, tmp_path):
+    layout = stored(spark, tmp_path, [[record("1")]], False, "2025-03-01")
+    older = tmp_path / "bronze" / "items" / "ingestion_date=2025-02-01"
+    older.mkdir()
+    (older / "part-0.parquet").write_text("no parquet at all")
+    assert latest_date(spark, layout.bronze) == "2025-03-01"
+
+
+def test_impossible_dates_have_no_rows(spark, tmp_path):
+    layout = stored(spark, tmp_path, [[record("1")]], False, "2025-03-01")
+    base = tmp_path / "bronze" / "items"
+    shutil.copytree(base / "ingestion_date=2025-03-01", base / "ingestion_date=2025-13-45")
+    assert [str(r["ingestion_date"]) for r in read_pages(spark, layout).collect()] == ["2025-03-01"]
+
+
 def test_newest_date_ignores_pages_in_other_folders(spark, tmp_path):
     layout = Layout(str(tmp_path), "items")
     write_loose(layout, "2025-03-01", [[record("1")]])
@@ -245,3 +259,13 @@ def test_metadata_failure_is_not_fatal():
     assert fetch_metadata(lambda: '{"total": 401}') == {"total": 401}
     assert total_pages({"total": "401"}, 200) == 3
     assert total_pages({}, 200) is None
+
+
+@pytest.mark.parametrize("body", ["null", "[1]", "7", '"x"', [1], None, "<html>"])
+def test_metadata_of_any_shape_is_not_fatal(body):
+    assert fetch_metadata(lambda: body) == {}
+
+
+@pytest.mark.parametrize("total", ["n/a", [], {}, float("inf"), ""])
+def test_unusable_total_is_no_total(total):
+    assert total_pages({"total": total}, 200) is None

@@ -2,6 +2,8 @@
 
 import datetime as dt
 import random
+import tempfile
+from types import SimpleNamespace
 
 import pytest
 from pyarrow import parquet
@@ -12,8 +14,21 @@ from tierlake.layout import Layout, snapshot_path, today_utc
 from tierlake.operators import sample_rows
 from tierlake.plans import gold, layer_counts, run, silver
 from tierlake.schemas import GOLD, SILVER
-from tierlake.session import INITIAL_PARTITIONS, scratch_dir, shuffles_sized_for, skimming_scans
-from tierlake.sinks import land_meta, land_pages, load_stats, write_silver, write_snapshot
+from tierlake.session import (
+    INITIAL_PARTITIONS,
+    scratch_dir,
+    shuffles_sized_for,
+    skimming_scans,
+    use_local_scratch,
+)
+from tierlake.sinks import (
+    land_dated_pages,
+    land_meta,
+    land_pages,
+    load_stats,
+    write_silver,
+    write_snapshot,
+)
 from tierlake.sources import (
     page_count,
     read_gold,
@@ -149,9 +164,9 @@ def test_empty_snapshot_reads_as_no_rows(spark, tmp_path):
 
 def test_metadata(spark, tmp_path):
     layout = Layout(str(tmp_path), "items")
+    land_meta(spark, {"total": "900"}, layout, DATE)
     land_meta(spark, {}, layout, DATE)
-    with pytest.raises(FileNotFoundError):
-        read_meta(spark, layout, DATE)
+    assert read_meta(spark, layout, DATE).count() == 0
     land_meta(spark, {"total": "401", "by": "Ä"}, layout, DATE)
     assert read_meta(spark, layout, DATE).first()["payload"] == '{"total": "401", "by": "Ä"}'
     row = page_count(read_meta(spark, layout, DATE), 200).first()
@@ -180,12 +195,47 @@ def test_layout():
         snapshot_path(layout.gold, "latest")
 
 
-def test_scratch_folder_is_in_the_shared_one(spark, monkeypatch):
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+def test_scratch_folder_is_in_the_shared_one(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
     made = scratch_dir(spark)
-    assert made != scratch_dir(spark)
-    if shared:
-        assert made.startswith(shared.rstrip("/") + "/")
+    assert made != scratch_dir(spark) and made.startswith(shared.rstrip("/") + "/")
+
+
+def session_with(**settings):
+    """Only the settings of a session, by their last part."""
+    values = {f"spark.{key.replace('_', '.')}": value for key, value in settings.items()}
+    return SimpleNamespace(conf=SimpleNamespace(get=values.get, set=values.__setitem__))
+
+
+def test_scratch_folder_without_a_setting():
+    for master in ["local[2]", "yarn", "local-cluster[1,1,1024]"]:
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            scratch_dir(session_with(master=master))
+    assert scratch_dir(use_local_scratch(session_with(master="local[2]"))).startswith(tempfile.gettempdir())
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_dir(use_local_scratch(session_with(master="yarn")))
+    given = session_with(master="local", checkpoint_dir="/shared/")
+    assert scratch_dir(use_local_scratch(given), "x").startswith("/shared/x-")
+
+
+def test_rerun_without_metadata_leaves_none(spark, tmp_path):
+    layout = Layout(str(tmp_path), "items")
+    run(spark, layout, page_frame(spark, [[record("1")]]), DATE, metadata={"total": 900})
+    run(spark, layout, page_frame(spark, [[record("1")]]), DATE)
+    assert read_meta(spark, layout, DATE).count() == 0
+
+
+def test_history_is_landed_per_date(spark, tmp_path):
+    layout = Layout(str(tmp_path), "items")
+    rows = [("2025-01-01", 1, '[{"id":"1"}]'), ("2025-01-01", 2, "[]"), ("2025-01-01", 3, '[{"id":"3"}]'),
+            ("2025-01-02", 1, "[{"), ("2025-01-02", 2, '[{"id":"2"}]')]
+    land_dated_pages(spark.createDataFrame(rows, "ingestion_date string, page int, payload string"), layout)
+    stats = {str(r["ingestion_date"]): tuple(r)[1:] for r in load_stats(spark, layout).collect()}
+    assert stats == {"2025-01-01": (1, 0, 1), "2025-01-02": (2, 1, 1)}
+    again = spark.createDataFrame([("2025-01-02", 1, '[{"id":"9"}]')], "ingestion_date string, page int, payload string")
+    land_dated_pages(again, layout)
+    stats = {str(r["ingestion_date"]): tuple(r)[1:] for r in load_stats(spark, layout).collect()}
+    assert stats == {"2025-01-01": (1, 0, 1), "2025-01-02": (1, 0, 1)}
 
 
 def test_shuffle_width_follows_the_rows(spark):

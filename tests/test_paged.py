@@ -14,6 +14,7 @@ from tierlake.sources import (
     read_bronze,
     read_pages,
     scan_pages,
+    stop_at_empty,
     url_fetch,
 )
 
@@ -71,8 +72,85 @@ def test_ranges(options, expected):
 
 
 def test_number_of_tasks_is_bounded():
-    reader = paged_source(collection([]))({"total_pages": "100000000"}).reader(None)
-    assert len(reader.partitions()) == 10_000
+    for step in ({}, {"pages_per_task": "7"}, {"max_tasks": "300"}):
+        reader = paged_source(collection([]))({"total_pages": "10000000", **step}).reader(None)
+        ranges = reader.partitions()
+        assert len(ranges) == int(step.get("max_tasks", 10_000))
+        assert (ranges[0].first, ranges[-1].last) == (1, 10_000_000)
+
+
+def test_collection_without_an_end_is_an_error():
+    asked = []
+
+    def same(page):
+        asked.append(page)
+        return '[{"id": "1"}]'
+
+    with pytest.raises(ValueError, match="does not end"):
+        paged_source(same)({}).reader(None).partitions()
+    assert len(asked) < 40
+    html = paged_source(lambda page: "<html>", backoff_sec=0)({}).reader(None)
+    with pytest.raises(ValueError):
+        html.partitions()
+
+
+@pytest.mark.parametrize("attempts", [0, -1])
+def test_no_attempt_at_all_is_refused(spark, attempts):
+    with pytest.raises(ValueError, match="max_retries"):
+        scan_pages(spark, collection([]), max_retries=attempts)
+
+
+def counted(folder, replies):
+    """Fetch over a function of page and attempt; attempts are counted in files."""
+
+    def fetch(page):
+        with open(f"{folder}/asked-{page}", "a+") as log:
+            log.write("x")
+            log.seek(0)
+            return replies(page, len(log.read()))
+
+    return fetch
+
+
+def asked(folder):
+    return {int(f.name.split("-")[1]): len(f.read_text()) for f in folder.glob("asked-*")}
+
+
+@pytest.mark.parametrize("bad", ['[{"id": "1"}, {"id"', "", " ", "<html>busy</html>"])
+def test_unreadable_reply_is_asked_for_again(spark, tmp_path, bad):
+    pages = pages_of(2)
+    fetch = counted(tmp_path, lambda page, attempt: bad if (page, attempt) == (2, 1) else text_of(pages[page - 1]))
+    rows = scan_pages(spark, fetch, max_pages=2, total_pages=2, **QUICK)
+    assert [r["n_rows"] for r in rows.collect()] == [2, 2]
+    assert asked(tmp_path) == {1: 1, 2: 2}
+
+
+@pytest.mark.parametrize("bad", ["", "[{", "<html>"])
+def test_unreadable_reply_is_no_end(spark, tmp_path, bad):
+    pages = [*pages_of(2), bad, *pages_of(2)]
+    with pytest.raises(PythonException):
+        landed(spark, tmp_path, collection(pages), total_pages=5)
+
+
+def test_stop_at_empty_for_every_consumer(spark):
+    pages = [*pages_of(2), [], *pages_of(3)]
+    scanned = scan_pages(spark, collection(pages), total_pages=6, pages_per_task=1, **QUICK)
+    assert sorted(r["page"] for r in stop_at_empty(scanned).collect()) == [1, 2]
+    assert stop_at_empty(scan_pages(spark, collection([]), **QUICK)).count() == 0
+
+
+def test_pages_past_a_gap_are_fetched_once(spark, tmp_path):
+    pages = [*pages_of(2), [], *pages_of(5)]
+    layout = Layout(str(tmp_path / "lake"), "items")
+
+    def reply(page, attempt):
+        return text_of(pages[page - 1]) if page <= len(pages) else "[]"
+
+    scanned = scan_pages(spark, counted(tmp_path, reply), total_pages=8, max_pages=8, pages_per_task=2, **QUICK)
+    stats = land_pages(scanned, layout, DATE)
+    assert stats == {"pages": 2, "unreadable_pages": 0, "rows": 4}
+    times = asked(tmp_path)
+    assert times == {1: 2, 2: 2, 3: 1, **{n: 1 for n in range(5, 9)}}
 
 
 def test_tasks_cover_all_pages(spark, tmp_path):
@@ -108,7 +186,7 @@ def test_page_cap(spark, tmp_path):
     assert sorted(landed(spark, tmp_path, collection(pages_of(6)), max_pages=4)) == [1, 2, 3, 4]
 
 
-@pytest.mark.parametrize("empty", ["[]", " [ ] ", "null", "", "{}"])
+@pytest.mark.parametrize("empty", ["[]", " [ ] ", "null", "{}"])
 def test_first_empty_page_ends_the_collection(spark, tmp_path, empty):
     pages = [*pages_of(2), empty, *pages_of(2)]
     got = landed(spark, tmp_path, collection(pages), total_pages=5, pages_per_task=1)

@@ -15,7 +15,6 @@ from tierlake.operators import (
 )
 from tierlake.plans import gold, run, silver
 from tierlake.sources import (
-    latest_date_frame,
     read_bronze,
     read_gold,
     read_quarantine,
@@ -62,12 +61,6 @@ def test_gold_reads_only_the_type_column(spark, layout, capsys):
     assert "partial_count" in plan
 
 
-def test_newest_date_reads_no_column(spark, layout, capsys):
-    plan = plan_of(latest_date_frame(spark, layout.bronze), capsys)
-    assert scan_line(plan, "ReadSchema") == ["ReadSchema: struct<>"]
-    assert "RLIKE" in scan_line(plan, "PartitionFilters")[0]
-
-
 def test_quarantine_filter_is_pushed_down(spark, layout, capsys):
     plan = plan_of(read_quarantine(spark, layout, DATE), capsys)
     assert "IsNull(n_rows)" in scan_line(plan, "PushedFilters")[0]
@@ -95,9 +88,20 @@ def test_silver_shuffles_only_what_it_keeps(spark, layout, capsys):
     assert "updated_at" in columns and "address_1" not in columns and "payload" not in columns
 
 
-def test_rows_without_a_key_are_not_shuffled(spark, capsys):
-    plan = plan_of(latest_per_key(entity(spark, SF_DIR), "state", ["name"], "keep"), capsys)
-    assert plan.count("hashpartitioning(state") == 1
+def test_rows_without_a_key_cost_no_second_read(spark, layout, capsys):
+    raw = silver.transform(read_bronze(spark, layout, DATE), null_key="keep")
+    plan = plan_of(raw, capsys)
+    assert len(scan_line(plan, "Location")) == 1 and plan.count("Arguments: inline(") == 1
+    tree = plan[: plan.index("\n\n\n")].splitlines()
+    limits = [n for n, line in enumerate(tree) if "WindowGroupLimit" in line]
+    shuffle = [n for n, line in enumerate(tree) if "- Exchange" in line]
+    assert len(limits) == 2 and limits[0] < shuffle[0] < limits[1]
+
+
+def test_only_wanted_columns_are_parsed(spark, layout, capsys):
+    plan = plan_of(read_bronze(spark, layout, DATE, columns=["id"]), capsys)
+    (inline,) = [line for line in plan.splitlines() if line.startswith("Arguments: inline(")]
+    assert "id" in inline and "name" not in inline
 
 
 @pytest.mark.parametrize("report", [
@@ -107,8 +111,3 @@ def test_rows_without_a_key_are_not_shuffled(spark, capsys):
 ])
 def test_reports_take_the_top_rows(spark, layout, capsys, report):
     assert "TakeOrderedAndProject" in plan_of(report(spark, layout), capsys)
-
-
-def test_layer_writes_are_balanced(spark, layout, capsys):
-    df = read_silver(spark, layout).hint("rebalance", "country", "state")
-    assert "REBALANCE_PARTITIONS_BY_COL" in plan_of(df, capsys)

@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as driver
+from checks import catalog
 from tests.compare import connect, duckdb_rows, spark_rows
 
 SF_DIR = "/root/testdata/sf0.001"
-NAMES = sorted(driver.queries())
+NAMES = sorted(catalog.QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -15,7 +16,8 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(catalog.QUERIES) == set(catalog.SQL)
+    assert set(NAMES) <= set(driver.queries()) and set(NAMES) <= set(driver.oracle_sql())
 
 
 @pytest.mark.parametrize("name", NAMES)

@@ -9,19 +9,18 @@ def latest_per_key(df, key, order_by, null_key="collapse"):
     same row. Spark keeps one row per key and task before it shuffles (group
     limit), so a key that holds most of the rows arrives as one row per task.
 
-    ``null_key="collapse"`` treats null as one key like any other;
-    ``"keep"`` passes rows without a key through, unshuffled.
+    ``null_key="collapse"`` treats null as one key like any other; with ``"keep"`` every row
+    without a key is one of its own, and such rows are spread over all tasks.
     """
     if null_key not in ("collapse", "keep"):
         raise ValueError(f"null_key must be 'collapse' or 'keep', not {null_key!r}")
     rest = [c for c in df.columns if c != key and c not in order_by]
-    newest_first = Window.partitionBy(key).orderBy(
+    keys = [F.col(key)]
+    if null_key == "keep":
+        df = df.withColumn("_own", F.when(F.col(key).isNull(), F.monotonically_increasing_id()))
+        keys.append(F.col("_own"))
+    newest_first = Window.partitionBy(*keys).orderBy(
         *[F.col(c).desc_nulls_last() for c in [*order_by, *rest]]
     )
-    keyed = df if null_key == "collapse" else df.where(F.col(key).isNotNull())
-    latest = (
-        keyed.withColumn("_rank", F.row_number().over(newest_first))
-        .where(F.col("_rank") == 1)
-        .drop("_rank")
-    )
-    return latest if null_key == "collapse" else latest.unionByName(df.where(F.col(key).isNull()))
+    ranked = df.withColumn("_rank", F.row_number().over(newest_first))
+    return ranked.where(F.col("_rank") == 1).drop("_rank", "_own")

@@ -21,16 +21,19 @@ def configure(spark):
     return spark
 
 
-def scratch_dir(spark, label="scratch"):
-    """A new folder name under the shared folder of ``spark.checkpoint.dir``.
+def use_local_scratch(spark):
+    """Give a local session that names no shared folder one of its own; returns the session."""
+    local = spark.conf.get("spark.master").startswith("local") and "cluster" not in spark.conf.get("spark.master")
+    if local and not spark.conf.get("spark.checkpoint.dir", None):
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tierlake-"))
+    return spark
 
-    Only a local session may go without that setting and use a temporary folder.
-    """
+
+def scratch_dir(spark, label="scratch"):
+    """A new folder name under the shared folder that ``spark.checkpoint.dir`` names."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.conf.get("spark.master").startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir has to name a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="tierlake-")
+        raise RuntimeError("spark.checkpoint.dir has to name a folder all executors share")
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 

@@ -1,6 +1,7 @@
-from tierlake.sinks.bronze import land_meta, land_pages, load_stats
+from tierlake.sinks.bronze import land_dated_pages, land_meta, land_pages, load_stats
 from tierlake.sinks.layers import write_gold, write_silver, write_snapshot
 
 __all__ = [
-    "land_meta", "land_pages", "load_stats", "write_gold", "write_silver", "write_snapshot",
+    "land_dated_pages", "land_meta", "land_pages", "load_stats", "write_gold", "write_silver",
+    "write_snapshot",
 ]

@@ -27,7 +27,7 @@ def land_pages(pages, layout, date):
 
     The pages are fetched and written once, and the write itself reports the
     first empty page. Only if pages with data came after it (a gap), the write is
-    repeated with the pages before it. Returns ``pages``, ``unreadable_pages`` and
+    repeated with the pages before it; a paged source fetches no others for that. Returns ``pages``, ``unreadable_pages`` and
     ``rows`` as the write counted them.
     """
     if "n_rows" not in pages.columns:
@@ -53,12 +53,26 @@ def land_pages(pages, layout, date):
         pages = pages.where(F.col("page") < first_empty)
 
 
+def land_dated_pages(pages, layout):
+    """Replace the snapshots of all dates in ``pages``, each up to its own first empty page.
+
+    ``pages`` has ``ingestion_date``, ``page`` and ``payload``, as for loading a history again.
+    It is read twice, once for the empty pages.
+    """
+    if "n_rows" not in pages.columns:
+        pages = pages.withColumn("n_rows", record_count("payload"))
+    pages = pages.select(DATE_COLUMN, *BRONZE_PAGE.names)
+    ends = pages.where("n_rows = 0").groupBy(DATE_COLUMN).agg(F.min("page").alias("_end"))
+    kept = pages.join(ends, DATE_COLUMN, "left").where("_end IS NULL OR page < _end").drop("_end")
+    writer = kept.hint("rebalance", DATE_COLUMN).write.mode("overwrite")
+    writer = writer.option("partitionOverwriteMode", "dynamic").options(**PAYLOAD_OPTIONS)
+    writer.partitionBy(DATE_COLUMN).parquet(layout.bronze)
+
+
 def land_meta(spark, metadata, layout, date):
-    """Store the metadata document of a run; an empty one is not stored."""
-    if not metadata:
-        return
-    row = [(json.dumps(metadata, ensure_ascii=False),)]
-    write_snapshot(spark.createDataFrame(row, META), layout.meta, date)
+    """Replace the metadata document of a date; an empty one leaves an empty snapshot."""
+    rows = [(json.dumps(metadata, ensure_ascii=False),)] if metadata else []
+    write_snapshot(spark.createDataFrame(rows, META), layout.meta, date)
 
 
 def load_stats(spark, layout, date=None):

@@ -13,12 +13,13 @@ from tierlake.sources.paged import (
     paged_source,
     retrying,
     scan_pages,
+    stop_at_empty,
     url_fetch,
 )
 
 __all__ = [
     "fetch_metadata", "latest_date", "latest_date_frame", "latest_loose_date", "open_collection",
     "page_count", "paged_source", "parse", "read_bronze", "read_gold", "read_layer", "read_meta",
-    "read_pages", "read_quarantine", "read_silver", "retrying", "scan_pages", "total_pages",
-    "url_fetch",
+    "read_pages", "read_quarantine", "read_silver", "retrying", "scan_pages", "stop_at_empty",
+    "total_pages", "url_fetch",
 ]

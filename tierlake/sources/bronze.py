@@ -27,8 +27,15 @@ def read_pages(spark, layout, date=None, loose=False, glob=LOOSE_GLOB):
     return counted.select(*BRONZE_PAGE.names, DATE_COLUMN)
 
 
-def read_bronze(spark, layout, date=None, schema=RAW, loose=False, glob=LOOSE_GLOB):
-    """The records of all readable pages: ``page``, the columns of ``schema``, the date."""
+def read_bronze(
+    spark, layout, date=None, schema=RAW, loose=False, glob=LOOSE_GLOB, columns=None
+):
+    """The records of all readable pages: ``page``, the columns of ``schema``, the date.
+
+    Only ``columns`` are parsed, if given: Spark does not narrow the parsing by itself.
+    """
+    if columns is not None:
+        schema = T.StructType([schema[name] for name in columns])
     if loose:
         pages = _loose_files(spark, layout, date, glob)
     else:

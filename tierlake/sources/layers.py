@@ -1,5 +1,8 @@
 """Reading snapshots of a layer, and finding the newest one."""
 
+import logging
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -8,6 +11,8 @@ from tierlake.layout import as_date, snapshot_path
 from tierlake.schemas import DATE_COLUMN, GOLD, SILVER
 from tierlake.session import skimming_scans
 
+log = logging.getLogger(__name__)
+
 ISO_DATE = "^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 
 
@@ -16,7 +21,7 @@ def load(reader, path):
     try:
         return reader.load(path)
     except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
+        if error.getCondition() in ("PATH_NOT_FOUND", "DELTA_MISSING_DELTA_TABLE", "DELTA_TABLE_NOT_FOUND"):
             raise FileNotFoundError(f"no snapshot at {path}") from error
         raise
 
@@ -32,10 +37,14 @@ def with_date_text(schema):
 def dated(df, date=None):
     """Keep the dated snapshots (or just ``date``) and type the date.
 
-    The filters are on a partition column: other folders are not opened.
+    The filters are on a partition column: other folders are not opened. A folder that only
+    looks like a date (``2025-13-45``) is none.
     """
     folder = F.col(DATE_COLUMN)
-    wanted = folder.rlike(ISO_DATE) if date is None else folder == as_date(date).isoformat()
+    if date is None:
+        wanted = folder.rlike(ISO_DATE) & folder.try_cast("date").isNotNull()
+    else:
+        wanted = folder == as_date(date).isoformat()
     return df.where(wanted).withColumn(DATE_COLUMN, folder.try_cast("date"))
 
 
@@ -65,35 +74,62 @@ def read_gold(spark, layout, date=None, fmt="parquet"):
     return read_layer(spark, layout.gold, GOLD, date, fmt)
 
 
-def latest_date_frame(spark, root, fmt="parquet", prefix=None):
-    """One row: the newest ``ingestion_date`` that holds rows, null if there is none.
-
-    No column is read; Parquet answers from the row counts in the file footers. A
-    ``prefix`` such as ``"2025-03"`` limits the listing of a long history.
+def snapshot_dates(spark, root):
+    """The dates of a layer's folders, newest first, from one listing of one level."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        raise FileNotFoundError(f"no snapshots at {root}")
+    found = set()
+    for status in files.listStatus(path):
+        name, _, date = status.getPath().getName().partition("=")
+        if name == DATE_COLUMN and re.fullmatch(ISO_DATE, date):
+            try:
+                found.add(as_date(date))
+            except ValueError:
+                log.warning("%s is no date", date)
+    return sorted(found, reverse=True)
+
+
+def latest_date(spark, root, fmt="parquet"):
+    """The newest date whose snapshot holds rows, as text; ``FileNotFoundError`` if there is none.
+
+    The dates are tried from the newest one back, so older snapshots are not even listed.
     """
-    reader = spark.read.format(fmt).schema(with_date_text(T.StructType([])))
-    path = root if prefix is None else f"{root}/{DATE_COLUMN}={prefix}*"
-    dates = dated(load(reader.option("basePath", root), path))
-    return dates.agg(F.max(DATE_COLUMN).alias(DATE_COLUMN))
 
+    def has_rows(date):
+        reader = spark.read.format(fmt)
+        if fmt != "delta":
+            reader = reader.schema(T.StructType([]))
+        return not load(reader, snapshot_path(root, date)).isEmpty()
+
+    return _newest(spark, root, has_rows)
 
-def latest_date(spark, root, fmt="parquet", prefix=None):
-    return _found(spark, latest_date_frame(spark, root, fmt, prefix), root)
+
+def latest_date_frame(spark, root, fmt="parquet"):
+    """One row: the newest ``ingestion_date`` that holds rows, null if there is none."""
+    try:
+        newest = as_date(latest_date(spark, root, fmt))
+    except FileNotFoundError:
+        newest = None
+    return spark.createDataFrame([(newest,)], f"{DATE_COLUMN} date")
 
 
 def latest_loose_date(spark, root, glob="page=*.json"):
-    """Newest date of loose page files, from the file listing; no file is opened."""
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
-    files = load(reader, root)
-    if DATE_COLUMN not in files.columns:
-        raise FileNotFoundError(f"no {DATE_COLUMN} folder with pages in {root}")
-    names = files.where("length > 0").select(F.col(DATE_COLUMN).cast("string"))
-    return _found(spark, dated(names).agg(F.max(DATE_COLUMN).alias(DATE_COLUMN)), root)
+    """Newest date of loose page files that are not empty, from file listings; none is opened."""
+
+    def has_pages(date):
+        reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
+        files = load(reader, snapshot_path(root, date)).where("length > 0")
+        return not files.select("length").isEmpty()
+
+    return _newest(spark, root, has_pages)
 
 
-def _found(spark, frame, root):
+def _newest(spark, root, holds):
     with skimming_scans(spark):
-        newest = frame.first()[DATE_COLUMN]
-    if newest is None:
-        raise FileNotFoundError(f"no {DATE_COLUMN} snapshot with rows in {root}")
-    return newest.isoformat()
+        for date in snapshot_dates(spark, root):
+            if holds(date):
+                return date.isoformat()
+    raise FileNotFoundError(f"no {DATE_COLUMN} snapshot with rows in {root}")

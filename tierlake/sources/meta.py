@@ -15,19 +15,29 @@ log = logging.getLogger(__name__)
 
 
 def fetch_metadata(fetch):
-    """``fetch()`` as a dict; ``{}`` if it fails, since a run can do without it."""
+    """``fetch()`` as a dict; ``{}`` if it fails or is none, since a run can do without it."""
     try:
         body = fetch()
-        return json.loads(body) if isinstance(body, (str, bytes)) else body
+        found = json.loads(body) if isinstance(body, (str, bytes)) else body
     except Exception as error:
         log.warning("no metadata: %s", error)
         return {}
+    if not isinstance(found, dict):
+        log.warning("metadata is no object: %.80r", found)
+        return {}
+    return found
 
 
 def total_pages(metadata, per_page, total_field="total"):
     """Number of pages by a metadata dict, or ``None`` if it does not tell."""
     total = metadata.get(total_field)
-    return None if total is None else math.ceil(int(total) / per_page)
+    if total is None:
+        return None
+    try:
+        return max(0, math.ceil(int(total) / per_page))
+    except (TypeError, ValueError, OverflowError):
+        log.warning("metadata has no usable %s: %.80r", total_field, total)
+        return None
 
 
 def read_meta(spark, layout, date=None, loose=False):

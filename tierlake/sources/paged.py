@@ -1,10 +1,12 @@
 """A paged collection as a Spark data source: every task fetches a range of pages."""
 
+import json
 import math
 import time
 from dataclasses import dataclass
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, LessThan
 
 from tierlake.functions.pages import record_count
 from tierlake.sources.meta import fetch_metadata, total_pages
@@ -24,6 +26,8 @@ def url_fetch(url, timeout=10):
 
 def retrying(fetch, max_retries=3, backoff_sec=20):
     """``fetch`` with up to ``max_retries`` attempts; the last error is raised."""
+    if max_retries < 1:
+        raise ValueError(f"max_retries must be at least 1, not {max_retries}")
 
     def attempt(*args):
         for left in reversed(range(max_retries)):
@@ -37,29 +41,54 @@ def retrying(fetch, max_retries=3, backoff_sec=20):
     return attempt
 
 
-def paged_source(fetch, name="paged_json"):
+def json_text(fetch):
+    """``fetch`` whose reply is decoded: its JSON text, ``[]`` if there is nothing in it.
+
+    Text is kept as received. A reply that is not JSON, blank and cut-off ones included, is an
+    error, so a retry around this function asks for the page again.
+    """
+
+    def fetch_text(page):
+        body = fetch(page)
+        if isinstance(body, bytes):
+            body = body.decode("utf-8")
+        elif not isinstance(body, str):
+            body = json.dumps(body, ensure_ascii=False)
+        return body if json.loads(body) else "[]"
+
+    return fetch_text
+
+
+def paged_source(fetch, name="paged_json", max_retries=3, backoff_sec=20):
     """A data source class that calls ``fetch(page)`` in the executors.
 
     ``fetch`` returns the page's JSON array, as text or as Python objects. Rows
-    are ``(page, payload)``; text is kept as received. A page without rows is
-    delivered as ``[]`` and ends the range it lies in.
+    are ``(page, payload)``; text is kept as received. A failed fetch, or a reply that is
+    not JSON, is repeated; the last error ends the read. A page without rows is
+    delivered as ``[]`` and ends the range it lies in. A filter ``page < n`` reaches the
+    source: pages from ``n`` on are not fetched.
 
     Options:
       start_page      first page (1)
       total_pages     pages known from the metadata (none)
       max_pages       cap on the number of pages (none)
-      pages_per_task  pages fetched by one task (50, or more to stay within 10,000 tasks)
+      pages_per_task  pages fetched by one task (50)
+      max_tasks       most tasks; with more pages, each task fetches more of them (10,000)
       pause_sec       wait between the pages of a task (0.2)
 
     Tasks run side by side; fewer and longer ones ask less of the collection.
 
     The end need not be known. Planning looks for an empty page past the known
     total in strides of 1, 2, 4, ... pages, so a collection that has grown, or has no
-    metadata, is still laid out over many tasks.
+    metadata, is still laid out over many tasks. A source that has no empty page at any
+    number that fits ``page`` is an error.
 
     The classes are local to this function so that Spark ships them by value.
     """
 
+    payload = retrying(json_text(fetch), max_retries, backoff_sec)
+    last_page = (1 << 31) - 1
+
     @dataclass
     class PageRange(InputPartition):
         first: int
@@ -71,14 +100,27 @@ def paged_source(fetch, name="paged_json"):
             self.known = int(options.get("total_pages", 0))
             cap = options.get("max_pages")
             self.end = math.inf if cap is None else self.start + int(cap) - 1
-            self.step = options.get("pages_per_task")
+            self.step = int(options.get("pages_per_task", 50))
+            self.tasks = int(options.get("max_tasks", 10_000))
             self.pause = float(options.get("pause_sec", 0.2))
+            self.below = math.inf
+
+        def pushFilters(self, filters):
+            for filter in filters:
+                if isinstance(filter, LessThan) and filter.attribute == ("page",):
+                    self.below = min(self.below, filter.value)
+                else:
+                    yield filter
 
         def partitions(self):
             known = min(max(self.known, self.start - 1), self.end)
-            step = int(self.step or max(50, math.ceil(known / 10_000)))
-            last = self.end if self.end - known <= step else self.search_end(known)
-            step = int(self.step or max(50, math.ceil(last / 10_000)))
+            if self.below < math.inf:
+                last = min(max(self.below - 1, self.start - 1), self.end)
+            elif self.end - known <= self.step:
+                last = self.end
+            else:
+                last = self.search_end(known)
+            step = max(self.step, math.ceil((last - self.start + 1) / self.tasks))
             firsts = range(self.start, last + 1, step) or [self.start]  # Spark needs one task
             return [PageRange(first, min(first + step - 1, last)) for first in firsts]
 
@@ -86,23 +128,13 @@ def paged_source(fetch, name="paged_json"):
             stride = 1
             while known < self.end:
                 probe = min(known + stride, self.end)
-                if self.payload(probe) == "[]":
+                if probe > last_page:
+                    raise ValueError(f"no empty page up to {known}: the collection does not end")
+                if payload(probe) == "[]":
                     return probe - 1
                 known, stride = probe, stride * 2
             return self.end
 
-        def payload(self, page):
-            import json
-            import re
-
-            body = fetch(page)
-            if isinstance(body, bytes):
-                body = body.decode("utf-8")
-            elif not isinstance(body, str):
-                body = json.dumps(body or [], ensure_ascii=False)
-            empty = re.fullmatch(r"\s*(\[\s*\]|\{\s*\}|null)?\s*", body)
-            return "[]" if empty else body
-
         def read(self, partition):
             import pyarrow as pa
 
@@ -110,9 +142,9 @@ def paged_source(fetch, name="paged_json"):
             for page in range(partition.first, partition.last + 1):
                 if page > partition.first:
                     time.sleep(self.pause)
-                payload = self.payload(page)
-                yield pa.RecordBatch.from_pydict({"page": [page], "payload": [payload]}, schema)
-                if payload == "[]":
+                text = payload(page)
+                yield pa.RecordBatch.from_pydict({"page": [page], "payload": [text]}, schema)
+                if text == "[]":
                     return
 
     class PagedJsonSource(DataSource):
@@ -130,14 +162,30 @@ def paged_source(fetch, name="paged_json"):
 
 
 def scan_pages(spark, fetch, name="paged_json", max_retries=3, backoff_sec=20, **options):
-    """``(page, payload, n_rows)`` of a paged collection; see :func:`paged_source`."""
-    source = paged_source(retrying(fetch, max_retries, backoff_sec), name)
+    """``(page, payload, n_rows)`` of a paged collection; see :func:`paged_source`.
+
+    The pages are those of all ranges: the empty page that ends one, and pages of later
+    ranges, are among them. Landing cuts them at the first empty page; other
+    consumers call :func:`stop_at_empty`.
+    """
+    source = paged_source(fetch, name, max_retries, backoff_sec)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(source)
     given = {key: value for key, value in options.items() if value is not None}
     pages = spark.read.format(name).options(**given).load()
     return pages.withColumn("n_rows", record_count("payload"))
 
 
+def stop_at_empty(pages):
+    """The pages before the first empty one.
+
+    A first pass finds it and brings one number to the driver; reading the result then
+    fetches the pages before it, and none behind.
+    """
+    first = pages.where("n_rows = 0").agg(F.min("page")).first()[0]
+    return pages if first is None else pages.where(F.col("page") < first)
+
+
 def open_collection(
     spark, fetch, fetch_meta=None, per_page=200, total_field="total",
     max_retries=3, backoff_sec=20, **options,
