@@ -5,7 +5,7 @@ import shutil
 import pytest
 from pyspark.sql import functions as F
 
-from tests.pages import DATE, page_frame, record, stored, write_loose
+from tests.pages import DATE, record, stored, write_loose
 from tierlake.layout import Layout
 from tierlake.operators import latest_per_key, trim_strings
 from tierlake.plans import gold, silver
