@@ -2,10 +2,12 @@
 
 import math
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tierlake.llm.common import Scratch, schema_with, without
+from tierlake.llm.hashing import window_hashes, word_hashes
 from tierlake.llm.words import SPACES, words
 
 SYMBOLS = "#*$%&|<>"
@@ -31,6 +33,7 @@ RISK = 0.01
 #: ... unless something happens whose probability is below this, over all rules and strata.
 DELTA = 0.05
 MIN_WORDS = 50
+LONG = 200_000  # words
 REPEAT_PERCENT = 50
 
 
@@ -54,7 +57,18 @@ def counts(text):
 
 
 def repeat_words(own):
-    """Words that lie in a window of three that occurs at least twice in the text."""
+    """Words that lie in a window of three that occurs at least twice in the text.
+
+    Very long texts compare 64-bit hashes of the windows, which take a small part of the memory.
+    """
+    if len(own) > LONG:
+        hashes = window_hashes(word_hashes([b" ".join(own)])[0], 3)
+        _, code, times = np.unique(hashes, return_inverse=True, return_counts=True)
+        at = np.flatnonzero(times[code] > 1)
+        covered = np.zeros(len(own), bool)
+        for shift in range(3):
+            covered[at + shift] = True
+        return int(covered.sum())
     windows = list(zip(own, own[1:], own[2:]))
     if len(set(windows)) == len(windows):
         return 0
@@ -106,26 +120,32 @@ def calibrate(measured, labels, stratum="lang", id_column="doc_id", risk=RISK, d
     """Cutoffs per stratum: ``stratum`` and one nullable double column per rule.
 
     ``measured`` is the output of :func:`measure`, of which the rows with a label serve as
-    the holdout; ``labels`` has the id and ``quality`` (1 good). A document with several
+    the holdout; ``labels`` has the id and ``quality`` (1 good, 0 junk). A document with several
     labels is good if all of them say so; null ids and labels are ignored.
 
     Within a rule and stratum the cutoffs are tested in a fixed order, lenient to strict,
-    and the last one before the first failure is taken, which needs no correction. The
-    rules and strata are corrected by Bonferroni: each sequence is tested at
-    ``delta / (rules x strata)``. A rule that can prove no cutoff rejects nothing (null).
+    up to the first failure, which needs no correction. The rules and strata are corrected by
+    Bonferroni: each sequence is tested at ``delta / (rules x strata)``. Of the proven
+    cutoffs, which hold together, the one is taken that rejects most labelled junk beyond
+    the good documents it rejects; equal ones go to the lenient side. A rule without such a
+    cutoff rejects nothing (null).
 
-    False rejections are counted for all labelled documents in one aggregation; the tests
+    Rejections are counted for all labelled documents in one aggregation; the tests
     run on the small table of counts, in tasks.
     """
-    good = labels.where(f"{id_column} IS NOT NULL AND quality IS NOT NULL").groupBy(id_column).agg(
-        F.min("quality").alias("_good"))
+    labelled = labels.where(f"{id_column} IS NOT NULL AND quality IS NOT NULL").groupBy(id_column).agg(
+        (F.min("quality") == 1).alias("_good"))
     rows = measured.where("NOT base_failed").select(
         id_column, F.col(stratum).cast("string").alias("stratum"),
         *[F.expr(rule).alias(name) for name, rule in RULES.items()])
-    held = rows.join(good.where("_good = 1"), id_column)
+    held = rows.join(labelled, id_column)
+
+    def above(name, good):
+        return F.array(*[F.count_if((F.col(name) > c) & (F.col("_good") == good)) for c in cutoffs[name]])
+
     tallies = held.groupBy("stratum").agg(
-        F.count("*").alias("good"),
-        *[F.array(*[F.count_if(F.col(name) > c) for c in cutoffs[name]]).alias(name) for name in RULES])
+        F.count_if("_good").alias("good"),
+        *[F.struct(above(name, True).alias("false"), above(name, False).alias("junk")).alias(name) for name in RULES])
     strata = tallies.agg(F.count("*").alias("strata"))
     tallies = tallies.join(F.broadcast(strata), F.lit(True))
 
@@ -133,21 +153,22 @@ def calibrate(measured, labels, stratum="lang", id_column="doc_id", risk=RISK, d
         for table in batches:
             for name in RULES:
                 table[name] = [
-                    proven(list(false), good, cutoffs[name], risk, delta / (len(RULES) * strata))
-                    for false, good, strata in zip(table[name], table["good"], table["strata"])]
+                    proven(counts["false"], counts["junk"], good, cutoffs[name], risk, delta / (len(RULES) * strata))
+                    for counts, good, strata in zip(table[name], table["good"], table["strata"])]
             yield table.drop(columns=["strata"]).astype({name: "float64" for name in RULES})
 
     schema = "stratum string, good long, " + ", ".join(f"{name} double" for name in RULES)
     return tallies.mapInPandas(choose, schema)
 
 
-def proven(false, good, cutoffs, risk, level):
-    """The strictest cutoff reached before the first that cannot be proven; none: None."""
-    best = None
-    for n, cutoff in zip(false, cutoffs):
-        if not holds(int(n), int(good), risk, level):
+def proven(false, junk, good, cutoffs, risk, level):
+    """Of the cutoffs before the first that cannot be proven, the most useful; none: None."""
+    best, most = None, 0
+    for k, n, cutoff in zip(map(int, false), map(int, junk), cutoffs):
+        if not holds(k, int(good), risk, level):
             break
-        best = cutoff
+        if n - k > most:
+            best, most = cutoff, n - k
     return best
 
 
@@ -171,13 +192,12 @@ def judge(measured, cutoffs, stratum="lang"):
 def keep(docs, labels, stratum="lang", id_column="doc_id", text_column="text"):
     """``docs`` without the rejected ones; columns and repeated rows stay as they are.
 
-    The cutoffs come from the labelled documents among ``docs`` themselves, which a first,
-    narrow pass measures; a second pass judges every document where it lies, without
-    moving its text.
+    A first pass measures every document, and its narrow rows meet the labels; a second one
+    measures again and judges every document where it lies. So no text is shuffled.
     """
-    held = docs.select(id_column, text_column, stratum).join(
-        labels.select(id_column).distinct(), id_column, "left_semi")
-    measured = measure(held, text_column).drop(text_column)
     scratch = Scratch(docs.sparkSession)
+    narrow = measure(docs.select(id_column, text_column, stratum), text_column).drop(text_column)
+    measured = scratch.write(narrow, "measured")
     cutoffs = scratch.write(calibrate(measured, labels, stratum, id_column), "cutoffs")
+    scratch.drop("measured")
     return judge(measure(docs, text_column), cutoffs, stratum).where("kept").select(*docs.columns)

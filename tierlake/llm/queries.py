@@ -76,10 +76,12 @@ metrics AS (
   {METRICS_SQL}),
 tests(rule, turn, cutoff) AS (VALUES
 {TESTS_SQL}),
-good AS (SELECT doc_id FROM labels GROUP BY doc_id HAVING min(quality) = 1),
+judged AS (SELECT doc_id, min(quality) = 1 AS good FROM labels GROUP BY doc_id),
 tallies AS (
-  SELECT lang, m.rule, turn, cutoff, count(*) AS n, count(*) FILTER (WHERE metric > cutoff) AS k
-  FROM metrics m JOIN good USING (doc_id) JOIN tests t ON m.rule = t.rule
+  SELECT lang, m.rule, turn, cutoff, count(*) FILTER (WHERE good) AS n,
+         count(*) FILTER (WHERE good AND metric > cutoff) AS k,
+         count(*) FILTER (WHERE NOT good AND metric > cutoff) AS junk
+  FROM metrics m JOIN judged USING (doc_id) JOIN tests t ON m.rule = t.rule
   GROUP BY lang, m.rule, turn, cutoff),
 bounds AS (
   SELECT *, CASE WHEN k >= {quality.RISK} * n THEN 1.0 ELSE list_sum(list_transform(
@@ -88,9 +90,10 @@ bounds AS (
     {quality.DELTA} / ({len(RULE_SQL)} * (SELECT count(DISTINCT lang) FROM tallies)) AS level
   FROM tallies),
 chosen AS (
-  SELECT lang, rule, min_by(cutoff, -turn) AS cutoff
+  SELECT lang, rule, cutoff
   FROM (SELECT *, bool_and(p <= level) OVER (PARTITION BY lang, rule ORDER BY turn) AS proven FROM bounds)
-  WHERE proven GROUP BY lang, rule),
+  WHERE proven AND junk > k
+  QUALIFY row_number() OVER (PARTITION BY lang, rule ORDER BY junk - k DESC, turn) = 1),
 rejected AS (
   SELECT DISTINCT m.doc_id FROM metrics m
   JOIN chosen c ON m.rule = c.rule AND m.lang IS NOT DISTINCT FROM c.lang WHERE metric > cutoff)
