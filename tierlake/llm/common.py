@@ -1,11 +1,9 @@
 """Session settings, staged tables and small helpers that the operators share."""
 
-import tempfile
-
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierlake.session import scratch_dir
+from tierlake.session import scratch_dir, use_local_scratch
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -26,11 +24,7 @@ def configure(spark):
     """
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        if not spark.conf.get("spark.master").startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir has to name a folder all executors share")
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tierlake-"))
-    return spark
+    return use_local_scratch(spark)
 
 
 class Scratch:

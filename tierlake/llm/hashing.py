@@ -28,7 +28,13 @@ def word_hashes(texts):
     space = _IS_SPACE[raw]
     starts = np.flatnonzero(space[:-1] & ~space[1:]) + 1
     stops = np.flatnonzero(~space[:-1] & space[1:]) + 1
-    hashes = _mixed(_sums(_TABLE[raw], starts, stops) + (stops - starts).astype(np.uint64))
+    hashes = np.zeros(len(starts), np.uint64)
+    edges = np.searchsorted(starts, np.arange(0, len(raw) + BLOCK_BYTES, BLOCK_BYTES))
+    for a, b in zip(edges, edges[1:]):  # parts of a long text, so that few bytes are widened at a time
+        if a < b:
+            low, high = starts[a], stops[b - 1]
+            hashes[a:b] = _sums(_TABLE[raw[low:high]], starts[a:b] - low, stops[a:b] - low)
+    hashes = _mixed(hashes + (stops - starts).astype(np.uint64))
     lengths = np.fromiter(map(len, texts), np.int64, len(texts))
     first_byte = np.cumsum(lengths + 1) - lengths
     return hashes, np.searchsorted(first_byte, starts, "right") - 1

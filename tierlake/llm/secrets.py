@@ -37,7 +37,7 @@ def random_strings(spark, rows=3000):
         F.lit(1).alias("secret"))
 
 
-def ordinary_identifiers(docs, text_column="text", rows=2000):
+def ordinary_identifiers(docs, text_column="text", rows=500):
     """Labelled samples of what is no secret: words and names put together from neighbouring words.
 
     They come from about ``rows`` documents, those with the smallest hash of their text, copies

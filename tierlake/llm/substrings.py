@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tierlake.llm.common import Scratch
 from tierlake.llm.hashing import blocks, window_hashes, word_hashes
-from tierlake.llm.words import utf8
+from tierlake.llm.words import segments, utf8, words_and_sha
 
 WINDOW = 13
 SHORTEST = 8  # the first level's windows are at most this long
@@ -93,15 +93,23 @@ def _facts(batches):
     """``(id, words_sha, n_words)`` of each text."""
     for batch in batches:
         ids, texts = _columns(batch, "_id", "_text")
-        split = [text.split() for text in _texts(texts)]
+        found = [words_and_sha(text) for text in _texts(texts)]
         yield pa.RecordBatch.from_arrays(
-            [ids, pa.array([_sha(own) for own in split], pa.string()),
-             pa.array([len(own) for own in split], pa.int64())],
+            [ids, pa.array([sha for _, sha in found], pa.string()), pa.array([n for n, _ in found], pa.int64())],
             names=["_id", "words_sha", "n_words"])
 
 
-def _sha(words):
-    return hashlib.sha256(b" ".join(words)).hexdigest()
+def _kept_sha(text, gone):
+    """SHA-256 of the words that stay, joined by one space."""
+    digest, at, first = hashlib.sha256(), 0, True
+    for part in segments(text):
+        own = part.split()
+        kept = [w for w, g in zip(own, gone[at:at + len(own)].tolist()) if not g]
+        if kept:
+            digest.update((b"" if first else b" ") + b" ".join(kept))
+            first = False
+        at += len(own)
+    return digest.hexdigest()
 
 
 def _first_level(lengths):
@@ -166,10 +174,10 @@ def _cover(size):
                 removed = np.cumsum(covered[:-1]) > 0
                 edges = np.searchsorted(windows.owner, np.arange(len(part) + 1))
                 for text, low, high in zip(part, edges, edges[1:]):
-                    own, gone = text.split(), removed[low:high]
+                    gone = removed[low:high]
                     steps = np.flatnonzero(np.diff(np.concatenate(([0], gone.view(np.int8), [0]))))
                     rows.append((
-                        _sha(own), int(gone.sum()), _sha([w for w, g in zip(own, gone.tolist()) if not g]),
+                        words_and_sha(text)[1], int(gone.sum()), _kept_sha(text, gone),
                         [{"start": int(a), "end": int(b)} for a, b in steps.reshape(-1, 2)]))
             columns = list(zip(*rows)) or [[]] * 4
             span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
@@ -221,8 +229,8 @@ def repeated_spans(docs, window=WINDOW, id_column="doc_id", text_column="text"):
         F.col(id_column).cast("long").alias("_id"), F.col(text_column).cast("string").alias("_text"))
     facts = scratch.write(
         given.mapInArrow(_facts, "_id long, words_sha string, n_words long"), "facts")
-    originals = facts.groupBy("words_sha").agg(F.min("_id").alias("original"))
-    facts = scratch.write(facts.join(originals, "words_sha").withColumn(
+    originals = _shared(facts, ["words_sha"], scratch, "originals").withColumnRenamed("first", "original")
+    facts = scratch.write(facts.join(originals, "words_sha", "left").withColumn(
         "is_copy", F.coalesce((F.col("_id") > F.col("original")) & (F.col("n_words") >= window), F.lit(False))
     ).drop("original"), "marked")
     copies = facts.groupBy("_id").agg(F.every("is_copy").alias("gone")).where("gone").select("_id")
@@ -258,7 +266,7 @@ def repeated_spans(docs, window=WINDOW, id_column="doc_id", text_column="text"):
     cut = candidates.drop("known").join(covered, "_id").mapInArrow(
         _cover(window), f"_id long, words_sha string, n_removed long, kept_sha256 string, removed {spans}")
     cut = scratch.write(cut.dropDuplicates(["_id", "words_sha"]), "cut")
-    scratch.drop("facts", f"candidates{turn}", f"known{turn}", "covered", "firsts")
+    scratch.drop("facts", "originals", f"candidates{turn}", f"known{turn}", "covered", "firsts")
 
     whole = F.array(F.struct(F.lit(0).alias("start"), F.col("n_words").cast("int").alias("end")))
     nothing = F.sha2(F.lit(""), 256)

@@ -26,7 +26,7 @@ LOOKALIKES = {
 }
 SIGNS = {"@": "a", "$": "s", "!": "i", "|": "i", "€": "e"}  # letters only between two letters
 SIGN = re.compile(r"(?<=[^\W_])[@$!|€]+(?=[^\W_])")
-LETTERS = re.compile(r"[^\W\d_]+")
+OTHERS = re.compile(r"[\W\d_]+")
 STEMS = (4, 5, 6, 7)  # lengths of word beginnings that can stand for a family of words
 
 
@@ -61,7 +61,8 @@ def fold(text):
     text = (text or "").lower()
     if SIGN.search(text):
         text = SIGN.sub(lambda m: "".join(SIGNS[c] for c in m[0]), text)
-    return " " + "".join(word + " " for word in LETTERS.findall(text.translate(TABLE)))
+    text = OTHERS.sub(" ", text.translate(TABLE)).strip()
+    return f" {text} " if text else " "
 
 
 class Lexicon:

@@ -1,13 +1,11 @@
 """Words of a text: runs of anything but the space and the five ASCII controls 0x09-0x0D."""
 
-import pyarrow as pa
+import hashlib
+import re
 
 SPACES = " \t\n\x0b\x0c\r"
-
-
-def words(text):
-    """The words as UTF-8 bytes; ``bytes.split`` knows exactly these six separators."""
-    return utf8(text).split()
+_SPACE = re.compile(rb"[ \t\n\x0b\x0c\r]")
+SEGMENT = 1 << 20
 
 
 def utf8(text):
@@ -15,18 +13,29 @@ def utf8(text):
     return (text or "").encode("utf-8", "surrogatepass")
 
 
-def per_batch(schema, rows):
-    """Function for ``mapInArrow`` that makes columns of ``schema`` from each input batch.
+def segments(raw, size=SEGMENT):
+    """Parts of about ``size`` bytes of a UTF-8 text, cut at white space: few objects at a time."""
+    at = 0
+    while len(raw) - at > size:
+        space = _SPACE.search(raw, at + size)
+        if space is None:
+            break
+        yield raw[at:space.start()]
+        at = space.start()
+    yield raw[at:] if at else raw
 
-    ``rows(batch)`` returns a list of columns (lists or arrays).
-    """
 
-    def run(batches):
-        for batch in batches:
-            if batch.num_rows:
-                columns = rows(batch)
-                arrays = [pa.array(c, f.type) if not isinstance(c, pa.Array) else c
-                          for c, f in zip(columns, schema)]
-                yield pa.RecordBatch.from_arrays(arrays, schema=schema)
+def words(text):
+    """The words as UTF-8 bytes; ``bytes.split`` knows exactly these six separators."""
+    return utf8(text).split()
+
 
-    return run
+def words_and_sha(raw):
+    """Number of words, and SHA-256 of the words joined by one space."""
+    count, digest = 0, hashlib.sha256()
+    for part in segments(raw):
+        own = part.split()
+        if own:
+            digest.update((b" " if count else b"") + b" ".join(own))
+            count += len(own)
+    return count, digest.hexdigest()
