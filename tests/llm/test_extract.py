@@ -1,6 +1,11 @@
+import html
+import re
+
 import pytest
 
+from tests.llm.helpers import SF_DIR
 from tierlake.llm import extract
+from tierlake.llm.queries import QUERIES
 
 PAGE = """<html><head><title>T</title><script>var a="</p>";</script></head><body>
 <nav><a href="/">Home</a></nav><div class="ad">Buy this great new thing now or never again.</div>
@@ -31,6 +36,23 @@ def test_long_page():
     assert extract.main_text(page).count("\n") == 19_999
 
 
+def plain_article(page):
+    """The article of the given pages, which are all made alike."""
+    found = re.search(r"<article>(.*?)(?:</article>|<footer>|$)", page, re.S)[1]
+    found = re.sub(r"<br>", " ", re.sub(r"</?(?:p|h1)>", "\n", found))
+    lines = [" ".join(html.unescape(line).split()) for line in re.sub(r"</?b>", "", found).split("\n")]
+    return "\n".join(filter(None, lines))
+
+
+def test_query_equals_the_articles(spark):
+    pages = {r["page_id"]: r for r in spark.read.parquet(f"{SF_DIR}/pages.parquet").collect()}
+    rows = QUERIES["op2_html_extract"](spark, SF_DIR).collect()
+    assert len(rows) == len(pages)
+    for r in rows:
+        text = plain_article(pages[r["page_id"]]["html"])
+        assert (r["url"], r["text"], r["n_chars"]) == (pages[r["page_id"]]["url"], text, len(text))
+
+
 def test_tree_holds_on_labelled_pages():
     rows, labels = extract.labelled_table()
     assert (extract.decide(extract.trained(), rows) == (labels > 0)).mean() > 0.97
