@@ -7,6 +7,7 @@ from statistics import NormalDist
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierlake.llm.common import Scratch
 from tierlake.llm.components import components
@@ -86,7 +87,7 @@ def _decode(words):
     return run
 
 
-def _linked(threshold):
+def _linked(threshold, kind):
     """``(uid, links, root)`` of the vectors linked within each group of the sorted rows.
 
     A group is two blocks of one cap, or one block with itself; it has at most two blocks
@@ -143,7 +144,7 @@ def _linked(threshold):
             keys = np.column_stack([c.to_numpy().astype(np.int64) for c in (length, cap, low, high)])
             breaks = np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1
             edges = [0, *breaks.tolist(), len(keys)]
-            vectors = [np.frombuffer(v.as_buffer(), np.float64) for v in vector]
+            vectors = [np.frombuffer(v.as_buffer(), kind) for v in vector]
             capped = [np.frombuffer(v.as_buffer(), np.int64) for v in lists]
             uids, sides, sizes = uid.to_numpy(), side.to_numpy(), size.to_numpy()
             for start, stop in zip(edges, edges[1:]):
@@ -158,13 +159,13 @@ def _linked(threshold):
     return run
 
 
-def _packed(words):
-    """As :func:`_decode`, with the vector and its caps as binaries of doubles and longs."""
+def _packed(words, kind):
+    """As :func:`_decode`, with the vector and its caps as binaries of numbers."""
     decode = _decode(words)
 
     def run(batches):
         for batch in decode(batches):
-            vectors = [np.array(v, np.float64).tobytes() for v in batch.column(1).to_pylist()]
+            vectors = [np.array(v, kind).tobytes() for v in batch.column(1).to_pylist()]
             lists = [np.array(c, np.int64).tobytes() for c in batch.column(3).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(vectors, pa.binary()), batch.column(2), batch.column(3),
@@ -200,12 +201,15 @@ def near_duplicates(rows, threshold=THRESHOLD, id_column="vec_id", vector_column
     classes = scratch.write(classes.withColumn("uid", F.monotonically_increasing_id()), "classes")
 
     words = code_size(classes.count())
+    # Single-precision input is shuffled as such; it is compared in double precision all the same.
+    single = rows.schema[vector_column].dataType == T.ArrayType(T.FloatType())
+    kind = np.dtype(np.float32 if single else np.float64)
     decoded = classes.select("uid", "vector", "size").mapInArrow(
-        _packed(words), "uid long, vector binary, size long, caps array<long>, packed binary")
+        _packed(words, kind), "uid long, vector binary, size long, caps array<long>, packed binary")
     decoded = scratch.write(decoded, "decoded")
     # The length of the vector is part of the key: vectors of another length have other caps.
     cap = F.explode("caps").alias("cap")
-    length = (F.length("vector") / 8).cast("int").alias("length")
+    length = (F.length("vector") / kind.itemsize).cast("int").alias("length")
     crowded = decoded.select(cap, length).groupBy("cap", "length").agg(F.count("*").alias("n"))
     crowded = scratch.write(crowded.where(F.col("n") > 1).select(
         "cap", "length", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "crowded")
@@ -218,7 +222,7 @@ def near_duplicates(rows, threshold=THRESHOLD, id_column="vec_id", vector_column
         "length", "cap", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
         "uid", F.col("own").alias("side"), "size", "vector", "packed")
     grouped = grouped.repartition(*keys).sortWithinPartitions(*keys, "uid")
-    linked = grouped.mapInArrow(_linked(threshold), "uid long, links long, root long")
+    linked = grouped.mapInArrow(_linked(threshold, kind), "uid long, links long, root long")
     linked = scratch.write(linked, "linked")
     scratch.drop("decoded", "crowded")
 
