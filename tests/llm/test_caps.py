@@ -57,6 +57,51 @@ def test_crowded_caps_are_cut_into_blocks(spark, monkeypatch, block):
     assert got(spark, rows) == plain(rows, 0.95)
 
 
+def spread(kind, draw, rows, size):
+    """Rows whose length lies in few components."""
+    scale = {"decaying": 1 / np.arange(1, size + 1), "one part": np.where(np.arange(size) < size // 3, 1, 0.05),
+             "sparse": np.ones(size)}[kind]
+    keep = draw.random((rows, size)) < 3 / size if kind == "sparse" else np.ones((rows, size))
+    return draw.standard_normal((rows, size)) * scale * keep + draw.standard_normal((rows, size)) * 0.001
+
+
+def close_pairs(kind, rows):
+    draw = np.random.default_rng(12)
+    base, noise = spread(kind, draw, rows, 64), spread(kind, draw, rows, 64)
+    noise -= (noise * base).sum(1, keepdims=True) / (base**2).sum(1, keepdims=True) * base
+    scale = np.linalg.norm(base, axis=1) / np.linalg.norm(noise, axis=1) * math.tan(math.acos(0.952))
+    return base, base + noise * scale[:, None]
+
+
+@pytest.mark.parametrize("words", [12, 60, 171])
+@pytest.mark.parametrize("kind", ["decaying", "one part", "sparse"])
+def test_close_pairs_meet_where_few_components_hold_the_length(kind, words):
+    codes, missed = caps.codes_needed(64, words, 0.95), 0
+    for a, b in zip(*close_pairs(kind, 300)):
+        a, b = (caps.caps(x / np.linalg.norm(x), words, codes) for x in (a, b))
+        missed += not np.isin(a, b).any()
+    assert missed <= 1
+
+
+def test_recall_where_one_part_holds_the_length(spark, monkeypatch):
+    monkeypatch.setattr(caps, "code_size", lambda vectors: 171)
+    rows = list(enumerate(np.concatenate(close_pairs("one part", 150)).astype(np.float32).tolist()))
+    expected = sum(n for _, n, _, _ in plain(rows, 0.95))
+    found = sum(n for _, n, _, _ in got(spark, rows))
+    assert 0.99 * expected <= found <= expected
+
+
+@pytest.mark.parametrize("dimension, words", [(2, 20), (3, 20), (48, 20), (64, 171)])
+def test_codes_keep_the_miss_probability(dimension, words):
+    draw, codes = np.random.default_rng(5), caps.codes_needed(dimension, words, 0.95)
+    missed = 0
+    for _ in range(500):
+        a, b = np.linalg.qr(draw.standard_normal((dimension, 2)))[0].T
+        b = 0.95 * a + math.sqrt(1 - 0.95**2) * b
+        missed += not np.isin(caps.caps(a, words, codes), caps.caps(b, words, codes)).any()
+    assert missed <= 1
+
+
 def test_recall_of_links(spark):
     draw = np.random.default_rng(9)
     base = draw.standard_normal((700, 48))

@@ -14,8 +14,11 @@ from tierlake.llm.components import components
 
 THRESHOLD = 0.95
 PARTS = 3
-FILTERS = 24  # caps that a vector is to lie in, on average
-LEAST = 12  # caps of every vector; where the threshold gives fewer, the nearest ones
+FILTERS = 12  # caps of one code that a vector is to lie in, on average
+LEAST = 8  # caps of one code for every vector; where the threshold gives fewer, the nearest ones
+MISS = 1e-4  # probability that two vectors just at the threshold share no cap of any code
+TRIALS = 2000  # pairs drawn to see how often one code misses a pair
+MOST_CODES = 256
 BUCKET = 48  # vectors that a cap is to hold, on average
 BLOCK = 1024  # vectors compared with as many others in one step
 
@@ -25,14 +28,18 @@ def code_size(vectors):
     return max(4, math.ceil((vectors * FILTERS / BUCKET) ** (1 / PARTS)))
 
 
-@lru_cache(maxsize=8)
-def codebooks(dimension, words):
-    """Random unit codewords of each part of a vector; a filter is one codeword of each part.
+@lru_cache(maxsize=64)
+def codebooks(dimension, words, code):
+    """A random rotation, and random unit codewords of each part of a rotated vector.
 
-    A part's codewords have the length of its share of the dimensions, so that every
-    filter is a unit vector. Parts without a dimension have one codeword, 0.
+    A filter is one codeword of each part. The rotation makes every two vectors meet as
+    random ones of their cosine do, whichever components hold their length. A part's
+    codewords have the length of its share of the dimensions, so that every filter is a
+    unit vector. Parts without a dimension have one codeword, 0.
     """
-    draw = np.random.Generator(np.random.PCG64(97))
+    draw = np.random.Generator(np.random.PCG64([97, code]))
+    rotation, upper = np.linalg.qr(draw.standard_normal((dimension, dimension)))
+    rotation *= np.sign(np.diag(upper))  # else not all rotations are equally likely
     books = []
     for part in np.array_split(np.arange(dimension), PARTS):
         if len(part) == 0:
@@ -41,17 +48,17 @@ def codebooks(dimension, words):
         book = draw.standard_normal((words, len(part)))
         book *= math.sqrt(len(part) / dimension) / np.linalg.norm(book, axis=1, keepdims=True)
         books.append(book)
-    return books
+    return rotation, books
 
 
-def caps(unit, words):
-    """Numbers of all filters whose product with a unit vector reaches the threshold, sorted.
+def _of_code(unit, words, code):
+    """Numbers of the filters of one code whose product with a unit vector reaches the threshold.
 
     The products of the parts are added up pair by pair; sorted products of the last part
     give the filters that exceed the rest, so filters out of reach are never looked at.
     """
-    books = codebooks(len(unit), words)
-    split = np.array_split(unit, PARTS)
+    rotation, books = codebooks(len(unit), words, code)
+    split = np.array_split(rotation @ unit, PARTS)
     first, second, third = (book @ part for book, part in zip(books, split))
     count = len(first) * len(second) * len(third)
     share = min(FILTERS / count, 0.5)
@@ -68,10 +75,36 @@ def caps(unit, words):
         alpha -= 0.25 / math.sqrt(len(unit))
     pair = np.repeat(near, reach)
     rank = np.arange(len(pair)) - np.repeat(np.cumsum(reach) - reach, reach)
-    return np.sort(pair * len(third) + order[rank])
+    return code * count + pair * len(third) + order[rank]
 
 
-def _decode(words):
+def caps(unit, words, codes):
+    """Numbers of the filters of all codes that a unit vector lies in, sorted."""
+    return np.sort(np.concatenate([_of_code(unit, words, code) for code in range(codes)]))
+
+
+def codes_needed(dimension, words, threshold):
+    """Independent codes of which all miss a pair at ``threshold`` with probability ``MISS`` at most.
+
+    One code's share of missed pairs is measured on random pairs, which after the rotation
+    stand for all pairs, and is taken at its upper bound. It grows with the code, so the
+    number of codes follows the table.
+    """
+    if dimension < 2:
+        return 1
+    draw, missed = np.random.Generator(np.random.PCG64(98)), 0
+    for _ in range(TRIALS):
+        a, b = np.linalg.qr(draw.standard_normal((dimension, 2)))[0].T
+        b = threshold * a + math.sqrt(max(1 - threshold**2, 0)) * b
+        missed += not np.isin(_of_code(a, words, 0), _of_code(b, words, 0)).any()
+    share = (missed + 2 * math.sqrt(missed) + 3) / TRIALS
+    codes = math.ceil(math.log(MISS) / math.log(share)) if share < 1 else MOST_CODES + 1
+    if codes > MOST_CODES:
+        raise ValueError(f"threshold {threshold} is too low for caps")
+    return codes
+
+
+def _decode(words, codes):
     def run(batches):
         for batch in batches:
             found = []
@@ -79,7 +112,7 @@ def _decode(words):
                 vector = np.array(values, np.float64)
                 scale = np.abs(vector).max()
                 vector = vector / scale
-                found.append(caps(vector / np.linalg.norm(vector), words))
+                found.append(caps(vector / np.linalg.norm(vector), words, codes[len(vector)]))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(found, pa.list_(pa.int64()))],
                 names=[*batch.schema.names, "caps"])
@@ -159,9 +192,9 @@ def _linked(threshold, kind):
     return run
 
 
-def _packed(words, kind):
+def _packed(words, codes, kind):
     """As :func:`_decode`, with the vector and its caps as binaries of numbers."""
-    decode = _decode(words)
+    decode = _decode(words, codes)
 
     def run(batches):
         for batch in decode(batches):
@@ -184,8 +217,10 @@ def near_duplicates(rows, threshold=THRESHOLD, id_column="vec_id", vector_column
     different lengths. Rows with a null id count as links of others and are not kept.
 
     Equal vectors are one class, so copies are never paired. Each class's vector goes to
-    all caps of the product code that it lies in, and is compared in double precision
-    with the others there. A cap that holds many vectors is cut into blocks, and every two
+    all caps of the product codes that it lies in, and is compared in double precision
+    with the others there. A pair at the threshold is missed with probability ``MISS``,
+    however its components are spread and however many vectors there are; the number of
+    codes is chosen for that. A cap that holds many vectors is cut into blocks, and every two
     blocks meet in a task of their own. A pair counts in the smallest cap it shares; only
     sums and a spanning forest leave a task, never the pairs.
     """
@@ -201,11 +236,13 @@ def near_duplicates(rows, threshold=THRESHOLD, id_column="vec_id", vector_column
     classes = scratch.write(classes.withColumn("uid", F.monotonically_increasing_id()), "classes")
 
     words = code_size(classes.count())
+    lengths = classes.select(F.size("vector").alias("n")).distinct().collect()
+    codes = {row["n"]: codes_needed(row["n"], words, threshold) for row in lengths}
     # Single-precision input is shuffled as such; it is compared in double precision all the same.
     single = rows.schema[vector_column].dataType == T.ArrayType(T.FloatType())
     kind = np.dtype(np.float32 if single else np.float64)
     decoded = classes.select("uid", "vector", "size").mapInArrow(
-        _packed(words, kind), "uid long, vector binary, size long, caps array<long>, packed binary")
+        _packed(words, codes, kind), "uid long, vector binary, size long, caps array<long>, packed binary")
     decoded = scratch.write(decoded, "decoded")
     # The length of the vector is part of the key: vectors of another length have other caps.
     cap = F.explode("caps").alias("cap")
