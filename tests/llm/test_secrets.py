@@ -73,6 +73,16 @@ def test_model_tells_random_strings_from_names(spark, model):
     assert sum(found[i] for i in range(200, len(found))) <= 2
 
 
+ORDINARY = [
+    "-" * 16, "_" * 16, "/" * 20, "=" * 20, "+---+---+---+---+---+", "2024-01-15/2024-02-15", "2024-05-01T12-30-45",
+    "WWW_EXAMPLE_ORG_HOME", "+1-202-555-0143-2222", "978-3-16-148410-0", "1999/12/31/2000/01/01"]
+
+
+def test_dates_numbers_and_rules_are_no_secrets(spark, model):
+    docs = spark.createDataFrame([(i, f"x {t} y") for i, t in enumerate(ORDINARY)], "doc_id long, text string")
+    assert [ORDINARY[r["doc_id"]] for r in secrets.report(docs, model).collect() if "markov" in r["spans"]] == []
+
+
 def test_redact(spark, model):
     rows = [(1, 'a token = "0123456789abcdef0123" é b'), (2, "clean text"), (3, None), (4, ""), (5, "deadbeefdeadbeef")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")

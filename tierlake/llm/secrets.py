@@ -19,6 +19,9 @@ HEX = r"[0-9a-f]{16,}"
 CANDIDATE = r"[A-Za-z0-9+/_-]{16,}={0,2}"
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-="
+SEPARATORS = "+/_-"
+ORDINARY_RUN = (r"(?<![A-Za-z0-9+/_=-])(?:\+?[0-9]+(?:[+/_-][0-9]+)+|[0-9]{4,}|[A-Z]{2,}(?:[+/_-][A-Z]{2,})+)"
+                r"(?![A-Za-z0-9+/_=-])")
 STATES = len(ALPHABET) + 1  # 0 stands for any other character
 CHUNK = 256
 
@@ -37,11 +40,13 @@ def random_strings(spark, rows=3000):
         F.lit(1).alias("secret"))
 
 
-def ordinary_identifiers(docs, text_column="text", rows=500):
-    """Labelled samples of what is no secret: words and names put together from neighbouring words.
+def ordinary_identifiers(docs, text_column="text", rows=2000):
+    """Labelled samples of what is no secret: names put together from neighbouring words, and numbers.
 
     They come from about ``rows`` documents, those with the smallest hash of their text, copies
-    counted once; of these, every word of letters counts.
+    counted once; of these, every word of letters counts, and every run of numbers or of words
+    in upper case. As texts may hold few of them, dates and numbers in groups are made by rule
+    beside the names.
     """
     texts = docs.select(F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("t"))
     some = hash_sample(texts, "t", rows).dropDuplicates(["t"])
@@ -53,16 +58,39 @@ def ordinary_identifiers(docs, text_column="text", rows=500):
             F.array_join(three, "_"), F.array_join(three, "-"), F.array_join(three, "/"),
             F.array_join(F.transform(three, F.initcap), ""), F.array_join(three, ""),
             F.concat(F.array_join(three, "_"), F.lit("_"), (F.col("i") % 100).cast("string")),
+            F.upper(F.array_join(three, "_")), F.upper(F.array_join(three, "-")), _numbers(three),
         )).alias("text"))
+    runs = some.select(F.explode(F.regexp_extract_all("t", F.lit(ORDINARY_RUN), 0)).alias("text"))
+    named = named.unionByName(runs)
     return named.withColumn("secret", F.lit(0))
 
 
+def _numbers(three):
+    """Column: a date, a time or a number in groups, drawn by the hash of some words."""
+    draw = F.xxhash64(three)
+    digits = F.lpad(F.pmod(draw, F.lit(10**16)).cast("string"), 16, "0")
+    date = F.date_add(F.lit("1970-01-01").cast("date"), F.pmod(draw, F.lit(25000)).cast("int"))
+    day = F.date_format(date, "yyyy-MM-dd")
+    time = F.concat(F.lpad(F.pmod(draw, F.lit(24)).cast("string"), 2, "0"), F.lit("-"),
+                    F.lpad(F.pmod(draw, F.lit(60)).cast("string"), 2, "0"), F.lit("-"), F.substring(digits, 1, 2))
+
+    def groups(sign, *sizes):
+        ends = [sum(sizes[:n]) for n in range(len(sizes))]
+        return F.concat_ws(sign, *[F.substring(digits, at + 1, size) for at, size in zip(ends, sizes)])
+
+    made = F.array(
+        day, F.concat(day, F.lit("/"), day), F.concat(day, F.lit("T"), time), F.date_format(date, "yyyy/MM/dd"),
+        F.date_format(date, "yyyy_MM_dd"), F.concat(F.lit("+"), groups("-", 1, 3, 3, 4, 4)),
+        groups("-", 3, 1, 2, 6, 1), groups("/", 3, 4, 3), groups("_", 4, 4, 4), digits)
+    return F.get(made, F.pmod(F.shiftright(draw, 20), F.lit(10)).cast("int"))
+
+
 def train(samples, smoothing=0.5):
     """Log-likelihood ratio of each pair of characters, as ``STATES`` x ``STATES`` numbers.
 
     ``samples`` has ``text, secret`` (1 random string, 0 ordinary; nulls are ignored). Pairs
     are counted in tasks; at most two numbers for each pair of the fixed alphabet reach
-    the driver.
+    the driver. Separators in a row, as in drawn lines, never speak for a random string.
     """
     index = _indices(F.col("text"))
     pairs = samples.where("text IS NOT NULL AND secret IS NOT NULL").select(
@@ -79,7 +107,11 @@ def train(samples, smoothing=0.5):
     for label, table in seen.items():
         sums = [sum(table[a * STATES:(a + 1) * STATES]) for a in range(STATES)]
         logs[label] = [math.log(n / sums[pair // STATES]) for pair, n in enumerate(table)]
-    return [random - ordinary for random, ordinary in zip(logs[1], logs[0])]
+    ratios = [random - ordinary for random, ordinary in zip(logs[1], logs[0])]
+    signs = [ALPHABET.index(c) + 1 for c in SEPARATORS + "="]
+    for pair in (a * STATES + b for a in signs for b in signs):
+        ratios[pair] = min(ratios[pair], 0.0)
+    return ratios
 
 
 def _index(char):
