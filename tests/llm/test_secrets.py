@@ -83,6 +83,24 @@ def test_dates_numbers_and_rules_are_no_secrets(spark, model):
     assert [ORDINARY[r["doc_id"]] for r in secrets.report(docs, model).collect() if "markov" in r["spans"]] == []
 
 
+@pytest.mark.parametrize("size", [20, 24, 32, 40])
+def test_keys_joined_to_ordinary_text(spark, model, size):
+    draw = random.Random(size)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    text = "this-is-a-long-ordinary-article-about-rivers-and-hills-and-the-sea"
+    rows, keys = [], {}
+    for i in range(60):
+        key, other = ("".join(draw.choices(alphabet, k=size)) for _ in range(2))
+        made = [f"see /{text}/{key} now", f"/{key}/{text}/{other}", f"0123456789abcdef-{key}"][i % 3]
+        rows.append((i, made))
+        keys[i] = [key, other] if i % 3 == 1 else [key]
+    docs = spark.createDataFrame([*rows, (60, f"/{text}/{text}")], "doc_id long, text string")
+    clean = {r["doc_id"]: r["text"] for r in secrets.redact(docs, model).collect()}
+    left = sum(key in clean[i] for i in keys for key in keys[i])
+    assert left <= 0.05 * sum(map(len, keys.values()))
+    assert clean[60] == f"/{text}/{text}"
+
+
 def test_redact(spark, model):
     rows = [(1, 'a token = "0123456789abcdef0123" é b'), (2, "clean text"), (3, None), (4, ""), (5, "deadbeefdeadbeef")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")

@@ -16,6 +16,7 @@ ASSIGN_LEAST = 12
 # stand in these two patterns. In ASSIGN it cannot: a failing match uses up its characters.
 ACCESS = r"AKIA[A-Z0-9]{14,}"
 HEX = r"[0-9a-f]{16,}"
+CANDIDATE_LEAST = 16
 CANDIDATE = r"[A-Za-z0-9+/_-]{16,}={0,2}"
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-="
@@ -136,6 +137,71 @@ def log_likelihood_ratio(text, model):
         lambda s: s["sum"])
 
 
+def random_parts(text, model, threshold):
+    """Column: array of ``(start, end)`` of the parts of ``text`` that the model takes for random.
+
+    The whole text if its ratio reaches ``threshold``; else every part of largest sum that
+    does, widened to the separators around it, if it is then as long as a candidate has to
+    be. A part ends where the sum falls to 0, or by ``threshold`` below its largest value.
+    """
+    table = F.split(F.lit(",".join(map(repr, model))), ",").cast("array<double>")
+    kind = "array<struct<start:int,end:int>>"
+    start = F.struct(
+        F.lit(-1).alias("last"), F.lit(0).alias("at"), F.lit(0.0).alias("total"), F.lit(0.0).alias("sum"),
+        F.lit(0).alias("start"), F.lit(0.0).alias("best"), F.lit(0).alias("end"),
+        F.array().cast(kind).alias("parts"))
+
+    def closed(s):
+        part = F.struct(s["start"].alias("start"), s["end"].alias("end"))
+        return F.when(s["best"] >= threshold, F.concat(s["parts"], F.array(part))).otherwise(s["parts"])
+
+    def step(s, c):
+        ratio = F.when(s["last"] >= 0, F.get(table, s["last"] * STATES + c)).otherwise(0.0)
+        # An array of one element gives the sums a name, so that they are computed once.
+        made = F.transform(F.array(F.struct(ratio.alias("ratio"), (s["sum"] + ratio).alias("sum"))), lambda r: F.struct(
+            c.alias("last"), (s["at"] + 1).alias("at"), (s["total"] + r["ratio"]).alias("total"),
+            F.when((r["sum"] <= 0) | (r["sum"] <= s["best"] - threshold), 0.0).otherwise(r["sum"]).alias("sum"),
+            F.when((r["sum"] <= 0) | (r["sum"] <= s["best"] - threshold), s["at"]).otherwise(s["start"]).alias("start"),
+            F.when((r["sum"] <= 0) | (r["sum"] <= s["best"] - threshold), 0.0)
+            .otherwise(F.greatest(s["best"], r["sum"])).alias("best"),
+            F.when(r["sum"] > s["best"], s["at"] + 1).otherwise(s["end"]).alias("end"),
+            F.when((r["sum"] <= 0) | (r["sum"] <= s["best"] - threshold), closed(s))
+            .otherwise(s["parts"]).alias("parts")))
+        return F.get(made, 0)
+
+    whole = F.array(F.struct(F.lit(0).alias("start"), F.length(text).alias("end")))
+
+    def widened(part):
+        plain = F.translate(text, SEPARATORS + "=", "-" * (len(SEPARATORS) + 1))
+        left = F.substring_index(F.substring(plain, F.lit(1), part["start"]), "-", -1)
+        right = F.substring_index(F.substring(plain, part["end"] + 1, F.length(text)), "-", 1)
+        return F.struct((part["start"] - F.length(left)).alias("start"), (part["end"] + F.length(right)).alias("end"))
+
+    def finish(s):
+        wide = F.array_distinct(F.transform(closed(s), widened))
+        return F.when(s["total"] >= threshold, whole).otherwise(
+            F.filter(wide, lambda p: p["end"] - p["start"] >= CANDIDATE_LEAST))
+
+    return F.aggregate(_indices(text), start, step, finish)
+
+
+def _outside(match, base):
+    """Column: the parts of a match that lie in no base span and are as long as a candidate has to be."""
+    kind = "array<struct<start:int,end:int>>"
+    inside = F.filter(base, lambda b: (b["start"] < match["end"]) & (match["start"] < b["end"]))
+    start = F.struct(match["start"].alias("at"), F.array().cast(kind).alias("gaps"))
+
+    def gap(s, stop):
+        return F.concat(s["gaps"], F.array(F.struct(s["at"].alias("start"), stop.alias("end"))))
+
+    gaps = F.aggregate(inside, start, lambda s, b: F.struct(
+        F.greatest(s["at"], b["end"]).alias("at"), gap(s, b["start"]).alias("gaps")),
+        lambda s: gap(s, match["end"]))
+    return F.transform(F.filter(gaps, lambda g: g["end"] - g["start"] >= CANDIDATE_LEAST), lambda g: F.struct(
+        g["start"].alias("start"), g["end"].alias("end"),
+        F.substring(match["value"], g["start"] - match["start"] + 1, g["end"] - g["start"]).alias("value")))
+
+
 # --- spans ---------------------------------------------------------------------
 
 
@@ -177,8 +243,9 @@ def scan(docs, model, text_column="text", threshold=16.0):
     """``docs`` with ``secret_spans`` and ``_text``: array of ``(start, rank, end)``, sorted.
 
     ``rank`` is the place in ``KINDS``. Beside the patterns, a run of characters as keys are
-    made of is a span of kind ``markov`` if the log-likelihood ratio of the random model
-    against the ordinary one is at least ``threshold`` and it overlaps no span of a pattern.
+    made of, outside the spans of the patterns, is a span of kind ``markov`` if the
+    log-likelihood ratio of the random model against the ordinary one is at least
+    ``threshold``, or else the parts of the run for which it is (:func:`random_parts`).
     Null is an empty text. Everything happens within the row: nothing is shuffled.
     """
     df = docs.withColumn("_text", F.coalesce(F.col(text_column).cast("string"), F.lit("")))
@@ -193,9 +260,10 @@ def scan(docs, model, text_column="text", threshold=16.0):
     assigned = F.filter("_assign", lambda m: F.length(m["value"]) >= ASSIGN_LEAST)
     base = F.concat(ranked(assigned, 0), ranked("_access", 1), ranked("_hex", 2))
     df = df.withColumn("_base", F.sort_array(base))
-    random = F.filter("_candidates", lambda m: ~F.exists(
-        "_base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"]))
-        & (log_likelihood_ratio(m["value"], model) >= threshold))
+    tried = F.flatten(F.transform("_candidates", lambda m: _outside(m, F.col("_base"))))
+    random = F.flatten(F.transform(tried, lambda m: F.transform(
+        random_parts(m["value"], model, threshold), lambda p: F.struct(
+            (m["start"] + p["start"]).alias("start"), (m["start"] + p["end"]).alias("end")))))
     df = df.withColumn("_markov", ranked(random, 3))
     spans = F.when(F.size("_markov") > 0, F.sort_array(F.concat("_base", "_markov"))).otherwise(F.col("_base"))
     return df.withColumn("secret_spans", spans).drop("_assign", "_access", "_hex", "_candidates", "_markov")
