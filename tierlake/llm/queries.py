@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tierlake.llm import caps, extract, mixing, packing, quality, secrets, simhash, substrings, toxicity, urls
+from tierlake.llm import audit, caps, extract, mixing, packing, quality, secrets, simhash, substrings, toxicity, urls
 from tierlake.llm.common import Scratch, configure, read
 
 QUERIES = {}
@@ -308,3 +308,57 @@ SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(component_id, vec_id) AS comp
 FROM embeddings e LEFT JOIN smallest s ON e.vec_id = s.a LEFT JOIN degrees d ON e.vec_id = d.a""")
 def _(spark, sf_dir):
     return caps.near_duplicates(read(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+# --- 12 filter interactions -----------------------------------------------------
+
+FILTER_BITS = "\n".join(
+    f"+ CASE WHEN instr(letters, '{name}') > 0 THEN {1 << bit} ELSE 0 END" for bit, name in enumerate(audit.FILTERS))
+
+
+@query("op12_filter_audit", f"""
+WITH texts AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '{WORD}') AS words
+  FROM documents),
+failing AS (
+  SELECT doc_id, part,
+         CASE WHEN len(words) < {audit.LEAST_WORDS} THEN 1 ELSE 0 END
+         + CASE WHEN 100 * len(list_distinct(words)) < {audit.LEAST_DISTINCT_PERCENT} * len(words) THEN 2 ELSE 0 END
+         + CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g'))
+                     > {audit.MOST_UPPER_PERCENT} * length(text) THEN 4 ELSE 0 END
+         + CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END
+         + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 16 ELSE 0 END AS mask
+  FROM texts),
+marked AS (
+  SELECT part, mask, count(*) AS n, count(*) FILTER (WHERE quality = 1) AS good,
+         count(*) FILTER (WHERE toxic = 1) AS toxic
+  FROM failing f LEFT JOIN labels l ON f.doc_id = l.doc_id GROUP BY part, mask),
+letters AS (SELECT unnest(string_split('{' '.join(audit.FILTERS)}', ' ')) AS l),
+orders AS (
+  SELECT a.l || b.l || c.l || d.l || e.l AS filter_order
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5),
+steps AS (
+  SELECT filter_order, CAST(step AS INTEGER) AS step, substr(filter_order, CAST(step AS BIGINT), 1) AS letters,
+         substr(filter_order, 1, CAST(step AS BIGINT) - 1) AS earlier
+  FROM orders, range(1, 6) AS s(step)),
+bits AS (
+  SELECT filter_order, step, 0 {FILTER_BITS} AS own,
+         0 {FILTER_BITS.replace('letters', 'earlier')} AS earlier
+  FROM steps),
+counted AS (
+  SELECT part, filter_order, step, own,
+         CAST(sum(CASE WHEN mask & (own | earlier) = 0 THEN n ELSE 0 END) AS BIGINT) AS kept,
+         CAST(sum(CASE WHEN mask & own > 0 AND mask & earlier = 0 THEN n ELSE 0 END) AS BIGINT) AS removed,
+         CAST(sum(CASE WHEN mask & own > 0 AND mask & earlier > 0 THEN n ELSE 0 END) AS BIGINT) AS redundant,
+         CAST(sum(CASE WHEN mask = own THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
+         CAST(sum(CASE WHEN mask & own > 0 AND mask & earlier = 0 THEN good ELSE 0 END) AS BIGINT) AS good_lost,
+         CAST(sum(CASE WHEN mask & own > 0 AND mask & earlier = 0 THEN toxic ELSE 0 END) AS BIGINT) AS toxic_lost
+  FROM marked, bits GROUP BY part, filter_order, step, own)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM counted""")
+def _(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    labels = read(spark, sf_dir, "labels", "doc_id", "quality", "toxic")
+    return audit.interactions(audit.postings(docs, labels))
