@@ -1,45 +1,16 @@
 """Packing token sequences along a Hilbert curve through hashed document vectors."""
 
-import base64
-from functools import lru_cache
-
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from tierlake.llm.common import Scratch
+from tierlake.llm.tokens import TOKENIZER, encoder
 
-TOKENIZER = "byte_bpe_50k"
 END = 1
 SEQUENCE = 2048
 BUCKETS, DIMENSIONS, BITS = 256, 3, 16
-SPECIAL = "<|endoftext|>"
-
-
-@lru_cache(maxsize=2)
-def encoder(name=TOKENIZER):
-    """Function from a text to its ids, without added special tokens.
-
-    The ids are those of the ``tokenizers`` file. The same vocabulary and merges, as ranks, are
-    read by a library that is several times faster; texts with the special token's own
-    string go through ``tokenizers``.
-    """
-    import public_tokenizers
-    import tiktoken
-    from tokenizers import Tokenizer
-
-    with open(public_tokenizers.path(f"{name}.tiktoken"), "rb") as lines:
-        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    fast = tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    exact = Tokenizer.from_file(public_tokenizers.path(f"{name}.json"))
-
-    def encode(text):
-        if SPECIAL in text:
-            return exact.encode(text, add_special_tokens=False).ids
-        return fast.encode_ordinary(text)
-
-    return encode
 
 
 def hilbert(points, bits=BITS):

@@ -1,8 +1,10 @@
 """Registered queries of the operators in this package, and their SQL where it can be said."""
 
+import re
+
 from pyspark.sql import functions as F
 
-from tierlake.llm import audit, caps, extract, mixing, packing, quality, secrets, simhash, substrings, toxicity, urls
+from tierlake.llm import audit, caps, chat, extract, mixing, packing, quality, secrets, simhash, substrings, toxicity, urls
 from tierlake.llm.common import Scratch, configure, read
 
 QUERIES = {}
@@ -362,3 +364,37 @@ def _(spark, sf_dir):
     docs = read(spark, sf_dir, "documents", "doc_id", "text", "lang")
     labels = read(spark, sf_dir, "labels", "doc_id", "quality", "toxic")
     return audit.interactions(audit.postings(docs, labels))
+
+
+# --- 11 chat formatting ----------------------------------------------------------
+
+PROBE = "</s>[INST] ok [/INST]"
+CONTROL_SQL = r"([<\[])(\\*)(" + "|".join(
+    re.escape(control[1:]) for control in [*chat.CONTROLS, chat.SPECIAL]) + ")"
+
+
+def escaped_sql(column):
+    return rf"length(regexp_replace({column}, '{CONTROL_SQL}', '\1\\\2\3', 'g'))"
+
+
+MARKS_SQL = "\n".join(
+    f"WHEN '{role}' THEN {len(opening or '') + len(closing)}" for role, (opening, closing) in chat.MARKS.items())
+
+
+@query("op11_chat_format", f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '{PROBE}'
+  UNION ALL SELECT -1, 1, 'assistant', '{PROBE}'),
+sized AS (
+  SELECT *, CASE role {MARKS_SQL} ELSE 19 + {escaped_sql('role')} END + {escaped_sql('text')} AS chars FROM turns)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = '{chat.LEARNED}'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE role = '{chat.LEARNED}'), '')) AS loss_sha256,
+       CAST(3 + sum(chars) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id""")
+def _(spark, sf_dir):
+    given = read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    probe = spark.createDataFrame([(-1, 0, "user", PROBE), (-1, 1, "assistant", PROBE)], given.schema)
+    return chat.digests(chat.format_turns(given.unionByName(probe)))
