@@ -4,7 +4,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from tierlake.llm import audit, caps, chat, extract, mixing, packing, quality, secrets, simhash, substrings, toxicity, urls
+from tierlake.llm import audit, caps, chat, codes, extract, mixing, packing, quality, secrets, simhash, substrings, toxicity, urls
 from tierlake.llm.common import Scratch, configure, read
 
 QUERIES = {}
@@ -398,3 +398,49 @@ def _(spark, sf_dir):
     given = read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
     probe = spark.createDataFrame([(-1, 0, "user", PROBE), (-1, 1, "assistant", PROBE)], given.schema)
     return chat.digests(chat.format_turns(given.unionByName(probe)))
+
+
+# --- 13 vector codes -------------------------------------------------------------
+
+
+def codes_sql():
+    """The rounds one by one: a table of codebook entries as integer lists after each."""
+    floored = f"list_transform(embedding, lambda x: CAST(floor({codes.SCALE} * CAST(x AS DOUBLE)) AS BIGINT))"
+    distance = "list_sum(list_transform(range(1, len(v) + 1), lambda i: (v[i] - e[i]) * (v[i] - e[i])))"
+    tables = [f"""
+whole AS MATERIALIZED (
+  SELECT vec_id, label, {floored} AS ints FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (
+  SELECT vec_id, label, p, ints[p * len(ints) // {codes.PARTS} + 1 : (p + 1) * len(ints) // {codes.PARTS}] AS v
+  FROM whole, range({codes.PARTS}) AS r(p)),
+book0 AS MATERIALIZED (
+  SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS entry, v AS e
+  FROM parts QUALIFY entry < {codes.ENTRIES})"""]
+    for turn in range(codes.ROUNDS + 1):
+        tables.append(f"""
+near{turn} AS MATERIALIZED (
+  SELECT vec_id, label, p, v, entry, {distance} AS d FROM parts JOIN book{turn} USING (p)
+  QUALIFY row_number() OVER (PARTITION BY vec_id, p ORDER BY d, entry) = 1)""")
+        if turn < codes.ROUNDS:
+            tables.append(f"""
+means{turn} AS (
+  SELECT p, entry, list(m ORDER BY i) AS e FROM (
+    SELECT p, entry, i, CAST(floor(sum(v[i]) / count(*)) AS BIGINT) AS m
+    FROM near{turn}, range(1, 100000) AS s(i) WHERE i <= len(v) GROUP BY p, entry, i) GROUP BY p, entry),
+book{turn + 1} AS MATERIALIZED (
+  SELECT p, entry, coalesce(m.e, b.e) AS e FROM book{turn} b LEFT JOIN means{turn} m USING (p, entry))""")
+    last = codes.ROUNDS
+    return "WITH " + ",".join(tables) + f""",
+coded AS (
+  SELECT vec_id, any_value(label) AS label, string_agg(format('{{:02x}}', entry), '' ORDER BY p) AS code,
+         CAST(sum(d) AS BIGINT) AS error FROM near{last} GROUP BY vec_id),
+books AS (
+  SELECT sha256(string_agg(array_to_string(e, ','), ',' ORDER BY p, entry)) AS codebooks_sha256 FROM book{last})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM coded, books"""
+
+
+@query("op13_vector_codes", codes_sql())
+def _(spark, sf_dir):
+    return codes.compress(read(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
