@@ -1,0 +1,101 @@
+from collections import Counter
+from itertools import permutations
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tests.llm.helpers import edge_docs, words
+from tierlake.llm import audit
+from tierlake.llm.common import configure
+
+LONG = "alpha " * 400_000 + "Z" * 1_000_000 + " " * 1_000_000 + "\n" * 100_000
+
+
+def fails(text):
+    own = words(text)
+    return {
+        "A": len(own) < 100, "B": 100 * len(set(own)) < 80 * len(own),
+        "C": 100 * sum("A" <= c <= "Z" for c in text) > 10 * len(text), "D": any(c in "#$%&*|" for c in text)}
+
+
+def plain(docs, labels):
+    """Every order applied to every row, one filter after the other."""
+    rows = [(i, t or "", p or "") for i, t, p in docs]
+    good = {i for i, q, _ in labels if q == 1 and i is not None}
+    toxic = {i for i, _, x in labels if x == 1 and i is not None}
+    ids = {}
+    for i, t, _ in rows:
+        if i is not None:
+            ids[t] = min(ids.get(t, i), i)
+    found = [{**fails(t), "E": i is not None and i > ids[t]} for i, t, _ in rows]
+    out, shapley = [], Counter()
+    for part in {p for _, _, p in rows}:
+        own = [n for n, row in enumerate(rows) if row[2] == part]
+        for order in permutations("ABCDE"):
+            left = set(own)
+            for step, f in enumerate(order, 1):
+                gone = {n for n in left if found[n][f]}
+                left -= gone
+                shapley[part, f] += len(gone)
+                failing = [n for n in own if found[n][f]]
+                out.append([part, "".join(order), step, len(left), len(gone), len(failing) - len(gone),
+                            sum(sum(found[n].values()) == 1 for n in failing),
+                            sum(rows[n][0] in good for n in gone), sum(rows[n][0] in toxic for n in gone)])
+    return sorted((*row, shapley[row[0], row[1][row[2] - 1]]) for row in out)
+
+
+def got(spark, docs, labels):
+    configure(spark)
+    docs = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    return sorted(tuple(r) for r in audit.interactions(audit.postings(docs, labels)).collect())
+
+
+def test_edges(spark):
+    many = " ".join(f"w{i}" for i in range(120))
+    docs = [
+        (1, many, "en"), (2, many, "de"), (3, many, "en"), (3, many, "en"), (3, "short", "en"), (3, "SHORT #", "en"),
+        (4, None, None), (5, "", ""), (6, None, "en"), (None, many, "en"), (None, many, "en"), (None, "x", None),
+        (7, LONG, "en"), (8, LONG, "en"), (9, "a b " * 60, "fr"), (-5, "short", "fr"), (2**60, "é" * 9 + "Z", "fr"),
+    ]
+    labels = [(1, 1, 0), (3, 1, 1), (3, 0, 0), (4, None, 1), (None, 1, 1), (7, 0, 1), (99, 1, 1), (8, 1, None)]
+    assert got(spark, docs, labels) == plain(docs, labels)
+    assert got(spark, [], labels) == []
+    assert {r[7:9] for r in got(spark, docs, [])} == {(0, 0)}
+
+
+def test_clashing_columns(spark):
+    docs = edge_docs(spark)
+    for name in ("part", "mask", "digest", "_id", "_text", "kind", "good", "first", "original"):
+        docs = docs.withColumn(name, docs["kept"])
+    rows = [(r["doc_id"], r["text"], r["lang"]) for r in docs.collect()]
+    marks = [(1, 1, 1)]
+    labels = spark.createDataFrame([(1, 1, 1, "x", True)], "doc_id long, quality int, toxic int, kind string, good boolean")
+    found = sorted(tuple(r) for r in audit.interactions(audit.postings(docs, labels)).collect())
+    assert found == plain(rows, marks)
+
+
+@pytest.mark.parametrize("rows", [3, 50])
+def test_ranges_and_copies(spark, monkeypatch, rows):
+    """Short id ranges, a text that a third of the rows share, and one row many times over."""
+    monkeypatch.setattr(audit, "RANGE", rows)
+    draw = np.random.default_rng(5)
+    texts = ["same text", *[" ".join(draw.choice(list("abcXY#"), n)) for n in (3, 120, 150)]]
+    docs = [(int(i), texts[int(draw.integers(0, 4)) if draw.random() < 0.6 else 0], str(draw.choice(["en", "de"])))
+            for i in draw.integers(0, 300, 400)]
+    docs += [(7, "same text", "en")] * 200
+    labels = [(i, int(draw.integers(0, 2)), int(draw.integers(0, 2))) for i in range(0, 300, 2)]
+    assert got(spark, docs, labels) == plain(docs, labels)
+
+
+lists = st.lists(st.integers(0, 500), max_size=300).map(lambda x: np.array(sorted(set(x)), np.int64))
+
+
+@settings(max_examples=150, deadline=None)
+@given(lists, lists, lists)
+def test_merges(a, b, c):
+    assert audit.union(a, b, c).tolist() == sorted({*a.tolist(), *b.tolist(), *c.tolist()})
+    assert audit.difference(a, b).tolist() == sorted({*a.tolist()} - {*b.tolist()})
+    assert audit.places(a, b).tolist() == np.searchsorted(b, a).tolist()
