@@ -15,6 +15,7 @@ from checks.inputs import (
     PAGE_SIZE,
     PAGE_SQL,
     entity,
+    encoded_pages,
     entity_pages,
     event_pages,
     event_rows,
@@ -334,6 +335,20 @@ def _(spark, sf_dir):
     return event_rows(records, "page")
 
 
+@query("bronze_encodings", f"""
+SELECT {PAGE_SQL} AS page, {EVENT_COLUMNS_SQL}, FALSE AS unreadable FROM events WHERE {PAGE_SQL} % 11 <> 0
+UNION ALL
+SELECT DISTINCT {PAGE_SQL}, NULL::BIGINT, NULL::BIGINT, NULL::BIGINT, NULL::VARCHAR, NULL::DOUBLE, NULL::VARCHAR, TRUE
+FROM events WHERE {PAGE_SQL} % 11 = 0""")
+def _(spark, sf_dir):
+    """Pages in five character sets; every eleventh has bytes that are no text."""
+    layout = encoded_pages(spark, sf_dir)
+    records = event_rows(read_bronze(spark, layout, DATE, EVENT_SCHEMA, loose=True), "page")
+    readable = records.withColumn("unreadable", F.lit(False))
+    unreadable = read_quarantine(spark, layout, DATE, loose=True).select("page", F.lit(True).alias("unreadable"))
+    return readable.unionByName(unreadable, allowMissingColumns=True)
+
+
 @query("bronze_all_dates", """
 SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS ingestion_date, count(*) AS "rows",
        sum(event_id)::BIGINT AS event_id_sum

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierlake.functions import to_pages
-from tierlake.layout import Layout
+from tierlake.layout import Layout, snapshot_path
 from tierlake.session import scratch_dir
 from tierlake.sinks import land_dated_pages
 
@@ -170,6 +170,42 @@ def loose_pages(spark, sf_dir):
     return layout, "part-*"
 
 
+ENCODINGS = ["UTF-8", "UTF-16LE", "UTF-16BE", "UTF-32LE", "UTF-32BE"]
+BYTE_ORDER_MARKS = {
+    "UTF-8": b"\xef\xbb\xbf", "UTF-16LE": b"\xff\xfe", "UTF-16BE": b"\xfe\xff",
+    "UTF-32LE": b"\xff\xfe\0\0", "UTF-32BE": b"\0\0\xfe\xff",
+}
+
+
+def encoded_pages(spark, sf_dir):
+    """Events as loose files ``page=N.json`` in all character sets, with and without a mark.
+
+    Page n has the character set n modulo 5, and a byte order mark if n div 5 is even; of every
+    eleventh page the last byte is missing in the middle of a character. The tasks write the
+    files themselves, so the shared folder has to be one that pyarrow knows.
+    """
+    layout = new_layout(spark, "events")
+    address = snapshot_path(layout.bronze, DATE).replace("s3a://", "s3://", 1)
+
+    def write(batches):
+        from pyarrow import RecordBatch, fs
+
+        store, root = fs.FileSystem.from_uri(address)
+        store.create_dir(root)
+        for batch in batches:
+            for page, payload in zip(batch["page"].to_pylist(), batch["payload"].to_pylist()):
+                name = ENCODINGS[page % 5]
+                content = (BYTE_ORDER_MARKS[name] if page // 5 % 2 == 0 else b"") + payload.encode(name)
+                if page % 11 == 0:
+                    content = content[:-1] + (b"" if name != "UTF-8" else b"\xe2")
+                with store.open_output_stream(f"{root}/page={page}.json") as file:
+                    file.write(content)
+            yield RecordBatch.from_arrays([batch["page"]], names=["page"])
+
+    event_pages(spark, sf_dir).mapInArrow(write, "page int").write.format("noop").mode("overwrite").save()
+    return layout
+
+
 def paged_folder(spark, pages, total_pages, cut_first=0):
     """Store pages in shelves; returns the fetch that reads one page.
 

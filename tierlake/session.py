@@ -38,7 +38,8 @@ def scratch_dir(spark, label="scratch"):
 
 
 @contextmanager
-def _setting(spark, key, value):
+def setting(spark, key, value):
+    """Context in which the session option ``key`` is ``value``."""
     before = spark.conf.get(key, None)
     spark.conf.set(key, value)
     try:
@@ -60,7 +61,7 @@ def shuffles_sized_for(spark, rows, rows_per_partition=1_000_000, most=100_000):
     """
     current = spark.conf.get(INITIAL_PARTITIONS, None) or spark.conf.get(SHUFFLE_PARTITIONS)
     wanted = min(math.ceil(rows / rows_per_partition), most)
-    return _setting(spark, INITIAL_PARTITIONS, str(max(int(current), wanted)))
+    return setting(spark, INITIAL_PARTITIONS, str(max(int(current), wanted)))
 
 
 def skimming_scans(spark, bytes_per_task=16 << 30):
@@ -70,4 +71,4 @@ def skimming_scans(spark, bytes_per_task=16 << 30):
     Larger cuts keep such an action over many terabytes at a few thousand tasks;
     small inputs are still spread over all cores.
     """
-    return _setting(spark, MAX_PARTITION_BYTES, str(bytes_per_task))
+    return setting(spark, MAX_PARTITION_BYTES, str(bytes_per_task))

@@ -7,7 +7,8 @@ from tierlake.functions.pages import page_records, record_count
 from tierlake.layout import snapshot_path
 from tierlake.schemas import BRONZE_PAGE, DATE_COLUMN, RAW
 from tierlake.session import skimming_scans
-from tierlake.sources.layers import dated, load, read_layer, with_date_text
+from tierlake.sources.layers import load, read_layer
+from tierlake.sources.loose import loose_texts
 
 LOOSE_GLOB = "page=*.json"
 PAGE_IN_PATH = r"page=(\d+)[^/]*(?:/[^/]*)?$"
@@ -18,12 +19,14 @@ def read_pages(spark, layout, date=None, loose=False, glob=LOOSE_GLOB):
 
     ``loose=True`` reads one JSON file per page, as other loaders land them,
     instead of the page table. Files that ``glob`` does not match, such as the
-    metadata next to the pages, are left out of the listing.
+    metadata next to the pages, are left out of the listing. A file may be in UTF-8, UTF-16 or
+    UTF-32, with or without a byte order mark; one with bytes that are no text is unreadable,
+    and its payload has U+FFFD for them.
     """
     if not loose:
         return read_layer(spark, layout.bronze, BRONZE_PAGE, date)
-    pages = _loose_files(spark, layout, date, glob)
-    counted = pages.withColumn("n_rows", record_count("payload"))
+    pages = _loose_pages(spark, layout, date, glob)
+    counted = pages.withColumn("n_rows", F.when(F.col("sound"), record_count("payload")))
     return counted.select(*BRONZE_PAGE.names, DATE_COLUMN)
 
 
@@ -37,7 +40,7 @@ def read_bronze(
     if columns is not None:
         schema = T.StructType([schema[name] for name in columns])
     if loose:
-        pages = _loose_files(spark, layout, date, glob)
+        pages = _loose_pages(spark, layout, date, glob).where("sound")
     else:
         pages = read_pages(spark, layout, date).where("n_rows > 0")
     return parse(pages, schema)
@@ -66,19 +69,6 @@ def loose_size(spark, layout, date, glob=LOOSE_GLOB):
         return files.agg(F.count("*").alias("pages"), size.alias("bytes")).first()
 
 
-def _loose_files(spark, layout, date, glob):
-    text = T.StructType([T.StructField("value", T.StringType())])
-    reader = (
-        spark.read.format("text")
-        .schema(with_date_text(text))
-        .option("wholetext", True)
-        .option("pathGlobFilter", glob)
-        .option("basePath", layout.bronze)
-    )
-    path = layout.bronze if date is None else snapshot_path(layout.bronze, date)
-    files = load(reader, path).select(
-        F.regexp_extract("_metadata.file_path", PAGE_IN_PATH, 1).try_cast("int").alias("page"),
-        F.col("value").alias("payload"),
-        DATE_COLUMN,
-    )
-    return dated(files, date)
+def _loose_pages(spark, layout, date, glob):
+    page = F.regexp_extract("path", PAGE_IN_PATH, 1).try_cast("int").alias("page")
+    return loose_texts(spark, layout, date, glob).select(page, "payload", "sound", DATE_COLUMN)

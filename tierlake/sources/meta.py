@@ -5,11 +5,10 @@ import logging
 import math
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tierlake.layout import snapshot_path
 from tierlake.schemas import DATE_COLUMN, META
-from tierlake.sources.layers import dated, load, read_layer, with_date_text
+from tierlake.sources.layers import read_layer
+from tierlake.sources.loose import loose_texts
 
 log = logging.getLogger(__name__)
 
@@ -44,16 +43,7 @@ def read_meta(spark, layout, date=None, loose=False):
     """``(payload, ingestion_date)``, from the metadata table or ``meta.json`` files."""
     if not loose:
         return read_layer(spark, layout.meta, META, date)
-    text = T.StructType([T.StructField("value", T.StringType())])
-    reader = (
-        spark.read.format("text")
-        .schema(with_date_text(text))
-        .option("wholetext", True)
-        .option("pathGlobFilter", "meta.json")
-        .option("basePath", layout.bronze)
-    )
-    path = layout.bronze if date is None else snapshot_path(layout.bronze, date)
-    return dated(load(reader, path), date).select(F.col("value").alias("payload"), DATE_COLUMN)
+    return loose_texts(spark, layout, date, "meta.json").select("payload", DATE_COLUMN)
 
 
 def page_count(meta, per_page, total_field="total"):

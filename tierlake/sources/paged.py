@@ -13,13 +13,13 @@ from tierlake.sources.meta import fetch_metadata, total_pages
 
 
 def url_fetch(url, timeout=10):
-    """Fetch of ``url.format(page=n)`` as text; any URL the standard library opens."""
+    """Fetch of ``url.format(page=n)`` as bytes; any URL the standard library opens."""
 
     def fetch(page=None):
         from urllib.request import urlopen
 
         with urlopen(url.format(page=page), timeout=timeout) as response:
-            return response.read().decode("utf-8")
+            return response.read()
 
     return fetch
 
@@ -44,14 +44,14 @@ def retrying(fetch, max_retries=3, backoff_sec=20):
 def json_text(fetch):
     """``fetch`` whose reply is decoded: its JSON text, ``[]`` if there is nothing in it.
 
-    Text is kept as received. A reply that is not JSON, blank and cut-off ones included, is an
+    Text is kept as received; bytes may be UTF-8, UTF-16 or UTF-32. A reply that is not JSON, blank and cut-off ones included, is an
     error, so a retry around this function asks for the page again.
     """
 
     def fetch_text(page):
         body = fetch(page)
         if isinstance(body, bytes):
-            body = body.decode("utf-8")
+            body = body.decode(json.detect_encoding(body))
         elif not isinstance(body, str):
             body = json.dumps(body, ensure_ascii=False)
         return body if json.loads(body) else "[]"
