@@ -1,0 +1,139 @@
+"""A date is replaced as a whole or not at all."""
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from tests.compare import spark_rows
+from tests.pages import DATE, page_frame, record, stored
+from tierlake.layout import Layout, snapshot_path
+from tierlake.plans import gold, run, silver
+from tierlake.sinks import discard_staged, land_dated_pages, land_pages, load_stats, publish, recover, write_silver
+from tierlake.sources import latest_date, read_gold, read_pages, read_silver
+
+PAGES = "ingestion_date string, page int, payload string"
+
+
+def leftovers(root):
+    return [path.name for path in root.iterdir() if not path.name.startswith("ingestion_date=")]
+
+
+def failing(rows):
+    """``rows``, of which one breaks its task after others have been written."""
+    return rows.withColumn("name", F.when(F.col("id") == "0400", F.raise_error(F.lit("broken"))).otherwise(F.col("name")))
+
+
+def many(spark):
+    return spark.range(0, 500, 1, 16).selectExpr(
+        "lpad(id, 4, '0') AS id", "'n' AS name", "concat('C', id % 3) AS country", "'S' AS state")
+
+
+def test_failed_write_leaves_the_former_snapshot(spark, tmp_path):
+    layout = Layout(str(tmp_path), "items")
+    run(spark, layout, page_frame(spark, [[record("1")], [record("2")]]), DATE)
+    before = [spark_rows(read(spark, layout, DATE)) for read in (read_pages, read_silver, read_gold)]
+    with pytest.raises(PySparkException, match="broken"):
+        write_silver(failing(many(spark)), layout, DATE)
+    bad_page = page_frame(spark, [[record(str(n))] for n in range(9)]).withColumn(
+        "payload", F.when(F.col("page") == 8, F.raise_error(F.lit("broken"))).otherwise(F.col("payload")))
+    with pytest.raises(PySparkException, match="broken"):
+        land_pages(bad_page, layout, DATE)
+    with pytest.raises(PySparkException, match="broken"):
+        land_dated_pages(bad_page.withColumn("ingestion_date", F.lit(DATE)), layout)
+    assert before == [spark_rows(read(spark, layout, DATE)) for read in (read_pages, read_silver, read_gold)]
+    assert leftovers(tmp_path / "silver" / "items") == leftovers(tmp_path / "bronze" / "items") == []
+
+
+def test_failed_first_write_leaves_nothing(spark, tmp_path):
+    layout = Layout(str(tmp_path), "items")
+    with pytest.raises(PySparkException, match="broken"):
+        write_silver(failing(many(spark)), layout, DATE)
+    root = tmp_path / "silver" / "items"
+    assert not root.exists() or list(root.iterdir()) == []
+
+
+def test_rebuild_may_read_what_it_replaces(spark, tmp_path):
+    layout = Layout(str(tmp_path), "items")
+    write_silver(many(spark), layout, DATE)
+    own = spark.read.parquet(snapshot_path(layout.silver, DATE)).where("id < '0100'")
+    write_silver(own, layout, DATE)
+    assert read_silver(spark, layout, DATE).count() == 100
+
+
+def test_run_that_ends_between_the_moves(spark, tmp_path):
+    layout = stored(spark, tmp_path, [[record("1")]], False)
+    stored(spark, tmp_path, [[record("0")]], False, "2025-01-01")
+    root = tmp_path / "bronze" / "items"
+    (root / f"ingestion_date={DATE}").rename(root / f"_former-{DATE}-0123abcd")
+    assert latest_date(spark, layout.bronze) == "2025-01-01"
+    assert read_pages(spark, layout).count() == 1, "what was moved aside is not read"
+    assert recover(spark, layout.bronze) == [DATE]
+    assert latest_date(spark, layout.bronze) == DATE and leftovers(root) == []
+    # ... or after the second one
+    (root / f"_former-{DATE}-0123abcd").mkdir()
+    assert recover(spark, layout.bronze) == [] and leftovers(root) == []
+
+
+def test_write_begins_with_recovery(spark, tmp_path):
+    layout = stored(spark, tmp_path, [[record("1")]], False)
+    root = tmp_path / "bronze" / "items"
+    (root / f"ingestion_date={DATE}").rename(root / f"_former-{DATE}-0123abcd")
+    (root / "_former-2025-02-02-77").mkdir()
+    land_pages(page_frame(spark, [[record("2")], [record("3")]]), layout, DATE)
+    assert read_pages(spark, layout, DATE).count() == 2
+    assert leftovers(root) == ["_former-2025-02-02-77"], "another date is left to its own writer"
+
+
+def test_failed_publish_puts_the_former_back(spark, tmp_path):
+    layout = stored(spark, tmp_path, [[record("1")]], False)
+    with pytest.raises(Exception):
+        publish(spark, str(tmp_path / "nothing here"), layout.bronze, DATE)
+    assert read_pages(spark, layout, DATE).count() == 1 and leftovers(tmp_path / "bronze" / "items") == []
+
+
+def test_staged_folders_of_killed_runs(spark, tmp_path):
+    layout = stored(spark, tmp_path, [[record("1")]], False)
+    root = tmp_path / "bronze" / "items"
+    killed = root / "_staged-77" / f"ingestion_date={DATE}"
+    killed.mkdir(parents=True)
+    (killed / "part-0.parquet").write_text("half a file")
+    assert read_pages(spark, layout).count() == 1
+    discard_staged(spark, layout.bronze)
+    assert leftovers(root) == []
+
+
+def test_dates_named_by_the_input_are_replaced(spark, tmp_path):
+    layout = Layout(str(tmp_path), "items")
+    rows = [("2025-01-01", 1, '[{"id":"1"}]'), ("2025-01-02", 1, '[{"id":"2"}]'), ("2025-01-03", 1, '[{"id":"3"}]')]
+    assert land_dated_pages(spark.createDataFrame(rows, PAGES), layout) == ["2025-01-01", "2025-01-02", "2025-01-03"]
+    again = [("2025-01-01", 1, "[]"), ("2025-01-01", 2, '[{"id":"9"}]'), ("2025-01-02", 1, '[{"id":"8"}]'), ("2025-01-02", 2, "[]")]
+    assert land_dated_pages(spark.createDataFrame(again, PAGES), layout) == ["2025-01-01", "2025-01-02"]
+    stats = {str(r["ingestion_date"]): r["rows"] for r in load_stats(spark, layout).collect()}
+    assert stats == {"2025-01-02": 1, "2025-01-03": 1}
+    assert read_pages(spark, layout, "2025-01-01").count() == 0
+    assert [r["payload"] for r in read_pages(spark, layout, "2025-01-02").collect()] == ['[{"id":"8"}]']
+    assert land_dated_pages(spark.createDataFrame([], PAGES), layout) == []
+    assert latest_date(spark, layout.bronze) == "2025-01-03"
+
+
+@pytest.mark.parametrize("name", ["latest", None, "2025-13-45"])
+def test_folder_that_is_no_date_is_refused(spark, tmp_path, name):
+    layout = stored(spark, tmp_path, [[record("1")]], False)
+    with pytest.raises((ValueError, TypeError, AttributeError)):
+        land_dated_pages(spark.createDataFrame([(DATE, 1, "[]"), (name, 1, "[]")], PAGES), layout)
+    assert read_pages(spark, layout, DATE).count() == 1
+
+
+def test_pages_are_read_once(spark, tmp_path):
+    """A history is fetched once, whatever it holds."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = [(f"2025-01-0{d}", p, "[]" if p == 3 and d % 2 else '[{"id":"1"}]') for d in range(1, 5) for p in range(1, 6)]
+    land_dated_pages(spark.createDataFrame(rows, PAGES).mapInArrow(count, PAGES), Layout(str(tmp_path), "items"))
+    assert seen.value == len(rows)
+    assert load_stats(spark, Layout(str(tmp_path), "items")).agg(F.sum("pages")).first()[0] == 14

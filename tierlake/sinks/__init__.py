@@ -1,7 +1,8 @@
 from tierlake.sinks.bronze import land_dated_pages, land_meta, land_pages, load_stats
 from tierlake.sinks.layers import write_gold, write_silver, write_snapshot
+from tierlake.sinks.publish import discard_staged, publish, recover, staged
 
 __all__ = [
-    "land_dated_pages", "land_meta", "land_pages", "load_stats", "write_gold", "write_silver",
-    "write_snapshot",
+    "discard_staged", "land_dated_pages", "land_meta", "land_pages", "load_stats", "publish", "recover",
+    "staged", "write_gold", "write_silver", "write_snapshot",
 ]

@@ -7,8 +7,10 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tierlake.functions.pages import record_count
+from tierlake.layout import snapshot_path
 from tierlake.schemas import BRONZE_PAGE, DATE_COLUMN, META
 from tierlake.sinks.layers import write_snapshot
+from tierlake.sinks.publish import Folders, publish, staged
 from tierlake.sources.bronze import read_pages
 
 log = logging.getLogger(__name__)
@@ -57,16 +59,45 @@ def land_dated_pages(pages, layout):
     """Replace the snapshots of all dates in ``pages``, each up to its own first empty page.
 
     ``pages`` has ``ingestion_date``, ``page`` and ``payload``, as for loading a history again.
-    It is read twice, once for the empty pages.
+    A date whose first page is empty gets a snapshot without rows. Returns the dates.
+
+    The pages are read once, into a staged folder. Dates without an empty page are published
+    from there as they are; what comes before an empty page is written again.
     """
     if "n_rows" not in pages.columns:
         pages = pages.withColumn("n_rows", record_count("payload"))
-    pages = pages.select(DATE_COLUMN, *BRONZE_PAGE.names)
-    ends = pages.where("n_rows = 0").groupBy(DATE_COLUMN).agg(F.min("page").alias("_end"))
-    kept = pages.join(ends, DATE_COLUMN, "left").where("_end IS NULL OR page < _end").drop("_end")
-    writer = kept.hint("rebalance", DATE_COLUMN).write.mode("overwrite")
-    writer = writer.option("partitionOverwriteMode", "dynamic").options(**PAYLOAD_OPTIONS)
-    writer.partitionBy(DATE_COLUMN).parquet(layout.bronze)
+    pages = pages.select(F.col(DATE_COLUMN).cast("string").alias(DATE_COLUMN), *BRONZE_PAGE.names)
+    return _publish_dates(pages, layout, cut=True)
+
+
+def _publish_dates(pages, layout, cut):
+    spark = pages.sparkSession
+
+    def write(rows, folder):
+        writer = rows.hint("rebalance", DATE_COLUMN).write.options(**PAYLOAD_OPTIONS)
+        writer.partitionBy(DATE_COLUMN).parquet(folder)
+        return spark.read.schema(rows.schema).parquet(folder)
+
+    with staged(spark, layout.bronze) as first, staged(spark, layout.bronze) as second:
+        stored = write(pages, first)
+        end = F.min(F.when(F.col("n_rows") == 0, F.col("page"))) if cut else F.lit(None).cast("int")
+        # One row per date: a number, whatever the number of pages.
+        ends = {row[DATE_COLUMN]: row["end"] for row in stored.groupBy(DATE_COLUMN).agg(end.alias("end")).collect()}
+        for date in ends:
+            snapshot_path(layout.bronze, date)  # an error before anything is published
+        shorter = [date for date, end in ends.items() if end is not None]
+        if shorter:
+            last = spark.createDataFrame([(d, ends[d]) for d in shorter], f"{DATE_COLUMN} string, _end int")
+            kept = stored.where(F.col(DATE_COLUMN).isin(shorter)).join(F.broadcast(last), DATE_COLUMN)
+            write(kept.where("page < _end").drop("_end"), second)
+        there = Folders(spark, layout.bronze)
+        for date in sorted(ends):
+            folder = f"{second if date in shorter else first}/{DATE_COLUMN}={date}"
+            if there.exists(folder):
+                publish(spark, folder, layout.bronze, date)
+            else:  # nothing is left of it
+                write_snapshot(spark.createDataFrame([], BRONZE_PAGE), layout.bronze, date)
+    return sorted(ends)
 
 
 def land_meta(spark, metadata, layout, date):
