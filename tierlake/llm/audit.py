@@ -5,7 +5,6 @@ from itertools import permutations
 from math import factorial
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import functions as F
 
@@ -122,34 +121,38 @@ def sizes(lists):
 
 
 def _id_ranges(batches):
-    """Sorted rows in frames of up to ``RANGE`` rows."""
+    """Sorted rows in tables of up to ``RANGE`` rows."""
     kept, rows = [], 0
     for batch in batches:
         for first in range(0, batch.num_rows, RANGE):
             part = batch.slice(first, RANGE)
             if rows + part.num_rows > RANGE:
-                yield pa.Table.from_batches(kept).to_pandas()
+                yield pa.Table.from_batches(kept)
                 kept, rows = [], 0
             kept.append(part)
             rows += part.num_rows
     if rows:
-        yield pa.Table.from_batches(kept).to_pandas()
+        yield pa.Table.from_batches(kept)
 
 
 def _postings(batches):
     """Posting lists of each id range: rows ``(part, copies, n, first, last, A, ..., good, toxic)``."""
-    for frame in _id_ranges(batches):
-        known = frame["_id"].notna()
-        frame["_id"] = frame["_id"].fillna(0).astype(np.int64)
+    for table in _id_ranges(batches):
+        known = table["_id"].is_valid().to_numpy()
+        ids = table["_id"].fill_null(0).to_numpy()
+        masks, good, toxic = (table[name].to_numpy() for name in ("mask", "good", "toxic"))
+        groups = {}
+        for at, key in enumerate(zip(*[table[c].to_pylist() for c in ("part", "copies", "kind")], known.tolist())):
+            groups.setdefault(key, []).append(at)
         made = {name: [] for name in ["part", "copies", "n", "first", "last", *LISTS]}
-        for (part, copies, _, _), own in frame.groupby(["part", "copies", "kind", known], sort=False):
-            ids = own["_id"].to_numpy()
-            for name, value in zip(made, (part, copies, len(ids), ids[0], ids[-1])):
+        for (part, copies, _, _), rows in groups.items():
+            own, mask = ids[rows], masks[rows]
+            for name, value in zip(made, (part, copies, len(own), own[0], own[-1])):
                 made[name].append(value)
             for bit, name in enumerate(FILTERS):
-                made[name].append(ids[own["mask"].to_numpy() >> bit & 1 == 1])
-            for name in ("good", "toxic"):
-                made[name].append(ids[own[name].to_numpy(bool)])
+                made[name].append(own[mask >> bit & 1 == 1])
+            made["good"].append(own[good[rows].astype(bool)])
+            made["toxic"].append(own[toxic[rows].astype(bool)])
         arrays = [pa.array(made["part"], pa.string())]
         arrays += [pa.array(made[name], pa.int64()) for name in ("copies", "n", "first", "last")]
         arrays += [pa.array(made[name], pa.list_(pa.int64())) for name in LISTS]
