@@ -2,6 +2,7 @@
 
 import math
 
+from pyspark.errors import PythonException
 from pyspark.sql import functions as F
 
 from checks.inputs import (
@@ -32,7 +33,7 @@ from tierlake.functions import page_records, region_label
 from tierlake.plans import gold, layer_counts, run, silver
 from tierlake.schemas import DATE_COLUMN, SILVER_COLUMNS
 from tierlake.session import configure, use_local_scratch
-from tierlake.sinks import land_meta, land_pages, load_stats, write_gold, write_silver
+from tierlake.sinks import land_collection, land_meta, land_pages, load_stats, write_gold, write_silver
 from tierlake.sources import (
     latest_date,
     latest_date_frame,
@@ -167,6 +168,58 @@ def _(spark, sf_dir):
     return ops.latest_per_key(records, "state", ["updated_at", "name"], null_key="keep")
 
 
+# Versions as numbers and as times with a zone, kept as text: their order is not that of the text.
+TYPED_VERSIONS = """
+versions_of_nation AS (
+  SELECT c_nationkey AS id, c_name AS name,
+         CASE WHEN c_custkey % 19 = 0 THEN 'none' ELSE CAST(c_custkey AS VARCHAR(20)) END AS version,
+         concat('2024-01-0', CAST(c_custkey % 9 + 1 AS VARCHAR(1)), ' 00:00:00',
+                CASE WHEN c_custkey % 2 = 0 THEN '+09:00' ELSE '-09:00' END) AS stamp
+  FROM customer)"""
+
+
+def versions_of_nation(spark, sf_dir):
+    return table(spark, sf_dir, "customer").selectExpr(
+        "c_nationkey AS id", "c_name AS name",
+        "CASE WHEN c_custkey % 19 = 0 THEN 'none' ELSE string(c_custkey) END AS version",
+        "concat('2024-01-0', c_custkey % 9 + 1, ' 00:00:00', if(c_custkey % 2 = 0, '+09:00', '-09:00')) AS stamp")
+
+
+@query("dedup_numeric_versions", f"WITH {TYPED_VERSIONS}" + latest_sql(
+    "versions_of_nation", "id", "try_cast(version AS BIGINT) DESC NULLS LAST, version DESC, name DESC",
+    "id, name, version"))
+def _(spark, sf_dir):
+    rows = versions_of_nation(spark, sf_dir).drop("stamp")
+    return ops.latest_per_key(rows, "id", ["version", "name"], types={"version": "bigint"})
+
+
+@query("dedup_timed_versions", f"WITH {TYPED_VERSIONS}" + latest_sql(
+    "versions_of_nation", "id", "try_cast(stamp AS TIMESTAMPTZ) DESC NULLS LAST, stamp DESC, name DESC",
+    "id, name, stamp"))
+def _(spark, sf_dir):
+    rows = versions_of_nation(spark, sf_dir).drop("version")
+    return ops.latest_per_key(rows, "id", ["stamp", "name"], types={"stamp": "timestamp"})
+
+
+@query("silver_numeric_versions", f"""
+WITH {ENTITY_SQL},
+numbered AS (
+  SELECT * REPLACE (CASE WHEN updated_at = '2024-01-01' THEN '10' ELSE '9' END AS updated_at) FROM entity),""" + silver_sql(
+    "numbered", "text_order") + """,
+numeric AS (
+  SELECT *, row_number() OVER (
+      PARTITION BY id ORDER BY CAST(updated_at AS BIGINT) DESC NULLS LAST, name DESC NULLS LAST) AS turn
+  FROM text_order_clean)""" + f"""
+SELECT {SILVER_LIST} FROM numeric WHERE turn = 1""")
+def _(spark, sf_dir):
+    """The first version of an entity has number 10, the second one 9; landed and built."""
+    layout = new_layout(spark, "entity")
+    number = F.when(F.col("updated_at") == "2024-01-01", "10").otherwise("9")
+    land_pages(entity_pages(entity(spark, sf_dir).withColumn("updated_at", number)), layout, DATE)
+    silver.build(spark, layout, DATE, version_type="bigint")
+    return read_silver(spark, layout, DATE).select(*SILVER_FRAME)
+
+
 # --- silver and gold as frames -----------------------------------------------
 
 
@@ -312,6 +365,34 @@ def _(spark, sf_dir):
     return page_records_of(stop_at_empty(with_a_gap(spark, sf_dir)))
 
 
+@query("resumed_landing", PAGES_SQL)
+def _(spark, sf_dir):
+    """A landing that fails half-way; the next one may not ask for the first quarter again."""
+    total = event_total(spark, sf_dir)
+    pages = math.ceil(total / PAGE_SIZE)
+    fetch = paged_folder(spark, event_pages(spark, sf_dir), pages)
+
+    def until_half(page):
+        if pages // 2 < page <= pages:
+            raise OSError(f"page {page} is not to be had yet")
+        return fetch(page)
+
+    def from_a_quarter(page):
+        if page <= pages // 4:
+            raise OSError(f"page {page} was landed before")
+        return fetch(page)
+
+    layout = new_layout(spark, "events")
+    options = {
+        "total_pages": pages, "pages_per_task": max(1, pages // 40), "ranges_at_once": 4 if pages > 40 else 1,
+        "pause_sec": 0, "backoff_sec": 0, "max_retries": 1}
+    try:
+        land_collection(spark, layout, DATE, until_half, **options)
+    except PythonException:
+        land_collection(spark, layout, DATE, from_a_quarter, **options)
+    return event_rows(read_bronze(spark, layout, DATE, EVENT_SCHEMA), "page")
+
+
 # --- bronze ------------------------------------------------------------------
 
 

@@ -1,5 +1,5 @@
 from tierlake.plans import gold, silver
-from tierlake.plans.daily import run
+from tierlake.plans.daily import run, run_collection
 from tierlake.plans.profile import layer_counts
 
-__all__ = ["gold", "layer_counts", "run", "silver"]
+__all__ = ["gold", "layer_counts", "run", "run_collection", "silver"]

@@ -14,15 +14,18 @@ LOOSE_RECORD_BYTES = 300
 NEEDED = [*SILVER_COLUMNS, VERSION_COLUMN]
 
 
-def transform(raw, blank_is_null=True, null_key="collapse"):
+def transform(raw, blank_is_null=True, null_key="collapse", version_type=None):
     """Trim, cast, default and de-duplicate raw records.
 
+    ``version_type`` is the type of the version column, such as ``bigint``, ``double`` or
+    ``timestamp``, by which the newest version is told; by default it goes by its text.
     Columns that silver does not keep are dropped first, so they are not shuffled.
     """
     order = [c for c in [VERSION_COLUMN] if c in raw.columns] + [NAME_COLUMN]
     df = tidy(raw, NEEDED)
     df = default_location(cast_doubles(trim_strings(df)), blank_is_null=blank_is_null)
-    return tidy(latest_per_key(df, KEY_COLUMN, order, null_key), SILVER_COLUMNS)
+    types = {VERSION_COLUMN: version_type} if version_type and VERSION_COLUMN in raw.columns else {}
+    return tidy(latest_per_key(df, KEY_COLUMN, order, null_key, types), SILVER_COLUMNS)
 
 
 def build(spark, layout, date, loose=False, stats=None, **options):

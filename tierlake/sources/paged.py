@@ -41,6 +41,27 @@ def retrying(fetch, max_retries=3, backoff_sec=20):
     return attempt
 
 
+def paced(fetch, phase, phases, rate, origin, clock=time.time, sleep=time.sleep):
+    """``fetch`` that starts only at moments of its own, so that all phases together keep ``rate``.
+
+    Time from ``origin`` (seconds of the epoch) is cut into slots of 1/rate seconds, and slot
+    ``phase``, ``phase + phases``, ... belong to this phase. Each call waits for the next of them
+    that has not begun, so no slot sees two calls, whenever the phases begin or fall behind.
+    Phases need no contact, only clocks that agree.
+    """
+    every, first = phases / rate, origin + phase / rate
+    turn = -1
+
+    def wait_and_fetch(*args):
+        nonlocal turn
+        turn = max(turn + 1, math.ceil((clock() - first) / every))
+        while (left := first + turn * every - clock()) > 0:
+            sleep(left)
+        return fetch(*args)
+
+    return wait_and_fetch
+
+
 def json_text(fetch):
     """``fetch`` whose reply is decoded: its JSON text, ``[]`` if there is nothing in it.
 
@@ -74,9 +95,14 @@ def paged_source(fetch, name="paged_json", max_retries=3, backoff_sec=20):
       max_pages       cap on the number of pages (none)
       pages_per_task  pages fetched by one task (50)
       max_tasks       most tasks; with more pages, each task fetches more of them (10,000)
-      pause_sec       wait between the pages of a task (0.2)
+      pause_sec       wait between the pages of a task (0.2; 0 with max_rate)
+      max_rate        most requests per second of all tasks together (no limit)
+      slots           with max_rate: tasks that run at the same time
+      ranges          JSON list of [first, last], instead of planning
 
-    Tasks run side by side; fewer and longer ones ask less of the collection.
+    Tasks run side by side. ``max_rate`` plans no more of them than ``slots``, and each asks in
+    time slots of its own (see :func:`paced`), retries included. Where fewer tasks get to
+    run at once, the rate stays lower; speculative copies of a task would share its slots.
 
     The end need not be known. Planning looks for an empty page past the known
     total in strides of 1, 2, 4, ... pages, so a collection that has grown, or has no
@@ -86,13 +112,20 @@ def paged_source(fetch, name="paged_json", max_retries=3, backoff_sec=20):
     The classes are local to this function so that Spark ships them by value.
     """
 
-    payload = retrying(json_text(fetch), max_retries, backoff_sec)
+    def payloads(phase, phases, rate, origin):
+        asked = fetch if rate is None else paced(fetch, phase, phases, rate, origin)
+        return retrying(json_text(asked), max_retries, backoff_sec)
+
+    payloads(0, 1, None, 0)  # refuses settings that make no sense
     last_page = (1 << 31) - 1
 
     @dataclass
     class PageRange(InputPartition):
         first: int
         last: int
+        phase: int = 0
+        phases: int = 1
+        origin: float = 0.0
 
     class PageReader(DataSourceReader):
         def __init__(self, options):
@@ -102,7 +135,14 @@ def paged_source(fetch, name="paged_json", max_retries=3, backoff_sec=20):
             self.end = math.inf if cap is None else self.start + int(cap) - 1
             self.step = int(options.get("pages_per_task", 50))
             self.tasks = int(options.get("max_tasks", 10_000))
-            self.pause = float(options.get("pause_sec", 0.2))
+            rate = options.get("max_rate")
+            self.rate = None if rate is None else float(rate)
+            if self.rate is not None:
+                if not self.rate > 0:
+                    raise ValueError(f"max_rate must be above 0, not {rate}")
+                self.tasks = min(self.tasks, int(options.get("slots", 1)))
+            self.pause = float(options.get("pause_sec", 0.2 if rate is None else 0))
+            self.given = options.get("ranges")
             self.below = math.inf
 
         def pushFilters(self, filters):
@@ -113,6 +153,17 @@ def paged_source(fetch, name="paged_json", max_retries=3, backoff_sec=20):
                     yield filter
 
         def partitions(self):
+            ranges = self.given_ranges() if self.given is not None else self.planned_ranges()
+            ranges = ranges or [(self.start, self.start - 1)]  # Spark needs one task
+            phases = min(len(ranges), self.tasks) if self.rate else 1
+            origin = time.time()
+            return [PageRange(*r, n % phases, phases, origin) for n, r in enumerate(ranges)]
+
+        def given_ranges(self):
+            cut = [(first, min(last, self.below - 1)) for first, last in json.loads(self.given)]
+            return [(first, last) for first, last in cut if first <= last]
+
+        def planned_ranges(self):
             known = min(max(self.known, self.start - 1), self.end)
             if self.below < math.inf:
                 last = min(max(self.below - 1, self.start - 1), self.end)
@@ -121,11 +172,10 @@ def paged_source(fetch, name="paged_json", max_retries=3, backoff_sec=20):
             else:
                 last = self.search_end(known)
             step = max(self.step, math.ceil((last - self.start + 1) / self.tasks))
-            firsts = range(self.start, last + 1, step) or [self.start]  # Spark needs one task
-            return [PageRange(first, min(first + step - 1, last)) for first in firsts]
+            return [(first, min(first + step - 1, last)) for first in range(self.start, last + 1, step)]
 
         def search_end(self, known):
-            stride = 1
+            stride, payload = 1, payloads(0, 1, self.rate, time.time())
             while known < self.end:
                 probe = min(known + stride, self.end)
                 if probe > last_page:
@@ -139,6 +189,7 @@ def paged_source(fetch, name="paged_json", max_retries=3, backoff_sec=20):
             import pyarrow as pa
 
             schema = pa.schema([("page", pa.int32()), ("payload", pa.string())])
+            payload = payloads(partition.phase, partition.phases, self.rate, partition.origin)
             for page in range(partition.first, partition.last + 1):
                 if page > partition.first:
                     time.sleep(self.pause)
@@ -161,6 +212,22 @@ def paged_source(fetch, name="paged_json", max_retries=3, backoff_sec=20):
     return PagedJsonSource
 
 
+def scan_options(spark, options):
+    """Options of :func:`paged_source` as given, and the ``slots`` that a ``max_rate`` needs."""
+    given = {key: value for key, value in options.items() if value is not None}
+    if "max_rate" in given:
+        given.setdefault("slots", spark.sparkContext.defaultParallelism)
+    return given
+
+
+def page_ranges(spark, fetch, max_retries=3, backoff_sec=20, **options):
+    """``(first, last)`` of the page ranges that a scan with these options has, in order."""
+    given = {key: str(value) for key, value in scan_options(spark, options).items()}
+    source = paged_source(fetch, "planned", max_retries, backoff_sec)(given)
+    ranges = [(r.first, r.last) for r in source.reader(None).partitions()]
+    return [(first, last) for first, last in ranges if first <= last]
+
+
 def scan_pages(spark, fetch, name="paged_json", max_retries=3, backoff_sec=20, **options):
     """``(page, payload, n_rows)`` of a paged collection; see :func:`paged_source`.
 
@@ -171,7 +238,7 @@ def scan_pages(spark, fetch, name="paged_json", max_retries=3, backoff_sec=20, *
     source = paged_source(fetch, name, max_retries, backoff_sec)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(source)
-    given = {key: value for key, value in options.items() if value is not None}
+    given = scan_options(spark, options)
     pages = spark.read.format(name).options(**given).load()
     return pages.withColumn("n_rows", record_count("payload"))
 
