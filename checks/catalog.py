@@ -30,10 +30,11 @@ from checks.inputs import (
 )
 from tierlake import operators as ops
 from tierlake.functions import page_records, region_label
-from tierlake.plans import gold, layer_counts, run, silver
-from tierlake.schemas import DATE_COLUMN, SILVER_COLUMNS
+from tierlake.layout import snapshot_path
+from tierlake.plans import gold, layer_counts, layer_schemas, run, silver
+from tierlake.schemas import COORDINATE_COLUMNS, COUNT_COLUMN, DATE_COLUMN, LOCATION_COLUMNS, SILVER_COLUMNS
 from tierlake.session import configure, use_local_scratch
-from tierlake.sinks import land_collection, land_meta, land_pages, load_stats, write_gold, write_silver
+from tierlake.sinks import import_pages, land_collection, land_meta, land_pages, load_stats, write_gold, write_silver
 from tierlake.sources import (
     latest_date,
     latest_date_frame,
@@ -558,6 +559,59 @@ def _(spark, sf_dir):
     return with_date_text(layer_counts(spark, layout), "layer", "rows")
 
 
+def schema_rows(layer, date, columns):
+    """Rows of (column, type) pairs; counts are the only columns without nulls."""
+    return [f"('{layer}', '{date}', {n}, '{c}', '{t}', {c != COUNT_COLUMN})" for n, (c, t) in enumerate(columns, start=1)]
+
+
+def stored_columns(names):
+    """Folder columns follow those of the files."""
+    names = [*[n for n in names if n not in LOCATION_COLUMNS], *LOCATION_COLUMNS]
+    return [(n, "double" if n in COORDINATE_COLUMNS else "string") for n in names]
+
+
+SCHEMA_ROWS = [
+    *schema_rows("bronze", DATE, [
+        ("brewery_type", "string"), ("country", "string"), ("id", "string"), ("latitude", "string"),
+        ("longitude", "bigint"), ("name", "string"), ("parts", "struct<flag:boolean,share:double>"),
+        ("state", "string"), ("updated_at", "string")]),
+    *schema_rows("silver", DATE, stored_columns(SILVER_COLUMNS)),
+    *schema_rows("silver", EARLIER_DATE, stored_columns(SILVER_FRAME)),
+    f"('silver', '{EARLIER_DATE}', 5, 'latitude', 'string', TRUE)",
+    *schema_rows("gold", DATE, [
+        ("brewery_type", "string"), ("breweries_count", "bigint"), ("country", "string"), ("state", "string")]),
+]
+
+
+@query("layer_schemas", f"""
+SELECT layer, ingestion_date, position, "column", "type", nullable
+FROM (VALUES {", ".join(SCHEMA_ROWS)}) AS s(layer, ingestion_date, position, "column", "type", nullable)
+WHERE EXISTS (SELECT 1 FROM customer)""")
+def _(spark, sf_dir):
+    """Records with numbers and an object; on the earlier date, files of silver that disagree."""
+    layout = new_layout(spark, "entity")
+    number = F.col("longitude").cast("int")
+    parts = F.expr("struct(longitude % 2 = 0 AS flag, longitude / 8 AS share)")
+    records = entity(spark, sf_dir).withColumns({"parts": parts, "longitude": number})
+    run(spark, layout, entity_pages(records), DATE)
+    clean = silver_frame(spark, sf_dir)
+    write_silver(clean, layout, EARLIER_DATE)
+    as_text = clean.withColumn("latitude", F.col("latitude").cast("string"))
+    as_text.write.mode("append").partitionBy("country", "state").parquet(snapshot_path(layout.silver, EARLIER_DATE))
+    return with_date_text(layer_schemas(spark, layout), "layer", "position", "column", "type", "nullable")
+
+
+@query("imported_pages", f"""
+SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS ingestion_date, {PAGE_SQL} AS page, {EVENT_COLUMNS_SQL} FROM events""")
+def _(spark, sf_dir):
+    """Loose files of all dates, compacted into the page table and read from there."""
+    source, glob = loose_pages(spark, sf_dir)
+    target = new_layout(spark, "events")
+    import_pages(spark, source, target, glob=glob)
+    records = read_bronze(spark, target, schema=EVENT_SCHEMA)
+    return event_rows(records, F.col(DATE_COLUMN).cast("string").alias(DATE_COLUMN), "page")
+
+
 @query("rerun_idempotent", f"WITH {SILVER_SQL}," + """
 corrected AS (
   SELECT * FROM entity

@@ -67,36 +67,40 @@ def land_dated_pages(pages, layout):
     if "n_rows" not in pages.columns:
         pages = pages.withColumn("n_rows", record_count("payload"))
     pages = pages.select(F.col(DATE_COLUMN).cast("string").alias(DATE_COLUMN), *BRONZE_PAGE.names)
-    return _publish_dates(pages, layout, cut=True)
+    return publish_dates(pages, layout.bronze, until_empty=True, **PAYLOAD_OPTIONS)
 
 
-def _publish_dates(pages, layout, cut):
-    spark = pages.sparkSession
+def publish_dates(rows, root, until_empty=False, **options):
+    """Replace the snapshots of all dates in ``rows``, each as a whole; returns them.
+
+    ``rows`` have ``ingestion_date`` as text. They are read once. With ``until_empty`` a date's
+    pages count up to its first empty one.
+    """
+    spark = rows.sparkSession
 
     def write(rows, folder):
-        writer = rows.hint("rebalance", DATE_COLUMN).write.options(**PAYLOAD_OPTIONS)
-        writer.partitionBy(DATE_COLUMN).parquet(folder)
+        rows.hint("rebalance", DATE_COLUMN).write.options(**options).partitionBy(DATE_COLUMN).parquet(folder)
         return spark.read.schema(rows.schema).parquet(folder)
 
-    with staged(spark, layout.bronze) as first, staged(spark, layout.bronze) as second:
-        stored = write(pages, first)
-        end = F.min(F.when(F.col("n_rows") == 0, F.col("page"))) if cut else F.lit(None).cast("int")
+    with staged(spark, root) as first, staged(spark, root) as second:
+        stored = write(rows, first)
+        end = F.min(F.when(F.col("n_rows") == 0, F.col("page")) if until_empty else F.lit(None).cast("int"))
         # One row per date: a number, whatever the number of pages.
         ends = {row[DATE_COLUMN]: row["end"] for row in stored.groupBy(DATE_COLUMN).agg(end.alias("end")).collect()}
         for date in ends:
-            snapshot_path(layout.bronze, date)  # an error before anything is published
+            snapshot_path(root, date)  # an error before anything is published
         shorter = [date for date, end in ends.items() if end is not None]
         if shorter:
             last = spark.createDataFrame([(d, ends[d]) for d in shorter], f"{DATE_COLUMN} string, _end int")
             kept = stored.where(F.col(DATE_COLUMN).isin(shorter)).join(F.broadcast(last), DATE_COLUMN)
             write(kept.where("page < _end").drop("_end"), second)
-        there = Folders(spark, layout.bronze)
+        folders = Folders(spark, root)
         for date in sorted(ends):
             folder = f"{second if date in shorter else first}/{DATE_COLUMN}={date}"
-            if there.exists(folder):
-                publish(spark, folder, layout.bronze, date)
+            if folders.exists(folder):
+                publish(spark, folder, root, date)
             else:  # nothing is left of it
-                write_snapshot(spark.createDataFrame([], BRONZE_PAGE), layout.bronze, date)
+                write_snapshot(stored.drop(DATE_COLUMN).limit(0), root, date)
     return sorted(ends)
 
 
