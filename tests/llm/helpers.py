@@ -8,7 +8,7 @@ SPLIT = re.compile(r"[^\x20\x09-\x0D]+")
 EDGE_TEXTS = [
     None, "", "   \n\t ", "one", "same words here again and again", "same words here again and again",
     "é ß 漢字 😀 \x0b x y z", "<|endoftext|> in the text", "tab\tand\r\nlines\n\nlines\nlines",
-    "long " * 30_000, "x" * 50_000,
+    "long " * 30_000, "x" * 50_000, " " * 1_000_000, "\n" * 1_000_000, "x" * 1_000_000,
 ]
 CLASHING = "n_words long, fp long, copy int, rate double, kept boolean, uid long, part int, key long, lang string"
 
