@@ -4,7 +4,7 @@ import random
 import pytest
 
 from tests.llm.helpers import edge_docs, words
-from tierlake.llm import substrings
+from tierlake.llm import hashing, substrings
 
 
 def plain(rows, window):
@@ -75,3 +75,49 @@ def test_removed_ranges(spark):
     rows = [(1, " ".join(f"a{k}" for k in range(20))), (2, "x y " + " ".join(f"a{k}" for k in range(3, 18)) + " z")]
     found = substrings.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string"))
     assert {r["doc_id"]: [tuple(s) for s in r["removed"]] for r in found.collect()} == {1: [], 2: [(2, 17)]}
+
+
+def thue_morse(length, first="a", second="b"):
+    """A word and its complement: sums over powers cannot tell them apart."""
+    bits = [bin(n).count("1") % 2 for n in range(length)]
+    return "".join((first, second)[b] for b in bits), "".join((second, first)[b] for b in bits)
+
+
+@pytest.mark.parametrize("window", [1, 2, 13, 50])
+def test_long_words_of_any_pattern(spark, window):
+    """Windows that differ in one word, whose letters follow a pattern."""
+    rows, common = [], [f"w{k}" for k in range(window - 1)]
+    for n, length in enumerate([1024, 4096, 1 << 16]):
+        one, other = thue_morse(length)
+        rows += [(10 * n + 1, " ".join([*common, one])), (10 * n + 2, " ".join([*common, other])), (10 * n + 3, " ".join([*common, one]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert got(substrings.repeated_spans(docs, window)) == plain(rows, window)
+
+
+def test_windows_of_any_pattern(spark):
+    """Words that follow the pattern, over windows longer than it."""
+    one, other = thue_morse(2048)
+    rows = [(1, " ".join(one)), (2, " ".join(other))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert got(substrings.repeated_spans(docs, 2048)) == plain(rows, 2048)
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 13, 20])
+def test_window_hashes(size):
+    draw = random.Random(size)
+    texts = [" ".join(draw.choice("ab") for _ in range(draw.randrange(60))).encode() for _ in range(40)]
+    hashes, owner = hashing.word_hashes(texts)
+    own = [w for t in texts for w in t.split()]
+    assert [texts[n].split().count(w) > 0 for n, w in zip(owner.tolist(), own)] == [True] * len(own)
+    for which in (0, 1):
+        keys = hashing.window_hashes(hashes[:, which], size).tolist()
+        windows = [tuple(own[k:k + size]) for k in range(len(own) - size + 1)]
+        assert len(keys) == len(windows) and len(set(zip(keys, windows))) == len(set(keys)) == len(set(windows))
+
+
+def test_forgotten_words(monkeypatch):
+    monkeypatch.setattr(hashing, "CACHE_BYTES", 1000)
+    texts = [" ".join(f"w{n}" for n in range(k, k + 50)).encode() for k in range(0, 1000, 25)]
+    table = hashing.WordHashes()
+    once = [table.of(t.split()) for t in texts]
+    assert [table.of(t.split()) for t in texts] == once and len(table) < 200

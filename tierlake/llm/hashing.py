@@ -1,13 +1,14 @@
 """Hashes of words and of windows of words, for whole blocks of texts at once."""
 
+import hashlib
+
 import numpy as np
 
-_STEP = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
-_INVERSE = np.uint64(pow(int(_STEP), -1, 1 << 64))
-_TABLE = np.random.Generator(np.random.PCG64(20240131)).integers(0, 1 << 64, 256, np.uint64)
-_IS_SPACE = np.zeros(256, bool)
-_IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
+from tierlake.llm.words import segments
+
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 BLOCK_BYTES = 1 << 20
+CACHE_BYTES = 16 << 20  # of words whose hashes a task keeps
 
 
 def blocks(texts):
@@ -22,45 +23,70 @@ def blocks(texts):
         yield first, texts[first:]
 
 
+class WordHashes(dict):
+    """Word -> its BLAKE2b hash of 16 bytes; forgets all words when they have become too many."""
+
+    size = 0
+
+    def of(self, words):
+        """The hashes of ``words``, joined."""
+        try:
+            return b"".join(map(self.__getitem__, words))
+        except KeyError:
+            pass
+        if self.size > CACHE_BYTES:
+            self.clear()
+            self.size = 0
+        for word in set(words).difference(self):
+            self[word] = hashlib.blake2b(word, digest_size=16).digest()
+            self.size += len(word) + 100
+        return b"".join(map(self.__getitem__, words))
+
+
+_known = WordHashes()
+
+
 def word_hashes(texts):
-    """``(hashes, owner)`` of all words of some UTF-8 texts; ``owner`` is the text's number."""
-    raw = np.frombuffer(b" ".join([b"", *texts, b""]), np.uint8)
-    space = _IS_SPACE[raw]
-    starts = np.flatnonzero(space[:-1] & ~space[1:]) + 1
-    stops = np.flatnonzero(~space[:-1] & space[1:]) + 1
-    hashes = np.zeros(len(starts), np.uint64)
-    edges = np.searchsorted(starts, np.arange(0, len(raw) + BLOCK_BYTES, BLOCK_BYTES))
-    for a, b in zip(edges, edges[1:]):  # parts of a long text, so that few bytes are widened at a time
-        if a < b:
-            low, high = starts[a], stops[b - 1]
-            hashes[a:b] = _sums(_TABLE[raw[low:high]], starts[a:b] - low, stops[a:b] - low)
-    hashes = _mixed(hashes + (stops - starts).astype(np.uint64))
-    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
-    first_byte = np.cumsum(lengths + 1) - lengths
-    return hashes, np.searchsorted(first_byte, starts, "right") - 1
-
-
-def window_hashes(hashes, size, seed=0):
-    """Hash of every window of ``size`` words, also of those that cross from text to text."""
-    if len(hashes) < size:
+    """``(hashes, owner)`` of all words of some UTF-8 texts; ``owner`` is the text's number.
+
+    ``hashes`` has two independent 64-bit numbers for each word: of words that differ in any
+    way, however they are made, the two do not agree.
+    """
+    parts, counts = [], []
+    for text in texts:
+        count = 0
+        for part in segments(text):
+            words = part.split()
+            parts.append(_known.of(words))
+            count += len(words)
+        counts.append(count)
+    hashes = np.frombuffer(b"".join(parts), "<u8").reshape(-1, 2)
+    return hashes, np.repeat(np.arange(len(texts)), counts)
+
+
+def window_hashes(hashes, size):
+    """Hash of every window of ``size`` words, also of those that cross from text to text.
+
+    Windows are joined from windows of 1, 2, 4, ... words, with a finalizer after each join, so
+    no pattern of words makes different windows agree.
+    """
+    count = len(hashes) - size + 1
+    if count < 1:
         return np.zeros(0, np.uint64)
-    starts = np.arange(len(hashes) - size + 1)
-    keyed = _mixed(hashes ^ np.uint64(seed)) if seed else hashes
-    return _mixed(_sums(keyed, starts, starts + size))
-
-
-def _sums(values, starts, stops):
-    """Polynomial hash of ``values[start:stop]`` modulo 2**64, the same wherever it lies."""
-    n = len(values)
-    power = np.full(n + 1, _STEP, np.uint64)
-    power[0] = 1
-    np.cumprod(power, out=power)
-    prefix = np.zeros(n + 1, np.uint64)
-    np.cumsum(values * power[:n], out=prefix[1:])
-    back = np.full(n + 1, _INVERSE, np.uint64)
-    back[0] = 1
-    np.cumprod(back, out=back)
-    return (prefix[stops] - prefix[starts]) * back[starts]
+    power, length, whole, have = hashes, 1, None, 0
+    while True:
+        if size & length:
+            part = power[have:have + count]
+            whole = part if whole is None else _joined(whole, part)
+            have += length
+        if 2 * length > size:
+            return whole
+        power = _joined(power[:-length], power[length:])
+        length *= 2
+
+
+def _joined(first, second):
+    return _mixed(first * _STEP + second)
 
 
 def _mixed(x):

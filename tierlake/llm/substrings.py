@@ -34,8 +34,9 @@ class Windows:
         n = max(len(self.owner) - size + 1, 0)
         return self.owner[:n] == self.owner[size - 1:size - 1 + n] if n else np.zeros(0, bool)
 
-    def keys(self, size, seed=0):
-        return window_hashes(self.hashes, size, seed)
+    def keys(self, size, which=0):
+        """Hash of each window by the first or the second hash of its words."""
+        return window_hashes(np.ascontiguousarray(self.hashes[:, which]), size)
 
     def least(self, size):
         """For each window: the least hash of the windows of ``size`` words inside it."""
@@ -149,8 +150,8 @@ def _next_level(size, below, sampled, both):
                 mask = windows.candidates(_sets(known, first, len(part)), below, sampled)
                 owner = windows.owner[:len(mask)][mask]
                 columns = [pa.array(ids[first + owner])]
-                for seed in (0, 0x5851F42D4C957F2D)[:1 + both]:
-                    columns.append(pa.array(windows.keys(size, seed)[mask].view(np.int64)))
+                for which in (0, 1)[:1 + both]:
+                    columns.append(pa.array(windows.keys(size, which)[mask].view(np.int64)))
                 yield pa.RecordBatch.from_arrays(columns, names=["_id", "key", "key2"][:2 + both])
 
     return run
@@ -161,12 +162,14 @@ def _cover(size):
 
     def run(batches):
         for batch in batches:
-            ids, texts, known = _columns(batch, "_id", "_text", "known")
+            ids, texts, *known = _columns(batch, "_id", "_text", "known", "known2")
             rows = []
             for first, part in blocks(_texts(texts)):
                 windows = Windows(part, size)
-                mask = windows.valid & _known(
-                    windows.owner[:len(windows.valid)], windows.keys(size), *_sets(known, first, len(part)))
+                mask = windows.valid
+                for which, keys in enumerate(known):
+                    mask = mask & _known(
+                        windows.owner[:len(mask)], windows.keys(size, which), *_sets(keys, first, len(part)))
                 covered = np.zeros(len(windows.owner) + 1, np.int64)
                 at = np.flatnonzero(mask)
                 np.add.at(covered, at, 1)
@@ -216,7 +219,7 @@ def repeated_spans(docs, window=WINDOW, id_column="doc_id", text_column="text"):
     The first level takes, for each window of the second level, the one with the least
     hash of the windows inside it: a window that two documents share has the same one in
     both, so nothing is lost, while only every fourth window or so is shuffled. The last
-    level compares two independent 64-bit hashes.
+    level compares 128 bits, made from 128-bit BLAKE2b hashes of the words.
 
     Documents with the same words as one of a smaller id are removed as a whole, without
     being compared. A null text has no words. Rows with a null id are kept whole and do
@@ -261,7 +264,9 @@ def repeated_spans(docs, window=WINDOW, id_column="doc_id", text_column="text"):
             _next_level(window, below, len(lengths) == 2, True), "_id long, key long, key2 long")
     firsts = _shared(windows, ["key", "key2"], scratch, "firsts")
     later = windows.join(firsts, ["key", "key2"]).where("_id > first")
-    covered = scratch.write(later.groupBy("_id").agg(F.collect_set("key").alias("known")), "covered")
+    covered = later.groupBy("_id").agg(F.collect_set(F.struct("key", "key2")).alias("known"))
+    covered = scratch.write(covered.select(
+        "_id", F.col("known.key").alias("known"), F.col("known.key2").alias("known2")), "covered")
     spans = "array<struct<start:int,end:int>>"
     cut = candidates.drop("known").join(covered, "_id").mapInArrow(
         _cover(window), f"_id long, words_sha string, n_removed long, kept_sha256 string, removed {spans}")
