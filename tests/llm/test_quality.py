@@ -1,6 +1,7 @@
 from fractions import Fraction
 from math import comb
 
+import numpy as np
 import pytest
 
 from tests.llm.helpers import edge_docs, words
@@ -73,3 +74,12 @@ def test_edges(spark):
     assert judged.count() == docs.count()
     none = docs.limit(0)
     assert quality.keep(none, labels.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("size, letters", [(3, "ab"), (300, "abc"), (300, "abcdefghijklmnop"), (2, "a"), (0, "a")])
+def test_repeated_words_of_long_texts(monkeypatch, size, letters):
+    draw = np.random.default_rng(size)
+    own = [w.encode() for w in draw.choice(list(letters), size)]
+    short = quality.repeat_words(own)
+    monkeypatch.setattr(quality, "LONG", 2)
+    assert quality.repeat_words(own) == short

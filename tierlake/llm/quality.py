@@ -7,7 +7,6 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tierlake.llm.common import Scratch, schema_with, without
-from tierlake.llm.hashing import window_hashes, word_hashes
 from tierlake.llm.words import SPACES, words
 
 SYMBOLS = "#*$%&|<>"
@@ -59,11 +58,14 @@ def counts(text):
 def repeat_words(own):
     """Words that lie in a window of three that occurs at least twice in the text.
 
-    Very long texts compare 64-bit hashes of the windows, which take a small part of the memory.
+    Of very long texts the distinct words and pairs of words are numbered, which takes a small
+    part of the memory and counts the same.
     """
     if len(own) > LONG:
-        hashes = window_hashes(word_hashes([b" ".join(own)])[0], 3)
-        _, code, times = np.unique(hashes, return_inverse=True, return_counts=True)
+        numbers = {}
+        ids = np.fromiter((numbers.setdefault(w, len(numbers)) for w in own), np.int64, len(own))
+        _, pairs = np.unique(ids[:-2] << 32 | ids[1:-1], return_inverse=True)
+        _, code, times = np.unique(pairs << 32 | ids[2:], return_inverse=True, return_counts=True)
         at = np.flatnonzero(times[code] > 1)
         covered = np.zeros(len(own), bool)
         for shift in range(3):
