@@ -35,5 +35,66 @@ def test_edges(spark):
     assert sorted(r["verdict"] for r in urls.judge(pages, rules).collect()) == ["allow", "block", "block"]
     assert [r["rule"] for r in urls.judge(pages, rules.limit(0)).collect()] == [None] * 3
     assert urls.judge(pages.limit(0), rules).count() == 0
-    with pytest.raises(ValueError, match="path lengths"):
-        urls.judge(pages, rules, lengths_most=2)
+
+
+def test_join_is_on_the_short_prefix_alone(spark):
+    """The digest is a test after the join: no key of it."""
+    configure(spark)
+    pages = spark.createDataFrame([(n, f"http://h{n}.example.org/es/{n}") for n in range(50)], "page_id long, url string")
+    rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    plans = []
+    write = urls.Scratch.write
+
+    def seen(self, df, label):
+        plans.append(df._jdf.queryExecution().toString())
+        return write(self, df, label)
+
+    urls.Scratch.write = seen
+    try:
+        assert {r["verdict"] for r in urls.judge(pages, rules).collect()} == {"block"}
+    finally:
+        urls.Scratch.write = write
+    joins = [line for line in plans[1].split("Physical Plan")[1].splitlines() if "HashJoin" in line or "SortMergeJoin" in line]
+    assert len(joins) == 1 and joins[0].count("short#") == 2 and "digest" not in joins[0] and "full" not in joins[0].split("Inner")[0]
+
+
+@pytest.mark.parametrize("digits", [0, 1, 8])
+def test_prefixes_that_many_rules_share(spark, monkeypatch, digits):
+    """A prefix that tells nothing leaves all to the full digests."""
+    monkeypatch.setattr(urls, "HASH_PREFIX", digits)
+    configure(spark)
+    pages = spark.createDataFrame([(i, c[0]) for i, c in enumerate(CASES)], "page_id long, url string")
+    rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in urls.judge(pages, rules).collect()}
+    assert got == {i: c[1:] for i, c in enumerate(CASES)}
+
+
+def test_many_path_lengths(spark):
+    configure(spark)
+    rules = spark.createDataFrame([("org", "/" + "a" * n, "block") for n in range(6000)], "host string, path string, verdict string")
+    pages = spark.createDataFrame([(n, "http://x.org/" + "a" * n) for n in (0, 1, 5999, 7000)], "page_id long, url string")
+    got = {r["page_id"]: len(r["rule"]) for r in urls.judge(pages, rules).collect()}
+    assert got == {0: 4, 1: 5, 5999: 6003, 7000: 6003}
+
+
+def test_hot_urls_are_split(spark):
+    """A third of all urls are null: the last join deals them over several tasks."""
+    configure(spark)
+    pages = spark.range(0, 60_000, 1, 8).selectExpr(
+        "id AS page_id", "if(id % 3 = 0, null, concat('http://h', id, '.net/p')) AS url")
+    rules = spark.createDataFrame([*RULES, ("", "", "block")], "host string, path string, verdict string")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        judged = urls.judge(pages, rules)
+        assert judged.where("verdict = 'block'").count() == 60_000
+        judged.collect()
+        assert "skew=true" in judged._jdf.queryExecution().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

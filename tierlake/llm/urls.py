@@ -2,6 +2,8 @@
 
 from pyspark.sql import functions as F
 
+from tierlake.llm.common import Scratch
+
 HASH_PREFIX = 8  # hex digits of a digest that the join compares
 
 
@@ -22,19 +24,27 @@ def parts(url):
 def rule_table(rules):
     """Prepare ``rules`` (``host, path, verdict``) for :func:`judge`; repeated rules count once.
 
-    Rules with a null part are dropped. Of contradicting ones, ``block`` stays.
+    Rules with a null part are dropped. Of contradicting ones, ``block`` stays. Returns one row
+    per hash prefix: ``short`` and the array ``entries`` of the rules whose digest begins with
+    it, each with its full ``digest``.
     """
     given = rules.select("host", "path", "verdict").where(
         "host IS NOT NULL AND path IS NOT NULL AND verdict IS NOT NULL")
     one = given.groupBy("host", "path").agg(F.max("verdict").alias("verdict"))
-    return one.select(
-        F.col("host").alias("rule_host"), F.concat("host", "path").alias("rule"),
-        F.length("path").alias("path_length"), "verdict",
-        F.sha2(F.concat("host", F.lit("\n"), "path"), 256).alias("digest"),
-    ).withColumn("short", F.substring("digest", 1, HASH_PREFIX))
+    digest = F.sha2(F.concat("host", F.lit("\n"), "path"), 256).alias("digest")
+    entry = F.struct(digest, F.concat("host", "path").alias("rule"), F.length("host").alias("host_size"), "verdict")
+    # Few rules share the 32 bits of a prefix, however many rules there are.
+    return one.groupBy(F.substring(digest, 1, HASH_PREFIX).alias("short")).agg(F.collect_list(entry).alias("entries"))
+
 
+def path_lengths(rules):
+    """One row with the distinct lengths of the rules' paths, sorted, as ``wanted``."""
+    lengths = rules.where("host IS NOT NULL AND path IS NOT NULL AND verdict IS NOT NULL").select(
+        F.length("path").alias("n")).distinct()
+    return lengths.agg(F.sort_array(F.collect_list("n")).alias("wanted"))
 
-def judge(pages, rules, id_column="page_id", url_column="url", default="allow", lengths_most=4096):
+
+def judge(pages, rules, id_column="page_id", url_column="url", default="allow"):
     """``(id, host, path, rule, verdict)`` of every row of ``pages``.
 
     A rule fits its host and all subdomains where the path starts with the rule's path;
@@ -42,43 +52,39 @@ def judge(pages, rules, id_column="page_id", url_column="url", default="allow",
     ``default`` and ``rule`` is null.
 
     Each distinct host and path is expanded once: every host suffix with each path prefix
-    of a length that some rule has. The first hex digits of the expressions' digests are
-    equi-joined with the rules', full digests then confirm, and the longest rule is taken
-    by an aggregation that combines before it shuffles. Only the distinct path lengths of
-    the rules reach the driver (an error beyond ``lengths_most``). Repeated rows stay, null
-    urls have an empty host and path; other columns are ignored.
+    of a length that some rule has. The expressions are equi-joined with the rules on the first
+    hex digits of their digests alone; the rules there are then confirmed by the full digest,
+    and the longest is taken by an aggregation that combines before it shuffles. Repeated rows
+    stay, null urls have an empty host and path; other columns are ignored.
+
+    The urls are cut once and staged. So are the verdicts: adaptive execution splits a host and
+    path of very many rows only in a join of two plain shuffles.
     """
+    scratch = Scratch(pages.sparkSession)
     host, path = parts("_url")
-    split = pages.select(
+    split = scratch.write(pages.select(
         F.col(id_column).alias("_id"), F.col(url_column).cast("string").alias("_url")
-    ).select("_id", host.alias("host"), path.alias("path"))
-    prepared = rule_table(rules)
-    found = prepared.select("path_length").distinct().limit(lengths_most + 1).collect()
-    if len(found) > lengths_most:
-        raise ValueError(f"rules have more than {lengths_most} different path lengths")
-    lengths = sorted(row["path_length"] for row in found)
-
+    ).select("_id", host.alias("host"), path.alias("path")), "hosts")
+    distinct = split.select("host", "path").distinct()
     labels = F.split("host", r"\.")
     suffix = F.transform(
         F.sequence(F.lit(1), F.size(labels)),
         lambda n: F.array_join(F.slice(labels, n, F.size(labels)), "."),
     )
-    wanted = F.filter(
-        F.array(*[F.lit(n) for n in lengths]).cast("array<int>"), lambda n: n <= F.length("path"))
-    digest = F.sha2(F.concat("suffix", F.lit("\n"), F.expr("substring(path, 1, n)")), 256)
-    expressions = (
-        split.select("host", "path").distinct()
-        .select("host", "path", F.explode(suffix).alias("suffix"), wanted.alias("wanted"))
-        .select("host", "path", "suffix", F.explode("wanted").alias("n"))
-        .select("host", "path", digest.alias("full"))
-        .withColumn("short", F.substring("full", 1, HASH_PREFIX))
-    )
+    # One row with an array of numbers no longer than the longest path.
+    lengths = distinct.join(F.broadcast(path_lengths(rules)))
+    expressions = lengths.select(
+        "host", "path", F.explode(suffix).alias("suffix"),
+        F.filter("wanted", lambda n: n <= F.length("path")).alias("wanted"),
+    ).select("host", "path", "suffix", F.explode("wanted").alias("n"))
+    full = F.sha2(F.concat("suffix", F.lit("\n"), F.expr("substring(path, 1, n)")), 256)
+    digests = expressions.select("host", "path", full.alias("full"))
+    candidates = digests.withColumn("short", F.substring("full", 1, HASH_PREFIX)).join(rule_table(rules), "short")
+    found = candidates.select("host", "path", "full", F.explode("entries").alias("entry"))
     best = F.max(F.struct(
-        F.length("rule").alias("size"), F.length("rule_host").alias("host_size"), "rule", "verdict"))
-    hits = (
-        expressions.join(prepared, "short").where("full = digest")
-        .groupBy("host", "path").agg(best.alias("best"))
-    )
+        F.length("entry.rule").alias("size"), "entry.host_size", "entry.rule", "entry.verdict"))
+    hits = scratch.write(
+        found.where("entry.digest = full").groupBy("host", "path").agg(best.alias("best")), "verdicts")
     return split.join(hits, ["host", "path"], "left").select(
         F.col("_id").alias(id_column), "host", "path", F.col("best.rule").alias("rule"),
         F.coalesce("best.verdict", F.lit(default)).alias("verdict"),
