@@ -115,9 +115,22 @@ def test_window_hashes(size):
         assert len(keys) == len(windows) and len(set(zip(keys, windows))) == len(set(keys)) == len(set(windows))
 
 
-def test_forgotten_words(monkeypatch):
-    monkeypatch.setattr(hashing, "CACHE_BYTES", 1000)
-    texts = [" ".join(f"w{n}" for n in range(k, k + 50)).encode() for k in range(0, 1000, 25)]
-    table = hashing.WordHashes()
-    once = [table.of(t.split()) for t in texts]
-    assert [table.of(t.split()) for t in texts] == once and len(table) < 200
+@pytest.mark.parametrize("longest", [8, 256])
+def test_word_hashes(monkeypatch, longest):
+    """Equal words have equal hashes wherever they lie, different ones do not."""
+    monkeypatch.setattr(hashing, "BLOCK_BYTES", 3000)
+    monkeypatch.setattr(hashing, "LONG_WORD", longest)
+    draw = random.Random(3)
+    known = ["a", "a\0", "\0", "\0\0", "é", "x" * 8, "x" * 9, "x" * 16, "x" * 17, "x" * 300, "x" * 301, "y" * 300]
+    known += ["".join(draw.choice("ab") for _ in range(draw.randrange(1, 40))) for _ in range(300)]
+    texts = ["".join(draw.choice(known) + draw.choice([" ", "\n", " \t"]) for _ in range(draw.randrange(120))).encode() for _ in range(60)]
+    texts += [b"", b" ", b"w", b" w", b"w "]
+    hashes, owner = hashing.word_hashes(texts)
+    words = [(n, w) for n, t in enumerate(texts) for w in t.split()]
+    assert owner.tolist() == [n for n, _ in words]
+    seen = {}
+    for (_, word), pair in zip(words, hashes.tolist()):
+        assert seen.setdefault(word, pair) == pair
+    for which in (0, 1):
+        assert len({pair[which] for pair in seen.values()}) == len(seen)
+    assert len(hashing.word_hashes([])[0]) == 0

@@ -7,8 +7,13 @@ import numpy as np
 from tierlake.llm.words import segments
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+_STEPS = [np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)]
+_SEEDS = [np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)]
+_LOW_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+_IS_SPACE = np.zeros(256, bool)
+_IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
 BLOCK_BYTES = 1 << 20
-CACHE_BYTES = 16 << 20  # of words whose hashes a task keeps
+LONG_WORD = 256  # longer words, in bytes, are hashed one by one
 
 
 def blocks(texts):
@@ -23,45 +28,60 @@ def blocks(texts):
         yield first, texts[first:]
 
 
-class WordHashes(dict):
-    """Word -> its BLAKE2b hash of 16 bytes; forgets all words when they have become too many."""
-
-    size = 0
-
-    def of(self, words):
-        """The hashes of ``words``, joined."""
-        try:
-            return b"".join(map(self.__getitem__, words))
-        except KeyError:
-            pass
-        if self.size > CACHE_BYTES:
-            self.clear()
-            self.size = 0
-        for word in set(words).difference(self):
-            self[word] = hashlib.blake2b(word, digest_size=16).digest()
-            self.size += len(word) + 100
-        return b"".join(map(self.__getitem__, words))
-
-
-_known = WordHashes()
-
-
 def word_hashes(texts):
     """``(hashes, owner)`` of all words of some UTF-8 texts; ``owner`` is the text's number.
 
-    ``hashes`` has two independent 64-bit numbers for each word: of words that differ in any
-    way, however they are made, the two do not agree.
+    ``hashes`` has two 64-bit numbers for each word, made with different seeds. Eight bytes at a
+    time are mixed in with a finalizer, so no pattern of letters makes different words agree,
+    and words of up to eight bytes and the same length never do.
     """
-    parts, counts = [], []
-    for text in texts:
-        count = 0
+    parts, owners, held, size = [], [], [], 0
+
+    def flush():
+        nonlocal held, size
+        if held:
+            hashes, piece = _hashes([part for part, _ in held])
+            parts.append(hashes)
+            owners.append(np.array([owner for _, owner in held])[piece])
+        held, size = [], 0
+
+    for owner, text in enumerate(texts):
         for part in segments(text):
-            words = part.split()
-            parts.append(_known.of(words))
-            count += len(words)
-        counts.append(count)
-    hashes = np.frombuffer(b"".join(parts), "<u8").reshape(-1, 2)
-    return hashes, np.repeat(np.arange(len(texts)), counts)
+            held.append((part, owner))
+            size += len(part)
+            if size > BLOCK_BYTES:
+                flush()
+    flush()
+    if not parts:
+        return np.zeros((0, 2), np.uint64), np.zeros(0, np.int64)
+    return np.concatenate(parts), np.concatenate(owners)
+
+
+def _hashes(pieces):
+    """Hashes of the words of some byte strings, and the number of the piece each lies in."""
+    joined = b" ".join([b"", *pieces, bytes(8)])
+    raw = np.frombuffer(joined, np.uint8)[:-8]
+    space = _IS_SPACE[raw]
+    starts = np.flatnonzero(space[:-1] & ~space[1:]) + 1
+    stops = np.flatnonzero(~space[:-1] & space[1:]) + 1
+    lengths = stops - starts
+    # The eight bytes from every position on, as one number each.
+    eight = np.ndarray(len(joined) - 7, "<u8", joined, strides=(1,))
+    states = [_mixed(lengths.astype(np.uint64) + seed) for seed in _SEEDS]
+    words = np.flatnonzero(lengths <= LONG_WORD)
+    at, left = starts[words], lengths[words]
+    while len(words):
+        lane = eight[at] & _LOW_BYTES[np.minimum(left, 8)]
+        for state, step in zip(states, _STEPS):
+            state[words] = _mixed((state[words] ^ lane) * step)
+        more = left > 8
+        words, at, left = words[more], at[more] + 8, left[more] - 8
+    hashes = np.stack(states, axis=1)
+    for word in np.flatnonzero(lengths > LONG_WORD).tolist():
+        digest = hashlib.blake2b(joined[starts[word]:stops[word]], digest_size=16).digest()
+        hashes[word] = np.frombuffer(digest, "<u8")
+    sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+    return hashes, np.searchsorted(np.cumsum(sizes + 1) - sizes, starts, "right") - 1
 
 
 def window_hashes(hashes, size):

@@ -219,7 +219,7 @@ def repeated_spans(docs, window=WINDOW, id_column="doc_id", text_column="text"):
     The first level takes, for each window of the second level, the one with the least
     hash of the windows inside it: a window that two documents share has the same one in
     both, so nothing is lost, while only every fourth window or so is shuffled. The last
-    level compares 128 bits, made from 128-bit BLAKE2b hashes of the words.
+    level compares two hashes of 64 bits, which are independent from the words on.
 
     Documents with the same words as one of a smaller id are removed as a whole, without
     being compared. A null text has no words. Rows with a null id are kept whole and do
