@@ -70,6 +70,20 @@ def without(df, *names):
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
 
 
+def shielded(df, *given):
+    """``df`` with columns named ``c0``, ``c1``, ..., and the new names of the columns ``given``.
+
+    No operator has such names of its own, so those of the caller clash with none.
+    """
+    lower = [name.lower() for name in df.columns]
+    return df.toDF(*[f"c{i}" for i in range(len(lower))]), *[f"c{lower.index(name.lower())}" for name in given]
+
+
+def restored(df, columns):
+    """The columns of a shielded frame under their names, ``columns``; others are dropped."""
+    return df.select(*[f"c{i}" for i in range(len(columns))]).toDF(*columns)
+
+
 def schema_with(df, **columns):
     """The schema of ``df`` and further columns, given as ``name="type"``."""
     added = [T.StructField(name, T._parse_datatype_string(kind)) for name, kind in columns.items()]

@@ -2,8 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from tierlake.llm.common import Scratch, without
+from tierlake.llm.common import Scratch, restored, shielded, without
 
+ADDED = ("copy", "rate", "order_key")
 LAMBDA_MOST = 32.0  # mean that one inverted distribution may have; larger rates are split
 
 
@@ -83,8 +84,20 @@ def mix(docs, targets, size, id_column="doc_id", source_column="source", seed=17
     broadcasts them if small, and else joins in a way that adaptive execution splits at a hot
     source.
     """
-    own = ("copy", "rate", "order_key")
-    docs = without(docs, *own)
+    docs = without(docs, *ADDED)
+    given, size, id_column, source_column = shielded(docs, size, id_column, source_column)
+    mixed = _mix(given, targets, size, id_column, source_column, seed, total)
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    return mixed.select(*names, *ADDED).toDF(*docs.columns, *ADDED)
+
+
+def repeat(docs, targets, size, id_column="doc_id", source_column="source", seed=17, total=None):
+    """:func:`mix` with the columns of ``docs`` alone, of whatever names."""
+    given, size, id_column, source_column = shielded(docs, size, id_column, source_column)
+    return restored(_mix(given, targets, size, id_column, source_column, seed, total), docs.columns)
+
+
+def _mix(docs, targets, size, id_column, source_column, seed, total):
     by_source = Scratch(docs.sparkSession).write(
         rates(docs, targets, size, source_column, total).select(F.col("source").alias("_source"), "rate"),
         "rates")

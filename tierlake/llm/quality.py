@@ -6,8 +6,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from tierlake.llm.common import Scratch, schema_with, without
+from tierlake.llm.common import Scratch, restored, schema_with, shielded, without
 from tierlake.llm.words import SPACES, words
+from tierlake.operators.dedup import unused_names
 
 SYMBOLS = "#*$%&|<>"
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper"]
@@ -178,16 +179,17 @@ def judge(measured, cutoffs, stratum="lang"):
     """``measured`` with ``kept``: not failed by the base and no rule above its stratum's cutoff.
 
     A stratum without cutoffs is judged by the base alone. Cutoffs are one row per
-    stratum, joined under Spark's own size check.
+    stratum, joined under Spark's own size check. A column ``kept`` gives way.
     """
+    own, *names = unused_names(measured, "stratum", *RULES)
     limits = cutoffs.select(
-        F.col("stratum").alias("_stratum"), *[F.col(name).alias(f"_{name}") for name in RULES])
-    above = [F.coalesce(F.expr(rule) > F.col(f"_{name}"), F.lit(False)) for name, rule in RULES.items()]
+        F.col("stratum").alias(own), *[F.col(rule).alias(name) for rule, name in zip(RULES, names)])
+    above = [F.coalesce(F.expr(rule) > F.col(name), F.lit(False)) for name, rule in zip(names, RULES.values())]
     rejected = F.col("base_failed")
     for rule in above:
         rejected = rejected | rule
     joined = without(measured, "kept").join(
-        limits, F.col(stratum).cast("string").eqNullSafe(F.col("_stratum")), "left")
+        limits, F.col(stratum).cast("string").eqNullSafe(F.col(own)), "left")
     return joined.withColumn("kept", ~rejected).drop(*limits.columns)
 
 
@@ -202,4 +204,5 @@ def keep(docs, labels, stratum="lang", id_column="doc_id", text_column="text"):
     measured = scratch.write(narrow, "measured")
     cutoffs = scratch.write(calibrate(measured, labels, stratum, id_column), "cutoffs")
     scratch.drop("measured")
-    return judge(measure(docs, text_column), cutoffs, stratum).where("kept").select(*docs.columns)
+    given, text, own = shielded(docs, text_column, stratum)
+    return restored(judge(measure(given, text), cutoffs, own).where("kept"), docs.columns)

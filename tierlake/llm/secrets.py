@@ -7,7 +7,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from tierlake.llm.common import hash_sample
+from tierlake.llm.common import hash_sample, restored, shielded, without
 
 KINDS = ["assign", "access", "hex", "markov"]
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -25,6 +25,7 @@ ORDINARY_RUN = (r"(?<![A-Za-z0-9+/_=-])(?:\+?[0-9]+(?:[+/_-][0-9]+)+|[0-9]{4,}|[
                 r"(?![A-Za-z0-9+/_=-])")
 STATES = len(ALPHABET) + 1  # 0 stands for any other character
 CHUNK = 256
+TEXT_CHUNK = 4096
 
 
 # --- the Markov models ---------------------------------------------------------
@@ -185,38 +186,21 @@ def random_parts(text, model, threshold):
     return F.aggregate(_indices(text), start, step, finish)
 
 
-def _outside(match, base):
-    """Column: the parts of a match that lie in no base span and are as long as a candidate has to be."""
-    kind = "array<struct<start:int,end:int>>"
-    inside = F.filter(base, lambda b: (b["start"] < match["end"]) & (match["start"] < b["end"]))
-    start = F.struct(match["start"].alias("at"), F.array().cast(kind).alias("gaps"))
-
-    def gap(s, stop):
-        return F.concat(s["gaps"], F.array(F.struct(s["at"].alias("start"), stop.alias("end"))))
-
-    gaps = F.aggregate(inside, start, lambda s, b: F.struct(
-        F.greatest(s["at"], b["end"]).alias("at"), gap(s, b["start"]).alias("gaps")),
-        lambda s: gap(s, match["end"]))
-    return F.transform(F.filter(gaps, lambda g: g["end"] - g["start"] >= CANDIDATE_LEAST), lambda g: F.struct(
-        g["start"].alias("start"), g["end"].alias("end"),
-        F.substring(match["value"], g["start"] - match["start"] + 1, g["end"] - g["start"]).alias("value")))
-
-
 # --- spans ---------------------------------------------------------------------
 
 
-def _matches(df, name, pattern, value_group=0):
-    """Add ``{name}``: array of ``(start, end, value)`` of all matches in ``_text``, left to right.
+def _matches(df, name, pattern, value_group=0, column="_text"):
+    """Add ``{name}``: array of ``(start, end, value)`` of all matches in ``column``, left to right.
 
     Lengths of the matches and of the gaps between them give the positions. They are summed
     over chunks, so a text with very many matches takes no quadratic time.
     """
     found, gaps, lens, sums = (f"_{name}_{x}" for x in ("found", "gaps", "lens", "sums"))
-    df = df.withColumn(found, F.regexp_extract_all("_text", F.lit(pattern), 0))
+    df = df.withColumn(found, F.regexp_extract_all(column, F.lit(pattern), 0))
     some = F.size(found) > 0
-    df = df.withColumn(gaps, F.when(some, F.split("_text", pattern, -1)))
+    df = df.withColumn(gaps, F.when(some, F.split(column, pattern, -1)))
     if value_group:
-        df = df.withColumn(f"{found}v", F.when(some, F.regexp_extract_all("_text", F.lit(pattern), value_group)))
+        df = df.withColumn(f"{found}v", F.when(some, F.regexp_extract_all(column, F.lit(pattern), value_group)))
     df = df.withColumn(lens, F.zip_with(found, gaps, lambda m, g: F.length(m) + F.length(g)))
 
     def total(array):
@@ -239,18 +223,56 @@ def _matches(df, name, pattern, value_group=0):
     return df.withColumn(name, spans).drop(found, gaps, lens, sums, f"{found}v")
 
 
-def scan(docs, model, text_column="text", threshold=16.0):
-    """``docs`` with ``secret_spans`` and ``_text``: array of ``(start, rank, end)``, sorted.
+def replaced(text, spans, mark):
+    """Column: ``text`` with every span, or run of overlapping spans, replaced.
 
-    ``rank`` is the place in ``KINDS``. Beside the patterns, a run of characters as keys are
-    made of, outside the spans of the patterns, is a span of kind ``markov`` if the
-    log-likelihood ratio of the random model against the ordinary one is at least
-    ``threshold``, or else the parts of the run for which it is (:func:`random_parts`).
-    Null is an empty text. Everything happens within the row: nothing is shuffled.
+    ``spans`` are sorted by their start. ``mark`` makes what stands in their place, from the
+    number of characters that are gone and whether a run of spans begins here. The text is cut into chunks once, and each piece between
+    the spans is put together from those it lies in: a position in a long text would otherwise
+    be counted from its beginning for each span.
     """
-    df = docs.withColumn("_text", F.coalesce(F.col(text_column).cast("string"), F.lit("")))
-    for name, pattern, group in [
-        ("_assign", ASSIGN, 2), ("_access", ACCESS, 0), ("_hex", HEX, 0), ("_candidates", CANDIDATE, 0)]:
+    chunks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{TEXT_CHUNK}}}"), 0)
+
+    def most(array):
+        return F.coalesce(F.array_max(array), F.lit(0))
+
+    def piece(given, start, end):
+        low, high = F.floor(start / TEXT_CHUNK).cast("int"), F.floor((end - 1) / TEXT_CHUNK).cast("int")
+        some = F.array_join(F.slice(given["chunks"], low + 1, high - low + 1), "")
+        return F.when(end <= start, "").otherwise(F.substring(some, start - low * TEXT_CHUNK + 1, end - start))
+
+    def joined(given):
+        spans, ends = given["spans"], given["ends"]
+        steps = F.sequence(F.lit(0), F.floor((F.size(ends) - 1) / CHUNK).cast("int"))
+        tops = F.transform(steps, lambda c: most(F.slice(ends, c * CHUNK + 1, F.lit(CHUNK))))
+        return F.get(F.transform(F.array(F.struct(
+            given["chunks"].alias("chunks"), spans.alias("spans"), ends.alias("ends"), tops.alias("tops"))), pieces), 0)
+
+    def before(given, i):
+        """Largest end of the spans before number ``i``."""
+        chunk = F.floor(i / CHUNK).cast("int")
+        return F.greatest(
+            most(F.slice(given["tops"], F.lit(1), chunk)),
+            most(F.slice(given["ends"], chunk * CHUNK + 1, i - chunk * CHUNK)))
+
+    def pieces(given):
+        def one(span, i):
+            # An array of one element gives the position a name, so that it is computed once.
+            return F.get(F.transform(F.array(before(given, i)), lambda at: F.concat(
+                piece(given, at, span["start"]),
+                mark(F.greatest(span["end"] - F.greatest(span["start"], at), F.lit(0)), span["start"] >= at))), 0)
+
+        last = F.array_max(given["ends"])
+        return F.concat(F.array_join(F.transform(given["spans"], one), ""), piece(given, last, F.length(text)))
+
+    named = F.array(F.struct(
+        chunks.alias("chunks"), spans.alias("spans"), F.transform(spans, lambda s: s["end"]).alias("ends")))
+    return F.when(F.size(spans) > 0, F.get(F.transform(named, joined), 0)).otherwise(text)
+
+
+def _scan(df, model, threshold):
+    """Adds ``_base`` and ``secret_spans`` to a frame with the column ``_text``; see :func:`scan`."""
+    for name, pattern, group in [("_assign", ASSIGN, 2), ("_access", ACCESS, 0), ("_hex", HEX, 0)]:
         df = _matches(df, name, pattern, group)
 
     def ranked(array, rank):
@@ -259,14 +281,39 @@ def scan(docs, model, text_column="text", threshold=16.0):
 
     assigned = F.filter("_assign", lambda m: F.length(m["value"]) >= ASSIGN_LEAST)
     base = F.concat(ranked(assigned, 0), ranked("_access", 1), ranked("_hex", 2))
-    df = df.withColumn("_base", F.sort_array(base))
-    tried = F.flatten(F.transform("_candidates", lambda m: _outside(m, F.col("_base"))))
-    random = F.flatten(F.transform(tried, lambda m: F.transform(
+    df = df.withColumn("_base", F.sort_array(base)).drop("_assign", "_access", "_hex")
+    # What lies outside the base spans, in its place.
+    df = df.withColumn("_rest", replaced(F.col("_text"), F.col("_base"), lambda n, _: F.repeat(F.lit("\n"), n)))
+    df = _matches(df, "_candidates", CANDIDATE, column="_rest")
+    random = F.flatten(F.transform("_candidates", lambda m: F.transform(
         random_parts(m["value"], model, threshold), lambda p: F.struct(
             (m["start"] + p["start"]).alias("start"), (m["start"] + p["end"]).alias("end")))))
     df = df.withColumn("_markov", ranked(random, 3))
     spans = F.when(F.size("_markov") > 0, F.sort_array(F.concat("_base", "_markov"))).otherwise(F.col("_base"))
-    return df.withColumn("secret_spans", spans).drop("_assign", "_access", "_hex", "_candidates", "_markov")
+    return df.withColumn("secret_spans", spans).drop("_rest", "_candidates", "_markov")
+
+
+def _with_text(docs, text_column):
+    """``docs`` shielded, with the text, null as empty, as ``_text``."""
+    given, text = shielded(docs, text_column)
+    return given.withColumn("_text", F.coalesce(F.col(text).cast("string"), F.lit(""))), text
+
+
+def scan(docs, model, text_column="text", threshold=16.0):
+    """``docs`` with ``secret_spans``: array of ``(start, rank, end)``, sorted.
+
+    ``rank`` is the place in ``KINDS``. Beside the patterns, a run of characters as keys are
+    made of, outside the spans of the patterns, is a span of kind ``markov`` if the
+    log-likelihood ratio of the random model against the ordinary one is at least
+    ``threshold``, or else the parts of the run for which it is (:func:`random_parts`).
+    Null is an empty text. Everything happens within the row: nothing is shuffled. A
+    column ``secret_spans`` gives way, other columns stay.
+    """
+    docs = without(docs, "secret_spans")
+    found, _ = _with_text(docs, text_column)
+    found = _scan(found, model, threshold)
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    return found.select(*names, "secret_spans").toDF(*docs.columns, "secret_spans")
 
 
 def listed(spans):
@@ -276,10 +323,11 @@ def listed(spans):
         ":", F.get(names, s["rank"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def report(docs, model, id_column="doc_id", text_column="text", **options):
+def report(docs, model, id_column="doc_id", text_column="text", threshold=16.0):
     """``(id, n_assign, n_access, n_hex, base_sha256, spans)`` per row; other columns are ignored."""
-    given = docs.select(F.col(id_column).alias("_id"), F.col(text_column).alias("_given"))
-    found = scan(given, model, "_given", **options).drop("_given", "_text")
+    given = docs.select(
+        F.col(id_column).alias("_id"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("_text"))
+    found = _scan(given, model, threshold)
 
     def number(rank):
         return F.size(F.filter("_base", lambda s: s["rank"] == rank)).cast("long")
@@ -290,22 +338,13 @@ def report(docs, model, id_column="doc_id", text_column="text", **options):
         listed(F.col("secret_spans")).alias("spans"))
 
 
-def redact(docs, model, text_column="text", mark="[SECRET]", **options):
+def redact(docs, model, text_column="text", mark="[SECRET]", threshold=16.0):
     """``docs`` with every span, or run of overlapping spans, replaced by ``mark``.
 
-    Null texts stay null; texts without a span stay as they are.
+    Null texts stay null; texts without a span stay as they are, and so do all other columns.
     """
-    found = scan(docs, model, text_column, **options)
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-
-    def step(state, span):
-        fresh = span["start"] >= state["at"]
-        gap = F.substring(F.col("_text"), state["at"] + 1, span["start"] - state["at"])
-        return F.struct(
-            F.when(fresh, F.concat(state["out"], gap, F.lit(mark))).otherwise(state["out"]).alias("out"),
-            F.greatest(state["at"], span["end"]).alias("at"))
-
-    text = F.aggregate("secret_spans", start, step, lambda s: F.concat(
-        s["out"], F.substring(F.col("_text"), s["at"] + 1, F.length("_text"))))
-    changed = F.when(F.size("secret_spans") > 0, text).otherwise(F.col(text_column))
-    return found.withColumn(text_column, changed).select(*docs.columns)
+    found, text = _with_text(docs, text_column)
+    found = _scan(found, model, threshold)
+    clean = replaced(F.col("_text"), F.col("secret_spans"), lambda _, first: F.when(first, mark).otherwise(""))
+    changed = F.when(F.size("secret_spans") > 0, clean).otherwise(F.col(text))
+    return restored(found.withColumn(text, changed), docs.columns)
