@@ -1,10 +1,14 @@
+import math
+import random
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
-from tests.llm.helpers import edge_docs
+from tests.llm.helpers import SF_DIR, edge_docs
 from tierlake.llm import toxicity
 from tierlake.llm.common import configure, read
-from tierlake.llm.queries import held_out
+from tierlake.llm.queries import QUERIES, held_out
 
 
 @pytest.mark.parametrize("written", ["idiot", "IDIOT", "1d10t", "іdіоt", "ｉｄｉｏｔ", "ídïöt", "id\u200biot", "𝐢𝐝𝐢𝐨𝐭", "id!ot"])
@@ -58,3 +62,63 @@ def test_edges(spark):
     rows = toxicity.score(docs, lexicon).collect()
     assert len(rows) == docs.count() and all(0 <= r["score"] <= 1 for r in rows)
     assert toxicity.score(docs.limit(0), toxicity.train(docs.limit(0), labels.limit(0))).count() == 0
+
+
+def plain_hits(folded, weights, exceptions):
+    """Every entry looked for at every place; a hit counts unless it begins in an exception phrase."""
+    spans = [(m, m + len(p)) for p in map(toxicity.fold, exceptions)
+             for m in range(len(folded)) if folded.startswith(p, m)]
+    hits = {}
+    for start in range(len(folded)):
+        for entry, weight in sorted(weights.items(), key=lambda e: len(e[0])):
+            if folded.startswith(entry, start) and weight > hits.get(start, (0, 0))[1]:
+                hits[start] = len(entry), weight
+    return [(s, *hits[s]) for s in sorted(hits) if not any(low <= s < high - 1 for low, high in spans)]
+
+
+def test_hits_equal_a_plain_search():
+    draw = random.Random(8)
+    for turn in range(300):
+        words = ["bad", "worse", "worst", "not", "so", "baden", "a", "b"]
+        weights = {draw.choice([f" {w} ", f" {w[:draw.randrange(1, 5)]}"]): draw.choice([1.0, 2.0, 3.0]) for w in draw.sample(words, 4)}
+        exceptions = [" ".join(draw.choices(words, k=draw.randrange(1, 4))) for _ in range(draw.randrange(4))]
+        folded = toxicity.fold(" ".join(draw.choices(words, k=draw.randrange(30))))
+        found = toxicity.Lexicon(weights, exceptions).hits(folded)
+        assert found == plain_hits(folded, weights, exceptions), (turn, weights, exceptions, folded)
+
+
+def test_scores_equal_a_plain_version(spark):
+    """The whole query: learned entries and phrases, applied by a plain search."""
+    configure(spark)
+    docs = read(spark, SF_DIR, "documents", "doc_id", "text")
+    labels = read(spark, SF_DIR, "labels", "doc_id", "toxic").where(~held_out())
+    lexicon = toxicity.train(docs, labels)
+    base, slope = lexicon.line
+    texts = {r["doc_id"]: r["text"] for r in docs.where("length(text) < 5000").collect()}
+    for r in QUERIES["op6_toxicity"](spark, SF_DIR).collect():
+        if r["doc_id"] in texts:
+            folded = toxicity.fold(texts[r["doc_id"]])
+            weight = sum(w for _, _, w in plain_hits(folded, lexicon.weights, lexicon.exceptions))
+            score = 1 / (1 + math.exp(-(base + slope * math.log1p(1000 * weight / max(folded.count(" ") - 1, 1)))))
+            assert r["score"] == pytest.approx(score, abs=1e-12) and r["predicted"] == (score >= 0.5)
+
+
+def test_many_excused_hits_take_no_quadratic_time():
+    lexicon = toxicity.Lexicon({" bad ": 2.0, " wor": 3.0}, ["not bad", "bad not"])
+    folded = toxicity.fold("not bad " * 125_000 + "bad")
+    began = time.perf_counter()
+    assert len(lexicon.hits(folded)) == 1
+    assert time.perf_counter() - began < 2
+
+
+def test_repeated_ids_with_other_texts(spark):
+    """The lexicon is the same however the rows are dealt."""
+    configure(spark)
+    rows = [(i % 60, f"word{chr(97 + i % 26)} {'zorgle' if i % 3 else 'cake'} x{i % 7} number {i}") for i in range(600)]
+    labels = spark.createDataFrame([(i, int(i % 2)) for i in range(60)], "doc_id long, toxic int")
+    found = set()
+    for parts in (1, 3, 8):
+        docs = spark.createDataFrame(rows[::-1] if parts == 3 else rows, "doc_id long, text string").repartition(parts)
+        lexicon = toxicity.train(docs, labels, purity=0.1, least=1)
+        found.add((tuple(sorted(lexicon.weights.items())), lexicon.exceptions))
+    assert len(found) == 1

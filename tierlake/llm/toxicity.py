@@ -102,9 +102,14 @@ class Lexicon:
                 excused.append((start, end))
             elif start not in found or weight > found[start][1]:
                 found[start] = size, weight
-        return [
-            (start, size, weight) for start, (size, weight) in found.items()
-            if not any(low <= start < high for low, high in excused)]
+        # Both in the order of their starts: one sweep, with the farthest end of a phrase so far.
+        kept, reach, excused = [], 0, sorted(excused, reverse=True)
+        for start in sorted(found):
+            while excused and excused[-1][0] <= start:
+                reach = max(reach, excused.pop()[1])
+            if start >= reach:
+                kept.append((start, *found[start]))
+        return kept
 
     def density(self, text):
         """Weight of the hits per thousand words, on a log scale: 0 without a hit."""
@@ -122,21 +127,20 @@ class Lexicon:
 
 
 def train(docs, labels, id_column="doc_id", text_column="text", label="toxic", labelled=20_000,
-          least=4, purity=3.0, most=5_000, exceptions=()):
+          least=4, purity=3.0, exceptions=()):
     """A :class:`Lexicon` from documents with a 0/1 label.
 
     Learns from about ``labelled`` labelled documents, those with the smallest hash of the
     id; conflicting labels of an id and nulls are left out. Entries are words and word
     beginnings of 4 to 7 letters whose smoothed log-odds of being in a toxic document are
-    at least ``purity``, in ``least`` or more toxic documents; at most ``most`` of them, the
-    most frequent. Of the sampled documents that share the least hash of their five-word
+    at least ``purity``, in ``least`` or more toxic documents. Of the sampled documents that share the least hash of their five-word
     shingles, copies as a rule, only the smallest id counts, so that the chance words of a
     copied text do not look toxic. A beginning replaces its words only if it is in clearly more documents.
     Exception phrases are a hit with the word before or after it that is in more clean
     than toxic documents; those given in ``exceptions`` are added.
 
-    Counting is done in tasks; the driver gets the entries and one number per document
-    of the bounded sample. Without labels of both kinds the lexicon is empty.
+    Counting is done in tasks; the driver gets the entries that the bounded sample yields, and one
+    number per document of it. Of rows that repeat an id the least label and text counts. Without labels of both kinds the lexicon is empty.
     """
     given = labels.where(f"{id_column} IS NOT NULL AND {label} IS NOT NULL").groupBy(id_column).agg(
         F.min(label).alias("y"), F.max(label).alias("_y")).where("y = _y").drop("_y")
@@ -147,7 +151,7 @@ def train(docs, labels, id_column="doc_id", text_column="text", label="toxic", l
     sketched = sampled.select("_id", F.col("y").cast("int").alias("y"), "_text").mapInArrow(
         _sketch, f"_id {kind}, y int, _text string, sketch long")
     rows = sketched.groupBy("sketch").agg(
-        F.min_by(F.struct("y", "_text"), "_id").alias("r")).select("r.y", "r._text")
+        F.min(F.struct("_id", "y", "_text")).alias("r")).select("r.y", "r._text")
     rows = Scratch(docs.sparkSession).write(rows, "toxicity-sample")
 
     sizes = {row["y"]: row["n"] for row in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
@@ -160,14 +164,13 @@ def train(docs, labels, id_column="doc_id", text_column="text", label="toxic", l
         F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     odds = F.log((F.col("toxic") + 0.5) / (toxic + 1)) - F.log((F.col("clean") + 0.5) / (clean + 1))
     strong = counts.withColumn("odds", odds).where((F.col("toxic") >= least) & (F.col("odds") >= purity))
-    found = strong.orderBy(F.desc("toxic"), "entry").limit(most).collect()
-    weights = _families({row["entry"]: (row["toxic"], row["odds"]) for row in found})
+    weights = _families({row["entry"]: (row["toxic"], row["odds"]) for row in strong.collect()})
 
     bare = Lexicon(weights)
     phrases = rows.mapInArrow(_count(lambda folded: _phrases(folded, bare)), counted).groupBy("entry").agg(
         F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    mild = phrases.where("clean >= 3 AND clean > 2 * toxic").orderBy(F.desc("clean"), "entry").limit(most)
-    learned = Lexicon(weights, [*exceptions, *[row["entry"] for row in mild.collect()]])
+    mild = phrases.where("clean >= 3 AND clean > 2 * toxic").collect()
+    learned = Lexicon(weights, [*exceptions, *sorted(row["entry"] for row in mild)])
 
     def densities(batches):
         for batch in batches:
