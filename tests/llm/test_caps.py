@@ -113,3 +113,68 @@ def test_recall_of_links(spark):
     expected = sum(n for _, n, _, _ in plain(rows, 0.95))
     found = sum(n for _, n, _, _ in got(spark, rows))
     assert 0.99 * expected <= found <= expected
+
+
+@pytest.mark.parametrize("dimension, words", [(1, 4), (2, 9), (7, 5), (48, 20), (64, 40)])
+def test_decoding_equals_all_products(dimension, words):
+    """The filters of a vector are those whose product reaches the line, over all of them."""
+    draw = np.random.default_rng(dimension)
+    for _ in range(20):
+        unit = draw.standard_normal(dimension)
+        unit /= np.linalg.norm(unit)
+        rotation, books = caps.codebooks(dimension, words, 3)
+        products = [book @ part for book, part in zip(books, np.array_split(rotation @ unit, caps.PARTS))]
+        every = (products[0][:, None, None] + products[1][None, :, None] + products[2][None, None, :]).ravel()
+        got = np.sort(caps._of_code(unit, words, 3) - 3 * len(every))
+        line = every[got].min()
+        assert len(got) >= min(caps.LEAST, len(every))
+        assert set(got.tolist()) == set(np.flatnonzero(every >= line - 1e-9).tolist()) or (
+            set(np.flatnonzero(every >= line + 1e-9).tolist()) <= set(got.tolist()))
+
+
+def test_decoding_visits_few_filters():
+    """Time per vector grows far less than the number of pairs of codewords."""
+    import time
+
+    draw, spent = np.random.default_rng(1), []
+    for vectors in (5_000_000, 500_000_000):
+        words = caps.code_size(vectors)
+        units = draw.standard_normal((60, 64))
+        units /= np.linalg.norm(units, axis=1, keepdims=True)
+        caps._of_code(units[0], words, 0)
+        began = time.perf_counter()
+        for unit in units:
+            caps._of_code(unit, words, 0)
+        spent.append(time.perf_counter() - began)
+    assert spent[1] < 6 * spent[0]
+
+
+def test_component_with_half_of_the_vectors_is_split(spark):
+    draw = np.random.default_rng(2)
+    steps = np.cumsum(draw.standard_normal((600, 24)) * 0.05, axis=0) + draw.standard_normal(24) * 3
+    rows = list(enumerate(np.concatenate([steps, draw.standard_normal((600, 24))]).astype(np.float32).tolist()))
+    rows += [(2000 + i, rows[0][1]) for i in range(600)]
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+    before, plans = {k: spark.conf.get(k) for k in settings}, []
+    write = caps.Scratch.write
+
+    def seen(self, df, label):
+        found = write(self, df, label)
+        if label == "final":
+            df.collect()
+            plans.append(df._jdf.queryExecution().toString())
+        return found
+
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    caps.Scratch.write = seen
+    try:
+        assert got(spark, rows) == plain(rows, 0.95)
+    finally:
+        caps.Scratch.write = write
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert "component" in plans[0] and "SortMergeJoin" in plans[0]

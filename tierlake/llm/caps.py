@@ -28,7 +28,7 @@ def code_size(vectors):
     return max(4, math.ceil((vectors * FILTERS / BUCKET) ** (1 / PARTS)))
 
 
-@lru_cache(maxsize=64)
+@lru_cache(maxsize=256)
 def codebooks(dimension, words, code):
     """A random rotation, and random unit codewords of each part of a rotated vector.
 
@@ -54,22 +54,27 @@ def codebooks(dimension, words, code):
 def _of_code(unit, words, code):
     """Numbers of the filters of one code whose product with a unit vector reaches the threshold.
 
-    The products of the parts are added up pair by pair; sorted products of the last part
-    give the filters that exceed the rest, so filters out of reach are never looked at.
+    List decoding: the products of each part are sorted, and a codeword of one part is joined
+    only to those of the next that can still reach the threshold with the best of the last; so
+    filters out of reach are never looked at.
     """
     rotation, books = codebooks(len(unit), words, code)
     split = np.array_split(rotation @ unit, PARTS)
     first, second, third = (book @ part for book, part in zip(books, split))
+    one, two = np.argsort(-first), np.argsort(-second)
+    rising, best = -second[two], third.max()
     count = len(first) * len(second) * len(third)
     share = min(FILTERS / count, 0.5)
     alpha = NormalDist().inv_cdf(1 - share) / math.sqrt(len(unit))
-    pairs = (first[:, None] + second[None, :]).ravel()
     order = np.argsort(-third)
     falling = -third[order]
     want = min(LEAST, count)
     while True:
-        near = np.flatnonzero(pairs + third.max() >= alpha)
-        reach = np.searchsorted(falling, pairs[near] - alpha, "right")
+        partners = np.searchsorted(rising, first[one] + best - alpha + 1e-9, "right")
+        rows = np.repeat(np.arange(len(one)), partners)
+        places = np.arange(len(rows)) - np.repeat(np.cumsum(partners) - partners, partners)
+        near = one[rows] * len(second) + two[places]
+        reach = np.searchsorted(falling, first[one[rows]] + second[two[places]] - alpha, "right")
         if reach.sum() >= want:
             break
         alpha -= 0.25 / math.sqrt(len(unit))
@@ -83,6 +88,7 @@ def caps(unit, words, codes):
     return np.sort(np.concatenate([_of_code(unit, words, code) for code in range(codes)]))
 
 
+@lru_cache(maxsize=64)
 def codes_needed(dimension, words, threshold):
     """Independent codes of which all miss a pair at ``threshold`` with probability ``MISS`` at most.
 
@@ -104,7 +110,7 @@ def codes_needed(dimension, words, threshold):
     return codes
 
 
-def _decode(words, codes):
+def _decode(words, threshold):
     def run(batches):
         for batch in batches:
             found = []
@@ -112,7 +118,8 @@ def _decode(words, codes):
                 vector = np.array(values, np.float64)
                 scale = np.abs(vector).max()
                 vector = vector / scale
-                found.append(caps(vector / np.linalg.norm(vector), words, codes[len(vector)]))
+                codes = codes_needed(len(vector), words, threshold)
+                found.append(caps(vector / np.linalg.norm(vector), words, codes))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(found, pa.list_(pa.int64()))],
                 names=[*batch.schema.names, "caps"])
@@ -192,9 +199,9 @@ def _linked(threshold, kind):
     return run
 
 
-def _packed(words, codes, kind):
+def _packed(words, threshold, kind):
     """As :func:`_decode`, with the vector and its caps as binaries of numbers."""
-    decode = _decode(words, codes)
+    decode = _decode(words, threshold)
 
     def run(batches):
         for batch in decode(batches):
@@ -236,13 +243,11 @@ def near_duplicates(rows, threshold=THRESHOLD, id_column="vec_id", vector_column
     classes = scratch.write(classes.withColumn("uid", F.monotonically_increasing_id()), "classes")
 
     words = code_size(classes.count())
-    lengths = classes.select(F.size("vector").alias("n")).distinct().collect()
-    codes = {row["n"]: codes_needed(row["n"], words, threshold) for row in lengths}
     # Single-precision input is shuffled as such; it is compared in double precision all the same.
     single = rows.schema[vector_column].dataType == T.ArrayType(T.FloatType())
     kind = np.dtype(np.float32 if single else np.float64)
     decoded = classes.select("uid", "vector", "size").mapInArrow(
-        _packed(words, codes, kind), "uid long, vector binary, size long, caps array<long>, packed binary")
+        _packed(words, threshold, kind), "uid long, vector binary, size long, caps array<long>, packed binary")
     decoded = scratch.write(decoded, "decoded")
     # The length of the vector is part of the key: vectors of another length have other caps.
     cap = F.explode("caps").alias("cap")
@@ -270,10 +275,11 @@ def near_duplicates(rows, threshold=THRESHOLD, id_column="vec_id", vector_column
         "vector", "first", (F.col("size") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
         F.coalesce("component", "uid").alias("component"))
     placed = scratch.write(placed, "placed")
-    smallest = placed.groupBy("component").agg(F.min("first").alias("smallest"))
+    # Staged, since adaptive execution splits a large component only in a join of two plain shuffles.
+    smallest = scratch.write(placed.groupBy("component").agg(F.min("first").alias("smallest")), "smallest")
     final = scratch.write(
         placed.join(smallest, "component").select("vector", "n_links", "smallest"), "final")
-    scratch.drop("classes", "linked", "placed")
+    scratch.drop("classes", "linked", "placed", "smallest")
     found = given.join(final, F.col("_fine") & (F.col("_v") == F.col("vector")), "left")
     component = F.coalesce("smallest", "_id")
     return found.select(

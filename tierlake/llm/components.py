@@ -21,8 +21,9 @@ def components(edges, scratch, label="edges"):
         if now == seen:
             break
         seen, turn = now, turn + 1
-        edges = scratch.write(_small_star(_large_star(edges, scratch, label)), f"{label}{turn}")
-        scratch.drop(f"{label}{turn - 1}", f"{label}-least")
+        larger = scratch.write(_large_star(edges, scratch, label), f"{label}-larger")
+        edges = scratch.write(_small_star(larger, scratch, label), f"{label}{turn}")
+        scratch.drop(f"{label}{turn - 1}", f"{label}-least", f"{label}-larger", f"{label}-smallest")
     # In the end all edges are (node, root).
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionAll(roots)
@@ -41,8 +42,8 @@ def _large_star(edges, scratch, label):
     return larger.select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
 
-def _small_star(edges):
-    """Edges ``a > b``: a node and its smaller neighbours go to the smallest of them."""
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+def _small_star(edges, scratch, label):
+    """Edges ``a > b``: a node and its smaller neighbours go to the smallest of them (staged, too)."""
+    least = scratch.write(edges.groupBy("a").agg(F.min("b").alias("m")), f"{label}-smallest")
     moved = edges.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.unionAll(least.select("a", F.col("m").alias("b"))).distinct()
