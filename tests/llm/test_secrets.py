@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 import pytest
 
@@ -120,5 +121,136 @@ def test_edges(spark, model):
     assert secrets.redact(docs, model).columns == docs.columns
     assert secrets.redact(docs, model).count() == docs.count()
     assert secrets.report(docs.limit(0), model).count() == 0
-    none = secrets.train(secrets.ordinary_identifiers(docs.limit(0)).unionByName(secrets.random_strings(spark, 0)))
+    none = secrets.train(spark.createDataFrame([], "text string, secret int"))
     assert set(none) == {0.0}
+    assert secrets.ordinary_identifiers(docs.limit(0)).count() == 300 * 4 * len(secrets.SEQUENCES)
+
+
+def plain_markov(text, model, threshold=secrets.THRESHOLD, rate=secrets.RATE):
+    """All Markov spans of a text, by loops over its characters."""
+    text = text or ""
+    rest = list(text)
+    for start, _, end in plain_base(text):
+        rest[start:end] = "\n" * (end - start)
+    spans = []
+    for match in re.finditer(secrets.CANDIDATE, "".join(rest)):
+        own = match[0]
+        index = [secrets.ALPHABET.find(c) + 1 for c in own]
+        ratios = [0.0] + [model[a * secrets.STATES + b] for a, b in zip(index, index[1:])]
+        total = sum_ = 0.0
+        start, best, end, parts = 0, 0.0, 0, []
+
+        def close():
+            if best >= threshold and best >= rate * (end - start):
+                parts.append((start, end))
+
+        for at, ratio in enumerate(ratios):
+            total, sum_ = total + ratio, sum_ + ratio
+            if sum_ <= 0 or sum_ <= best - threshold:
+                close()
+                sum_, start, best, end = 0.0, at, 0.0, end
+            elif sum_ > best:
+                best, end = sum_, at + 1
+        close()
+        if total >= threshold and total >= rate * len(own):
+            spans.append(match.span())
+            continue
+        cut = [i for i, c in enumerate(own) if c in secrets.SEPARATORS + "="]
+        wide = []
+        for low, high in parts:
+            left = max([i + 1 for i in cut if i < low], default=0)
+            right = min([i for i in cut if i >= high], default=len(own))
+            if (left, right) not in wide:
+                wide.append((left, right))
+        spans += [(match.start() + a, match.start() + b) for a, b in wide if b - a >= secrets.CANDIDATE_LEAST]
+    return spans
+
+
+def mixed_texts(seed, count):
+    """Texts of keys, words, paths, patterns and separators in any order."""
+    draw = random.Random(seed)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+
+    def piece():
+        return draw.choice([
+            lambda: "".join(draw.choices(alphabet, k=draw.randrange(3, 45))), lambda: draw.choice(PATHS),
+            lambda: "token=" + "".join(draw.choices(alphabet, k=draw.randrange(8, 30))), lambda: "deadbeef" * draw.randrange(1, 4),
+            lambda: "some ordinary words", lambda: draw.choice("-_/+= .\n") * draw.randrange(1, 4), lambda: "AKIA" + "Z9" * 8,
+        ])()
+
+    return ["".join(piece() + draw.choice(["", "", "-", "/", "_", " ", "="]) for _ in range(draw.randrange(12))) for _ in range(count)]
+
+
+def test_markov_spans_equal_the_plain_version(spark, model):
+    texts = [*mixed_texts(3, 500), *TRICKY, *ORDINARY, *PATHS, None]
+    texts += [r["text"] for r in read(spark, SF_DIR, "documents", "doc_id", "text").collect()]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
+    found = 0
+    for r in secrets.report(docs, model).collect():
+        text = texts[r["doc_id"]]
+        spans = sorted([*plain_base(text), *[(a, 3, b) for a, b in plain_markov(text, model)]])
+        assert r["spans"] == listed(spans), text
+        found += any(k == 3 for _, k, _ in spans)
+    assert found > 150
+
+
+# Paths, packages, names, alphabets and numbers as they stand in ordinary texts.
+PATHS = """com/google/protobuf/DescriptorProtos Przybyszewski-Szczebrzeszyn abcdefghijklmnopqrstuvwxyz
+ABCDEFGHIJKLMNOPQRSTUVWXYZ QWERTZUIOPASDFGHJKL qwertyuiopasdfghjklzxcvbnm sha256-RSA-OAEP-MGF1
+usr/local/lib/python3/site-packages/numpy/core 550e8400-e29b-41d4-a716-446655440000 local/lib/python3/dist
+com/fasterxml/jackson/databind/ObjectMapper internationalization node_modules/webpack/lib HTTP/1-1_Keep-Alive
+org/apache/hadoop/hdfs/server/namenode/FSNamesystem Donaudampfschifffahrtsgesellschaft x86_64-unknown-linux-gnu
+TensorFlow-Keras-Layers-Conv2D en_US-UTF-8-x86_64 getElementsByClassName Krzysztof-Wojciechowski 0123456789012345
+aaaaaaaaaaaaaaaaaaaa kubernetes-dashboard-deployment MAX_CONNECTION_POOL_SIZE application/vnd-openxmlformats
+src/main/java/org/springframework/boot/autoconfigure/SpringBootApplication test_should_return_none_when_empty
+Llanfairpwllgwyngyllgogerychwyrndrobwllllantysiliogogoch 1/2/3/4/5/6/7/8/9/10/11 192-168-100-200-10-20
+AbstractSingletonProxyFactoryBean antidisestablishmentarianism pneumonoultramicroscopicsilicovolcanoconiosis
+zyxwvutsrqponmlkjihgfedcba POIUYTREWQLKJHGF vmlinuz-5-15-0-91-generic libstdc++-v3/include/ext/pb_ds
+react-native-gesture-handler DE89-3704-0044-0532-0130-00 F81D4FAE-7DEC-11D0-A765-00A0C91E6BF6 a/b/c/d/e/f/g/h/i/j/k
+Wyszkowski-Brzezinski-Jaroszewicz Rechtsschutzversicherungsgesellschaften ISO-8859-1/UTF-16/UTF-32LE
+data/train/images/class_0001/img_00012345 v1/users/12345/orders/67890/items CamelCaseIdentifierWithManyWords""".split()
+
+
+def test_ordinary_strings_are_rarely_reported(spark, model):
+    """The rate that the README states."""
+    docs = spark.createDataFrame([(i, f"see {t} here") for i, t in enumerate(PATHS)], "doc_id long, text string")
+    reported = [PATHS[r["doc_id"]] for r in secrets.report(docs, model).collect() if "markov" in r["spans"]]
+    assert len(reported) <= 0.05 * len(PATHS), reported
+
+
+@pytest.mark.parametrize("alphabet, size, least", [
+    ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", 16, 0.97),
+    ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", 24, 0.99),
+    ("abcdefghijklmnopqrstuvwxyz0123456789", 20, 0.97), ("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", 20, 0.97),
+    ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", 40, 0.99),
+])
+def test_random_strings_are_found(spark, model, alphabet, size, least):
+    draw = random.Random(size)
+    docs = spark.createDataFrame(
+        [(i, f"see {''.join(draw.choices(alphabet, k=size))} here") for i in range(400)], "doc_id long, text string")
+    found = sum("markov" in r["spans"] for r in secrets.report(docs, model).collect())
+    assert found >= least * 400
+
+
+def test_many_spans_take_no_quadratic_time(spark, model):
+    draw, spent = random.Random(4), []
+    for count in (2000, 16_000):
+        text = " ".join("token=" + "".join(draw.choices("abcdefXYZ0123456789", k=20)) for _ in range(count))
+        docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        secrets.redact(docs, model).collect()
+        began = time.perf_counter()
+        assert secrets.redact(docs, model).first()["text"] == " ".join(["[SECRET]"] * count)
+        spent.append(time.perf_counter() - began)
+    assert spent[1] < 30 * spent[0] + 1
+
+
+def test_redaction_equals_a_plain_version(spark, model):
+    texts = [*mixed_texts(9, 300), ("é😀 " * 3000 + "token=0123456789abcdefXY ") * 4]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
+    for r in secrets.redact(docs, model).collect():
+        text, out, at = texts[r["doc_id"]], "", 0
+        for start, _, end in sorted([*plain_base(text), *[(a, 3, b) for a, b in plain_markov(text, model)]]):
+            if start >= at:
+                out += text[at:start] + "[SECRET]"
+            at = max(at, end)
+        assert r["text"] == out + text[at:]

@@ -23,9 +23,15 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-="
 SEPARATORS = "+/_-"
 ORDINARY_RUN = (r"(?<![A-Za-z0-9+/_=-])(?:\+?[0-9]+(?:[+/_-][0-9]+)+|[0-9]{4,}|[A-Z]{2,}(?:[+/_-][A-Z]{2,})+)"
                 r"(?![A-Za-z0-9+/_=-])")
+#: Orders in which people type or list characters; runs of them are no random strings.
+SEQUENCES = ["abcdefghijklmnopqrstuvwxyz", "0123456789", "qwertyuiop", "qwertzuiop", "asdfghjkl", "zxcvbnm", "yxcvbnm",
+             "qwertyuiopasdfghjklzxcvbnm", "qwertzuiopasdfghjklyxcvbnm", "azertyuiopqsdfghjklmwxcvbn"]
+THRESHOLD = 30.0  # least log-likelihood ratio of a span ...
+RATE = 2.0  # ... and least ratio for each of its characters
 STATES = len(ALPHABET) + 1  # 0 stands for any other character
 CHUNK = 256
 TEXT_CHUNK = 4096
+SAMPLE_TASKS = 48
 
 
 # --- the Markov models ---------------------------------------------------------
@@ -48,10 +54,11 @@ def ordinary_identifiers(docs, text_column="text", rows=2000):
     They come from about ``rows`` documents, those with the smallest hash of their text, copies
     counted once; of these, every word of letters counts, and every run of numbers or of words
     in upper case. As texts may hold few of them, dates and numbers in groups are made by rule
-    beside the names.
+    beside the names, and the alphabet, rows of keys and the like (``SEQUENCES``), both ways.
     """
     texts = docs.select(F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("t"))
-    some = hash_sample(texts, "t", rows).dropDuplicates(["t"])
+    # The sample is small in bytes, and would else be put together in a few tasks.
+    some = hash_sample(texts, "t", rows).dropDuplicates(["t"]).repartition(SAMPLE_TASKS)
     words = some.select(F.regexp_extract_all("t", F.lit(r"[A-Za-z]{2,}"), 0).alias("w"))
     three = F.slice("w", F.col("i"), 3)
     named = words.where("size(w) >= 3").select(
@@ -63,7 +70,9 @@ def ordinary_identifiers(docs, text_column="text", rows=2000):
             F.upper(F.array_join(three, "_")), F.upper(F.array_join(three, "-")), _numbers(three),
         )).alias("text"))
     runs = some.select(F.explode(F.regexp_extract_all("t", F.lit(ORDINARY_RUN), 0)).alias("text"))
-    named = named.unionByName(runs)
+    rows = [s for sequence in SEQUENCES for s in (sequence, sequence[::-1], sequence.upper(), sequence[::-1].upper())]
+    sequences = docs.sparkSession.range(300).select(F.explode(F.split(F.lit(" ".join(rows)), " ")).alias("text"))
+    named = named.unionByName(runs).unionByName(sequences)
     return named.withColumn("secret", F.lit(0))
 
 
@@ -138,12 +147,13 @@ def log_likelihood_ratio(text, model):
         lambda s: s["sum"])
 
 
-def random_parts(text, model, threshold):
+def random_parts(text, model, threshold, rate):
     """Column: array of ``(start, end)`` of the parts of ``text`` that the model takes for random.
 
-    The whole text if its ratio reaches ``threshold``; else every part of largest sum that
-    does, widened to the separators around it, if it is then as long as a candidate has to
-    be. A part ends where the sum falls to 0, or by ``threshold`` below its largest value.
+    The whole text if its ratio reaches ``threshold``, and ``rate`` for each character; else
+    every part of largest sum that does, widened to the separators around it, if it is then as
+    long as a candidate has to be. A part ends where the sum falls to 0, or by ``threshold``
+    below its largest value.
     """
     table = F.split(F.lit(",".join(map(repr, model))), ",").cast("array<double>")
     kind = "array<struct<start:int,end:int>>"
@@ -154,7 +164,8 @@ def random_parts(text, model, threshold):
 
     def closed(s):
         part = F.struct(s["start"].alias("start"), s["end"].alias("end"))
-        return F.when(s["best"] >= threshold, F.concat(s["parts"], F.array(part))).otherwise(s["parts"])
+        random = (s["best"] >= threshold) & (s["best"] >= rate * (s["end"] - s["start"]))
+        return F.when(random, F.concat(s["parts"], F.array(part))).otherwise(s["parts"])
 
     def step(s, c):
         ratio = F.when(s["last"] >= 0, F.get(table, s["last"] * STATES + c)).otherwise(0.0)
@@ -180,7 +191,8 @@ def random_parts(text, model, threshold):
 
     def finish(s):
         wide = F.array_distinct(F.transform(closed(s), widened))
-        return F.when(s["total"] >= threshold, whole).otherwise(
+        random = (s["total"] >= threshold) & (s["total"] >= rate * F.length(text))
+        return F.when(random, whole).otherwise(
             F.filter(wide, lambda p: p["end"] - p["start"] >= CANDIDATE_LEAST))
 
     return F.aggregate(_indices(text), start, step, finish)
@@ -270,7 +282,7 @@ def replaced(text, spans, mark):
     return F.when(F.size(spans) > 0, F.get(F.transform(named, joined), 0)).otherwise(text)
 
 
-def _scan(df, model, threshold):
+def _scan(df, model, threshold, rate):
     """Adds ``_base`` and ``secret_spans`` to a frame with the column ``_text``; see :func:`scan`."""
     for name, pattern, group in [("_assign", ASSIGN, 2), ("_access", ACCESS, 0), ("_hex", HEX, 0)]:
         df = _matches(df, name, pattern, group)
@@ -286,7 +298,7 @@ def _scan(df, model, threshold):
     df = df.withColumn("_rest", replaced(F.col("_text"), F.col("_base"), lambda n, _: F.repeat(F.lit("\n"), n)))
     df = _matches(df, "_candidates", CANDIDATE, column="_rest")
     random = F.flatten(F.transform("_candidates", lambda m: F.transform(
-        random_parts(m["value"], model, threshold), lambda p: F.struct(
+        random_parts(m["value"], model, threshold, rate), lambda p: F.struct(
             (m["start"] + p["start"]).alias("start"), (m["start"] + p["end"]).alias("end")))))
     df = df.withColumn("_markov", ranked(random, 3))
     spans = F.when(F.size("_markov") > 0, F.sort_array(F.concat("_base", "_markov"))).otherwise(F.col("_base"))
@@ -299,19 +311,19 @@ def _with_text(docs, text_column):
     return given.withColumn("_text", F.coalesce(F.col(text).cast("string"), F.lit(""))), text
 
 
-def scan(docs, model, text_column="text", threshold=16.0):
+def scan(docs, model, text_column="text", threshold=THRESHOLD, rate=RATE):
     """``docs`` with ``secret_spans``: array of ``(start, rank, end)``, sorted.
 
     ``rank`` is the place in ``KINDS``. Beside the patterns, a run of characters as keys are
     made of, outside the spans of the patterns, is a span of kind ``markov`` if the
     log-likelihood ratio of the random model against the ordinary one is at least
-    ``threshold``, or else the parts of the run for which it is (:func:`random_parts`).
+    ``threshold``, and ``rate`` for each character, or else the parts of the run for which it is (:func:`random_parts`).
     Null is an empty text. Everything happens within the row: nothing is shuffled. A
     column ``secret_spans`` gives way, other columns stay.
     """
     docs = without(docs, "secret_spans")
     found, _ = _with_text(docs, text_column)
-    found = _scan(found, model, threshold)
+    found = _scan(found, model, threshold, rate)
     names = [f"c{i}" for i in range(len(docs.columns))]
     return found.select(*names, "secret_spans").toDF(*docs.columns, "secret_spans")
 
@@ -323,11 +335,11 @@ def listed(spans):
         ":", F.get(names, s["rank"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def report(docs, model, id_column="doc_id", text_column="text", threshold=16.0):
+def report(docs, model, id_column="doc_id", text_column="text", threshold=THRESHOLD, rate=RATE):
     """``(id, n_assign, n_access, n_hex, base_sha256, spans)`` per row; other columns are ignored."""
     given = docs.select(
         F.col(id_column).alias("_id"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("_text"))
-    found = _scan(given, model, threshold)
+    found = _scan(given, model, threshold, rate)
 
     def number(rank):
         return F.size(F.filter("_base", lambda s: s["rank"] == rank)).cast("long")
@@ -338,13 +350,13 @@ def report(docs, model, id_column="doc_id", text_column="text", threshold=16.0):
         listed(F.col("secret_spans")).alias("spans"))
 
 
-def redact(docs, model, text_column="text", mark="[SECRET]", threshold=16.0):
+def redact(docs, model, text_column="text", mark="[SECRET]", threshold=THRESHOLD, rate=RATE):
     """``docs`` with every span, or run of overlapping spans, replaced by ``mark``.
 
     Null texts stay null; texts without a span stay as they are, and so do all other columns.
     """
     found, text = _with_text(docs, text_column)
-    found = _scan(found, model, threshold)
+    found = _scan(found, model, threshold, rate)
     clean = replaced(F.col("_text"), F.col("secret_spans"), lambda _, first: F.when(first, mark).otherwise(""))
     changed = F.when(F.size("secret_spans") > 0, clean).otherwise(F.col(text))
     return restored(found.withColumn(text, changed), docs.columns)
