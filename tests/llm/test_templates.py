@@ -1,0 +1,81 @@
+"""Held-out pages of other makes than the labelled ones: what of the main text is found, and what else."""
+
+import pytest
+
+from tierlake.llm import extract
+
+A = "The old ferry will stop running at the end of the month after ninety years on the river, its owner said."
+B = "Fewer people cross here since the bridge was built, and the engine has to be replaced before the summer comes."
+C = "A last trip with music is planned, and everybody who has ever worked on board is invited to come along."
+TITLE, SHORT = "The last ferry", "It is over."
+TEXT = [TITLE, A, SHORT, B, C]
+BODY = f"<h1>{TITLE}</h1><p>{A}</p><p>{SHORT}</p><p>{B}</p><p>{C}</p>"
+MENU = "<ul><li><a href='/'>Home</a></li><li><a href='/n'>News from the region</a></li><li><a href='/c'>Contact</a></li></ul>"
+NOISE = "Sign up now and get our letter with the best stories every morning before breakfast for free."
+FOOT = "Copyright of the River Times, all rights are reserved by the people who print it."
+COMMENT = "My father took me across on it every Sunday and I still remember the smell of the engine room."
+
+#: name -> (page, whether the whole article and nothing else is to be found)
+PAGES = {
+    "has-sidebar": f"<div class='content has-sidebar'><article>{BODY}</article><aside><p>{NOISE}</p></aside></div>",
+    "no-sidebar": f"<div class='layout no-sidebar'><article>{BODY}</article></div><footer><p>{FOOT}</p></footer>",
+    "social-post": f"<div id='social-post'><article>{BODY}</article></div>",
+    "nav-closed": f"<body class='page nav-closed'><div class='page nav-closed'><article>{BODY}</article></div></body>",
+    "entry-header": f"<article><div class='entry-header'><h1>{TITLE}</h1></div><p>{A}</p><p>{SHORT}</p><p>{B}</p><p>{C}</p></article>",
+    "title attribute": f"<article>{BODY.replace('<p>', '<p title=' + chr(39) + 'the hidden valley' + chr(39) + '>')}</article>",
+    "utility class": f"<article class='card hidden md:block'><div class='card hidden md:block'>{BODY}</div></article>",
+    "weblog": f"""<header class='site-header'><h2>My weblog</h2>{MENU}</header><div id='page' class='hfeed site'><main id='main'>
+        <article class='post type-post'><header class='entry-header'><h1 class='entry-title'>{TITLE}</h1></header>
+        <div class='entry-content'><p>{A}</p><p>{SHORT}</p><p>{B}</p><p>{C}</p></div></article>
+        <section id='comments' class='comments-area'><ol class='comment-list'><li><article class='comment-body'><p>{COMMENT}</p></article></li></ol></section></main>
+        <aside class='widget-area'><section class='widget'><p>{NOISE}</p></section></aside></div><footer class='site-footer'>{FOOT}</footer>""",
+    "plain divs": f"""<div><a href='/'>Home</a> | <a href='/a'>About the people behind this page</a></div><div><h1>{TITLE}</h1><p>{A}</p><p>{SHORT}</p>
+        <p>{B}</p><p>{C}</p></div><div><a href='/p'>Previous story of this week</a></div><div><a href='/x'>Next story of this week</a></div>""",
+    "forms": f"<form id='aspnetForm'><nav>{MENU}</nav><main>{BODY}</main><footer>{FOOT}</footer></form>",
+    "teasers": f"<nav>{MENU}</nav><main><article>{BODY}</article></main><div class='related-posts'><article><h3>Other</h3><p>{NOISE}</p></article></div>",
+    "side cards": f"<main>{BODY}</main><div class='sidebar'><article><h3>More</h3><p>{NOISE}</p></article></div>",
+    "banner": f"<div class='cookie-consent-banner'><p>{NOISE}</p><button>Fine</button></div><div class='wrapper'><article>{BODY}</article></div>",
+    "advert inside": f"<article><h1>{TITLE}</h1><p>{A}</p><p>{SHORT}</p><div class='ad-slot'><p>{NOISE}</p></div><p>{B}</p><p>{C}</p></article>",
+    "form inside": f"<article>{BODY}<form><label>Mail</label><p>{NOISE}</p></form></article>",
+    "roles": f"<div role='banner'>River Times</div><div role='navigation'>{MENU}</div><div role='main'>{BODY}</div><div role='contentinfo'>{FOOT}</div>",
+    "links in text": f"<article>{BODY.replace('bridge', '<a href=/b>bridge</a>').replace('engine', '<a href=/e>engine</a>')}</article><nav>{MENU}</nav>",
+    "camel case": f"<div class='mainContent'><article>{BODY}</article></div><div class='readerComments'><p>{COMMENT}</p></div><div class='newsletterBox'>{NOISE}</div>",
+    "notice": f"<div class='site-notice'><p>{NOISE}</p></div><div id='content'><article>{BODY}</article></div><div id='disqus_thread'><p>{COMMENT}</p></div>",
+    "hidden parts": f"<article>{BODY}<p hidden>{NOISE}</p><p style='color:red; display : none'>{NOISE}</p><div aria-hidden='true'>{NOISE}</div></article>",
+}
+
+
+def found(name):
+    return extract.main_text(PAGES[name]).split("\n")
+
+
+@pytest.mark.parametrize("name", ["has-sidebar", "no-sidebar", "social-post", "nav-closed", "entry-header", "title attribute", "utility class"])
+def test_article_in_full(name):
+    assert found(name) == TEXT
+
+
+def test_precision_and_recall():
+    """By words, over all pages: the figures that the README states."""
+    right = kept = there = whole = 0
+    for name in PAGES:
+        own = found(name)
+        right += sum(len(line.split()) for line in own if line in TEXT)
+        kept += sum(len(line.split()) for line in own)
+        there += sum(len(line.split()) for line in TEXT)
+        whole += own == TEXT
+    print(f"precision {right / kept:.3f}, recall {right / there:.3f}, whole {whole} of {len(PAGES)}")
+    assert right >= 0.97 * kept and right >= 0.97 * there and whole >= len(PAGES) - 2
+
+
+def test_every_feature_is_used():
+    """Each feature is asked for somewhere in the tree."""
+    def asked(tree):
+        return {tree[0]} | asked(tree[2]) | asked(tree[3]) if isinstance(tree, tuple) else set()
+
+    assert {extract.FEATURES[f] for f in asked(extract.trained())} == set(extract.FEATURES)
+
+
+def test_names():
+    for names, words in [("has-sidebar", set()), ("nav-closed", set()), ("sidebar", {"sidebar"}), ("main-nav", {"main", "nav"}),
+                         ("siteFooter", {"site", "footer"}), ("md:hidden", {"md", "hidden"}), ("no-ads ad", {"ad"})]:
+        assert extract._named({"class": names}) == words

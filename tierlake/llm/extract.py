@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tierlake.llm.html_samples import PAGES
 
 # Names of HTML elements, and words in class names and ids.
+OUTSIDE = (None, 0, 0, False, False, False)  # element, hint, in main, keep, unseen, in an aside
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption "
     "figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p "
@@ -21,32 +22,46 @@ UNSEEN = frozenset(
 RAW = frozenset("script style textarea title iframe noscript".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 CLOSED_BY_LIKE = frozenset("li dd dt td th tr option".split())
-BOILERPLATE = frozenset("nav header footer aside form menu dialog fieldset search".split())
+BOILERPLATE = frozenset("nav header footer aside menu dialog search".split())
+FORMS = frozenset("form fieldset".split())  # now and then around a whole page
 MAIN = frozenset("article main".split())
-HINTS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|banner|breadcrumbs?|comments?|cookies?|consent|disqus|disclaimer|"
-    r"footer|header|masthead|menu|modal|nav|navbar|navigation|newsletter|notices?|popup|promo|promoted|promotion|"
-    r"related|recommended|replies|reply|respond|share|sharing|sidebar|social|sponsor|sponsored|subscribe|"
-    r"toolbar|widgets?|complementary|contentinfo|alert)(?:$|[\s_-])")
-HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
+# Words in the names of wrappers. Those of the first kind also name the layout around a main text.
+LAYOUT_WORDS = frozenset(
+    "banner breadcrumb breadcrumbs footer header masthead menu nav navbar navigation share sharing sidebar social "
+    "toolbar widget widgets complementary contentinfo".split())
+ASIDE_WORDS = frozenset(
+    "ad ads advert adverts advertisement advertisements comment comments cookie cookies consent disqus disclaimer "
+    "modal newsletter notice notices popup promo promoted promotion related recommended replies reply respond "
+    "sponsor sponsored subscribe alert".split())
+TITLE_WORDS = frozenset("header masthead banner".split())
+# A name that begins or ends like this tells of a state or a layout: has-sidebar, nav-closed.
+STATE_FIRST = frozenset("has with no without not is show hide enable disable layout".split())
+STATE_LAST = frozenset("closed open opened collapsed expanded enabled disabled active inactive visible on off layout".split())
+NOT_SHOWN = re.compile(r"display\s*:\s*none", re.I)
 
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
-ATTRIBUTE = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 
-FEATURES = ["words", "links", "words_before", "links_before", "words_after", "links_after", "hinted", "in_main"]
+FEATURES = ["words", "links", "words_before", "links_before", "words_after", "links_after",
+            "hint", "in_main", "heading", "plain_share"]
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 
 class Block:
-    """A flat block: its text, its words in links, and what it lies in."""
+    """A flat block: its text, its words in links, and what it lies in.
 
-    __slots__ = ("parts", "link_words", "hinted", "in_main", "keep", "text", "words")
+    ``hint`` is 0 where no wrapper is named or made like boilerplate, 1 where one named like a layout
+    is around the main element, 2 where a wrapper's name, 3 where its element says so.
+    """
+
+    __slots__ = ("parts", "link_words", "hint", "in_main", "keep", "heading", "text", "words")
 
-    def __init__(self, hinted, in_main, keep):
+    def __init__(self, hint, in_main, keep, heading=0):
         self.parts, self.link_words = [], 0
-        self.hinted, self.in_main, self.keep = hinted, in_main, keep
+        self.hint, self.in_main, self.keep, self.heading = hint, in_main, keep, heading
 
 
 def blocks(page):
@@ -64,8 +79,8 @@ def blocks(page):
         if text:
             block.text, block.words = text, text.count(" ") + 1
             found.append(block)
-        top = stack[-1] if stack else (None, 0, 0, False, False)
-        block = Block(top[1], top[2], top[3])
+        top = stack[-1] if stack else OUTSIDE
+        block = Block(*top[1:4], int(top[0] in HEADINGS))
 
     def text(piece):
         if piece and not (stack and stack[-1][4]):
@@ -100,48 +115,77 @@ def blocks(page):
                 end_block()
             if depth is not None:
                 del stack[depth:]
-                block = Block(*(stack[-1][1:4] if stack else (0, 0, False))) if not block.parts else block
+                if not block.parts:
+                    end_block()
             continue
         if name in BLOCKS:
             end_block()
             while stack and (stack[-1][0] == "p" or (stack[-1][0] == name and name in CLOSED_BY_LIKE)):
                 stack.pop()
-        _, hinted, in_main, keep, unseen = stack[-1] if stack else (None, 0, 0, False, False)
-        own = BOILERPLATE & {name} or attributes and HINTS.search(_names(attributes))
-        if own and not (name == "header" and in_main) and name not in ("html", "body", "main", "article"):
-            hinted = 1
-        in_main = 1 if name in MAIN else in_main
-        unseen = unseen or name in UNSEEN or bool(attributes and HIDDEN.search(attributes))
-        keep = keep or "data-keep" in attributes
+        _, hint, in_main, keep, unseen, aside = stack[-1] if stack else OUTSIDE
+        given = _attributes(attributes) if attributes else {}
+        named = _named(given) if given else frozenset()
+        main = name in MAIN or given.get("role", "").lower() == "main"
+        if main and hint == 2 and not aside:
+            hint = 1
+        if name in BOILERPLATE and not (name == "header" and in_main):
+            hint = 3
+        elif named & ASIDE_WORDS and name not in ("html", "body", "main"):
+            hint, aside = max(hint, 2), True
+        elif (name in FORMS or named - (TITLE_WORDS if in_main else frozenset()) & LAYOUT_WORDS) and (
+                name not in ("html", "body") and not main):
+            hint = max(hint, 2)
+        in_main = 1 if main else in_main
+        style = NOT_SHOWN.search(given.get("style", ""))
+        unseen = bool(unseen or name in UNSEEN or "hidden" in given or style
+                      or given.get("aria-hidden", "").strip().lower() == "true")
+        keep = keep or "data-keep" in given
         if name in RAW:
             close = re.compile(rf"</{name}\b", re.I).search(page, at)
             at = close.start() if close else n
         if name not in VOID and not attributes.endswith("/"):
-            stack.append((name, hinted, in_main, keep, unseen))
+            stack.append((name, hint, in_main, keep, unseen, aside))
             if name in BLOCKS:
-                block = Block(hinted, in_main, keep)
+                block = Block(hint, in_main, keep, int(name in HEADINGS))
     end_block()
     return found
 
 
-def _names(attributes):
-    found = " ".join(a or b or c for a, b, c in ATTRIBUTE.findall(attributes))
-    return re.sub(r"([a-z])([A-Z])", r"\1-\2", found).lower()
+def _attributes(text):
+    """Attributes of a tag by their lower-case names; the first of a name counts."""
+    found = {}
+    for name, *values in ATTRIBUTE.findall(text):
+        found.setdefault(name.lower(), "".join(values))
+    return found
+
+
+def _named(attributes):
+    """The words in a tag's class, id and role, but for names that tell of a state or a layout."""
+    words = set()
+    for name in " ".join(attributes.get(key, "") for key in ("class", "id", "role")).split():
+        parts = re.split(r"[-_:]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", name).lower().strip("-_"))
+        if len(parts) == 1 or not (parts[0] in STATE_FIRST or parts[-1] in STATE_LAST):
+            words.update(parts)
+    return words
 
 
 def features(found):
     """One row of ``FEATURES`` per block; before the first and after the last block are zeros."""
     words = np.array([0, *[b.words for b in found], 0], float)
     links = np.array([0, *[min(b.link_words / b.words, 1.0) for b in found], 0], float)
-    flags = np.array([(b.hinted, b.in_main) for b in found], float).reshape(-1, 2)
+    flags = np.array([(b.hint, b.in_main, b.heading) for b in found], float).reshape(-1, 3)
+    # Of the words that could be main text, the share outside of wrappers named like a layout.
+    text = (links[1:-1] < 0.5) * words[1:-1]
+    plain, wrapped = text[flags[:, 0] == 0].sum(), text[flags[:, 0] == 1].sum()
+    share = plain / max(plain + wrapped, 1)
     return np.column_stack([
-        words[1:-1], links[1:-1], words[:-2], links[:-2], words[2:], links[2:], flags])
+        words[1:-1], links[1:-1], words[:-2], links[:-2], words[2:], links[2:], flags, np.full(len(found), share)])
 
 
 # --- the decision tree ---------------------------------------------------------
 
 
-def grow(rows, labels, depth=6, least=10):
+def grow(rows, labels, depth=10, least=5):
     """A binary decision tree by Gini impurity: ``(feature, threshold, low, high)`` or a share."""
     share = float(labels.mean())
     if depth == 0 or share in (0.0, 1.0) or len(labels) < 2 * least:
@@ -176,9 +220,10 @@ def decide(tree, rows):
 def labelled_table(variants=40):
     """``(features, labels)`` of the labelled pages and of variants of them.
 
-    Length says little where the place of a block tells what it is; so a variant gives the
-    blocks in a main element or in a boilerplate one other lengths, and leaves out what
-    comes before or after the main text now and then.
+    Length says little where the place of a block, or its links, tell what it is; so a variant
+    gives the blocks in a main element or in a boilerplate one, blocks of links, and some
+    paragraphs other lengths, and leaves out what comes before or after the main text now
+    and then.
     """
     draw = np.random.Generator(np.random.PCG64(11))
     rows, labels = [], []
@@ -187,8 +232,9 @@ def labelled_table(variants=40):
             found = blocks(page)
             if variant:
                 for block in found:
-                    if block.in_main or block.hinted:
-                        words = int(draw.integers(1, 60))
+                    links = block.link_words > 0.5 * block.words
+                    if block.in_main or block.hint or links or (block.keep and draw.random() < 0.25):
+                        words = int(draw.integers(1, 30 if links else 60))
                         block.link_words = round(block.link_words * words / block.words)
                         block.words = words
                 kept = [i for i, block in enumerate(found) if block.keep]

@@ -74,4 +74,34 @@ PAGES = [
     """<div>Login</div><div>English</div><h1 data-keep>What the tide brings to the long beach in autumn</h1>
 <p data-keep>After every storm the long beach is covered with wood, rope, bottles and now and then with something nobody can name.</p>
 <div>Print page</div><div>Site map</div>""",
+    """<body><div id="social-wrapper"><div>Club news</div><article><h1 data-keep>The club has a new home</h1>
+<p data-keep>After thirty years in the old hall the club has moved to the former school at the end of the lane.</p>
+<p data-keep>There is room for <a href="/chess">chess</a>, for cards and for a small kitchen, and the rent is lower than before.</p>
+<p data-keep>Come in.</p></article></div><div><a href="/1">Next meeting</a> <a href="/2">All dates</a></div></body>""",
+    """<body><div>Valley Post</div><main><h1 data-keep>Frost comes early to the orchards</h1><p data-keep>The apples were still on the trees when the first frost came, two weeks before anybody had thought of it.</p>
+<p data-keep>Most of them can be saved, the growers say, if it does not snow before the end of the week and the ladders hold.</p><p data-keep>Pears are lost.</p></main>
+<div class="sidebar"><article><h3>Old mill for sale</h3><p>The owner wants to see it in good hands and will not take the first offer.</p></article>
+<article><h3>School play sold out</h3><p>There will be a second evening for everybody who has not got a ticket.</p></article></div></body>""",
+    """<body class="page-with-menu"><div class="nav-wrapper"><main><h1 data-keep>A bench for the view</h1><p data-keep>Somebody has put a bench on the hill above the village, and nobody knows who it was or why.</p>
+<p data-keep>It is a good bench.</p><p data-keep>From there the eye goes over the roofs and the river to the far side, where the trains go by without a sound.</p></main></div><div>Top</div></body>""",
+    """<body><form id="page-form"><div><a href="/in">Sign in</a></div><main><h1 data-keep>Minutes of the meeting</h1><p data-keep>The chair opened the meeting at eight and thanked everybody who had come through the rain.</p>
+<p data-keep>The accounts were read and agreed to without a vote, and the new roof will be paid for in three parts.</p><p data-keep>Closed at ten.</p></main></form></body>""",
+    """<body><div><a href="/a">Politics</a></div><div>Sections</div><div><a href="/b">Money</a></div><div>More</div><div><a href="/c">Sport and games</a></div>
+<p data-keep>A bridge that nobody wanted has become the most walked path of the town within a single summer.</p><p data-keep>Why?</p>
+<p data-keep>It leads from the station straight to the water, and there is shade on it for most of the day.</p>
+<div><a href="/d">How the bridge was paid for in the end</a></div><div>See also</div><div><a href="/e">Ten other bridges that people love</a></div></body>""",
+    """<body><div><a href="/x">Front page of today</a></div><p data-keep>No.</p><p data-keep>That was all the minister had to say when she was asked whether the tax would go up again next year.</p>
+<p data-keep>Later her office sent a letter of four pages that said much the same in many more words than that.</p><p data-keep>Not a word about the year after next.</p>
+<div><a href="/y">Who pays and who does not</a></div><div>Latest</div><div><a href="/z">Rain expected for the whole of the weekend</a></div></body>""",
+    """<body><div class="layout has-menu"><div class="content-sidebar-wrap"><article class="post no-comments"><div class="entry-header"><h1 data-keep>Two bells</h1></div>
+<p data-keep>The tower has two bells again, after one of them had hung silent with a crack since the winter of the great cold.</p><p data-keep>They rang at noon.</p>
+<div class="share-buttons">Tell a friend about this page</div><p data-keep>It took four men and a day and a half to bring the new one up, and a bottle was opened at the top.</p></article>
+<div class="sidebar-widget"><h3>On this day</h3><p>A list of what happened here in other years on the same day of the month.</p></div></div></div></body>""",
+    """<body><div role="main"><h2 data-keep>Lost and found</h2><p data-keep>A grey glove was found by the gate, and a key with a red band was left on the counter of the bakery.</p><p data-keep>Ask inside.</p></div>
+<div role="complementary"><p>Opening hours are from nine to five, and from ten to two on the last day of the week.</p></div></body>""",
+    """<body><div class="notice-board"><p>The site will be down for work on Sunday night between two and four in the morning.</p></div><article><p data-keep>He had sold shoes in the same shop for forty years and could tell by the step who was coming in.</p>
+<p data-keep>Now the shop is closed, and he walks through the town and looks at the shoes of the people on the square.</p></article>
+<div class="recommended"><article><h4>A shop that sells only hats</h4><p>The owner has never counted them and does not mean to start now.</p></article></div></body>""",
+    """<body><div>Index</div><div><a href="/k">Older posts of this year</a></div><div>Search</div><h1 data-keep>Swifts</h1><p data-keep>They came back on the third of May, eleven of them, and screamed around the tower until it was dark.</p>
+<p data-keep>They are late.</p><p data-keep>In some years they are here before the end of April, and in one year, long ago, they never came at all.</p><div>Share</div><div><a href="/l">Newer posts of this year</a></div></body>""",
 ]
