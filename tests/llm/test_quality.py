@@ -41,12 +41,74 @@ def test_bound_is_exact(n, k):
 
 
 def test_sequence_stops_at_the_first_failure():
-    args = 1000, [9.0, 8.0, 7.0, 6.0], 0.01, 0.01
-    assert quality.proven([0, 0, 1, 30], [1, 2, 9, 99], *args) == 7.0
-    assert quality.proven([0, 30, 0, 0], [1, 99, 99, 99], *args) == 9.0
+    args = 1000, 0.01, 0.01
+    assert quality.proven([0, 0, 1, 30], [1, 2, 9, 99], *args) == 2
+    assert quality.proven([0, 30, 0, 0], [1, 99, 99, 99], *args) == 0
     assert quality.proven([30, 0, 0, 0], [99, 99, 99, 99], *args) is None
-    assert quality.proven([0, 0, 1, 1], [3, 5, 5, 5], *args) == 8.0  # stricter ones catch no more junk
+    assert quality.proven([0, 0, 1, 1], [3, 5, 5, 5], *args) == 1  # stricter ones catch no more junk
     assert quality.proven([0, 1, 2, 2], [0, 1, 2, 2], *args) is None
+    assert quality.proven([0, 0], [5, 9], 1000, 0.01, 0.0) is None
+
+
+@pytest.mark.parametrize("sizes, share", [
+    ([1973, 475, 488, 307], 0.05 / 4), ([214, 36, 30, 47], 0.05), ([150, 20], 0.0), ([], 0.0), ([0], 0.0), ([250, 250], 0.025)])
+def test_error_is_shared_by_strata_that_can_be_proven(sizes, share):
+    assert quality.error_share(sizes, 0.015, 0.05) == share
+
+
+@pytest.mark.parametrize("sizes", [[250, 1000, 3000], [250], [60, 250, 400, 400, 400], [5000] * 4])
+def test_false_rejections_stay_limited(sizes):
+    """Over many drawn holdouts: seldom does any stratum get a level that rejects too much.
+
+    The true share of false rejections grows with the level and crosses the limit at one of them.
+    """
+    draw, risk, runs, wrong, found = np.random.default_rng(1), 0.015, 4000, 0, 0
+    true = np.array([0.0005, 0.001, 0.004, 0.01, 0.0151, 0.02, 0.04, 0.1])
+    share = quality.error_share(sizes, risk, 0.05)
+    for _ in range(runs):
+        bad = False
+        for good in sizes:
+            at = draw.random(good)  # a document is rejected from its own level on
+            false = [(at < p).sum() for p in true]
+            level = quality.proven(false, 1000 * np.arange(1, len(true) + 1), good, risk, share)
+            bad |= level is not None and true[level] > risk
+            found += level is not None
+        wrong += bad
+    assert wrong <= 0.05 * runs + 3 * (0.05 * 0.95 * runs) ** 0.5
+    assert found > 0
+
+
+def test_limit_is_for_all_rules_together(spark):
+    """Two rules that each reject a few good documents, other ones: together they are too many."""
+    rows, labels = [], []
+    for i in range(2000):
+        good = i % 10 != 9
+        text = " ".join(f"word{i}x{k}" for k in range(60))
+        loud = i % 10 == 0 and i % 200 < 20  # 1 in 90 of the good ones
+        signs = i % 10 == 1 and i % 200 < 20
+        text = text.upper() if loud or not good else text
+        text = text + " " + "#" * 400 if signs or not good else text
+        rows.append((i, text, "aa"))
+        labels.append((i, int(good)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(8)
+    table = spark.createDataFrame(labels, "doc_id long, quality int")
+    measured = quality.measure(docs)
+    assert quality.calibrate(measured, table, risk=0.015).first()["level"] is None
+    assert quality.calibrate(measured, table, risk=0.05).first()["level"] is not None
+
+
+@pytest.mark.parametrize("sf, strata", [("sf0.01", {"en"}), ("sf0.1", {"de", "en", "es", "fr"})])
+def test_cutoffs_of_the_given_tables(spark, sf, strata):
+    """At sf0.1 every language has a proven level that catches most of the junk."""
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet").select("doc_id", "text", "lang")
+    labels = spark.read.parquet(f"/root/testdata/{sf}/labels.parquet")
+    measured = quality.measure(docs)
+    found = {r["stratum"]: r["level"] for r in quality.calibrate(measured, labels).collect()}
+    assert {s for s, level in found.items() if level is not None} == strata
+    judged = quality.judge(measured, quality.calibrate(measured, labels)).join(labels, "doc_id").where("NOT base_failed")
+    kept = {(r["quality"], r["kept"]): r["count"] for r in judged.groupBy("quality", "kept").count().collect()}
+    assert kept[1, False] <= 0.015 * (kept[1, True] + kept[1, False]) if (1, False) in kept else True
+    assert kept[0, False] >= (0.85 if sf == "sf0.1" else 0.4) * (kept.get((0, True), 0) + kept[0, False])
 
 
 def test_cutoffs_are_proven_per_stratum(spark):

@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import functions as F
 
@@ -20,7 +21,7 @@ RULES = {
     "dup_line_share": "n_dup_lines / greatest(n_words, 1)",
     "word_length": "word_chars / greatest(n_words, 1)",
 }
-#: Cutoffs tried by each rule, lenient to strict.
+#: Cutoffs of each rule by level, lenient to strict.
 CUTOFFS = {
     "symbol_share": [0.5, 0.3, 0.2, 0.15, 0.1, 0.07, 0.05, 0.03, 0.02, 0.01],
     "upper_share": [0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.2, 0.15, 0.1],
@@ -28,9 +29,9 @@ CUTOFFS = {
     "dup_line_share": [0.3, 0.2, 0.15, 0.1, 0.07, 0.05, 0.03, 0.02, 0.015, 0.01],
     "word_length": [40.0, 30.0, 25.0, 20.0, 17.0, 15.0, 13.0, 11.0, 10.0, 9.0],
 }
-#: A rule may falsely reject this share of the good documents of a stratum ...
-RISK = 0.01
-#: ... unless something happens whose probability is below this, over all rules and strata.
+#: The rules together may falsely reject this share of the good documents of a stratum ...
+RISK = 0.015
+#: ... unless something happens whose probability is below this, over all strata.
 DELTA = 0.05
 MIN_WORDS = 50
 LONG = 200_000  # words
@@ -120,18 +121,19 @@ def holds(false, good, risk, level):
 
 def calibrate(measured, labels, stratum="lang", id_column="doc_id", risk=RISK, delta=DELTA,
               cutoffs=CUTOFFS):
-    """Cutoffs per stratum: ``stratum`` and one nullable double column per rule.
+    """Cutoffs per stratum: ``stratum, good, level`` and one nullable double column per rule.
 
     ``measured`` is the output of :func:`measure`, of which the rows with a label serve as
     the holdout; ``labels`` has the id and ``quality`` (1 good, 0 junk). A document with several
     labels is good if all of them say so; null ids and labels are ignored.
 
-    Within a rule and stratum the cutoffs are tested in a fixed order, lenient to strict,
-    up to the first failure, which needs no correction. The rules and strata are corrected by
-    Bonferroni: each sequence is tested at ``delta / (rules x strata)``. Of the proven
-    cutoffs, which hold together, the one is taken that rejects most labelled junk beyond
-    the good documents it rejects; equal ones go to the lenient side. A rule without such a
-    cutoff rejects nothing (null).
+    Level t has every rule at its t-th cutoff, and what counts is whether any of them rejects a
+    document: so the limit holds for all rules together. In a stratum the levels are tested in
+    order, lenient to strict, up to the first failure, which needs no correction. The strata
+    are corrected for by Tarone's form of Bonferroni (:func:`error_share`). Of the proven
+    levels the one is taken that rejects most labelled junk beyond the good documents it
+    rejects; equal ones go to the lenient side. A stratum without such a level rejects nothing
+    (null).
 
     Rejections are counted for all labelled documents in one aggregation; the tests
     run on the small table of counts, in tasks.
@@ -142,36 +144,56 @@ def calibrate(measured, labels, stratum="lang", id_column="doc_id", risk=RISK, d
         id_column, F.col(stratum).cast("string").alias("stratum"),
         *[F.expr(rule).alias(name) for name, rule in RULES.items()])
     held = rows.join(labelled, id_column)
+    levels = range(min(len(cutoffs[name]) for name in RULES))
 
-    def above(name, good):
-        return F.array(*[F.count_if((F.col(name) > c) & (F.col("_good") == good)) for c in cutoffs[name]])
+    def rejected(level, good):
+        hit = F.greatest(*[F.col(name) > cutoffs[name][level] for name in RULES])
+        return F.count_if(hit & (F.col("_good") == good))
 
     tallies = held.groupBy("stratum").agg(
         F.count_if("_good").alias("good"),
-        *[F.struct(above(name, True).alias("false"), above(name, False).alias("junk")).alias(name) for name in RULES])
-    strata = tallies.agg(F.count("*").alias("strata"))
-    tallies = tallies.join(F.broadcast(strata), F.lit(True))
+        F.array(*[rejected(level, True) for level in levels]).alias("false"),
+        F.array(*[rejected(level, False) for level in levels]).alias("junk"))
+    # One number per stratum.
+    sizes = tallies.agg(F.collect_list("good").alias("sizes"))
+    tallies = tallies.join(F.broadcast(sizes), F.lit(True))
 
     def choose(batches):
         for table in batches:
+            chosen = [
+                proven(false, junk, good, risk, error_share(sizes, risk, delta))
+                for false, junk, good, sizes in zip(table["false"], table["junk"], table["good"], table["sizes"])]
+            made = table[["stratum", "good"]].copy()
+            made["level"] = pd.array(chosen, "Int32")
             for name in RULES:
-                table[name] = [
-                    proven(counts["false"], counts["junk"], good, cutoffs[name], risk, delta / (len(RULES) * strata))
-                    for counts, good, strata in zip(table[name], table["good"], table["strata"])]
-            yield table.drop(columns=["strata"]).astype({name: "float64" for name in RULES})
+                made[name] = [math.nan if level is None else cutoffs[name][level] for level in chosen]
+            yield made
 
-    schema = "stratum string, good long, " + ", ".join(f"{name} double" for name in RULES)
-    return tallies.mapInPandas(choose, schema)
+    schema = "stratum string, good long, level int, " + ", ".join(f"{name} double" for name in RULES)
+    found = tallies.mapInPandas(choose, schema)
+    return found.select("stratum", "good", "level", *[F.nanvl(name, F.lit(None)).alias(name) for name in RULES])
 
 
-def proven(false, junk, good, cutoffs, risk, level):
-    """Of the cutoffs before the first that cannot be proven, the most useful; none: None."""
+def error_share(sizes, risk, delta):
+    """What each stratum may use of the error probability ``delta``; 0 if none can be proven.
+
+    ``sizes`` are the strata's numbers of good documents. Only strata so large that a level
+    without a single false rejection would be proven can err at all, so ``delta`` is divided
+    by their number alone, the largest that is in keeping with itself. The outcome of no test
+    has a part in it.
+    """
+    able = [k for k, n in enumerate(sorted(map(int, sizes), reverse=True), start=1) if (1 - risk) ** n <= delta / k]
+    return delta / max(able) if able else 0.0
+
+
+def proven(false, junk, good, risk, share):
+    """Of the levels before the first that cannot be proven, the most useful; none: None."""
     best, most = None, 0
-    for k, n, cutoff in zip(map(int, false), map(int, junk), cutoffs):
-        if not holds(k, int(good), risk, level):
+    for level, (k, n) in enumerate(zip(map(int, false), map(int, junk))):
+        if not holds(k, int(good), risk, share):
             break
         if n - k > most:
-            best, most = cutoff, n - k
+            best, most = level, n - k
     return best
 
 

@@ -79,26 +79,30 @@ metrics AS (
 tests(rule, turn, cutoff) AS (VALUES
 {TESTS_SQL}),
 judged AS (SELECT doc_id, min(quality) = 1 AS good FROM labels GROUP BY doc_id),
+above AS (
+  SELECT m.doc_id, lang, turn, bool_or(metric > cutoff) AS hit
+  FROM metrics m JOIN tests t ON m.rule = t.rule GROUP BY m.doc_id, lang, turn),
 tallies AS (
-  SELECT lang, m.rule, turn, cutoff, count(*) FILTER (WHERE good) AS n,
-         count(*) FILTER (WHERE good AND metric > cutoff) AS k,
-         count(*) FILTER (WHERE NOT good AND metric > cutoff) AS junk
-  FROM metrics m JOIN judged USING (doc_id) JOIN tests t ON m.rule = t.rule
-  GROUP BY lang, m.rule, turn, cutoff),
+  SELECT lang, turn, count(*) FILTER (WHERE good) AS n, count(*) FILTER (WHERE good AND hit) AS k,
+         count(*) FILTER (WHERE NOT good AND hit) AS junk
+  FROM above JOIN judged USING (doc_id) GROUP BY lang, turn),
+sizes AS (
+  SELECT n, row_number() OVER (ORDER BY n DESC) AS place FROM tallies WHERE turn = 0),
+able AS (SELECT max(place) AS strata FROM sizes WHERE pow(1 - {quality.RISK}, n) <= {quality.DELTA} / place),
 bounds AS (
   SELECT *, CASE WHEN k >= {quality.RISK} * n THEN 1.0 ELSE list_sum(list_transform(
     range(k + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1)
-      + i * ln({quality.RISK}) + (n - i) * ln(1 - {quality.RISK})))) END AS p,
-    {quality.DELTA} / ({len(RULE_SQL)} * (SELECT count(DISTINCT lang) FROM tallies)) AS level
+      + i * ln({quality.RISK}) + (n - i) * ln(1 - {quality.RISK})))) END AS p
   FROM tallies),
 chosen AS (
-  SELECT lang, rule, cutoff
-  FROM (SELECT *, bool_and(p <= level) OVER (PARTITION BY lang, rule ORDER BY turn) AS proven FROM bounds)
+  SELECT lang, turn
+  FROM (SELECT *, bool_and(p <= {quality.DELTA} / (SELECT strata FROM able)) OVER (PARTITION BY lang ORDER BY turn) AS proven
+        FROM bounds)
   WHERE proven AND junk > k
-  QUALIFY row_number() OVER (PARTITION BY lang, rule ORDER BY junk - k DESC, turn) = 1),
+  QUALIFY row_number() OVER (PARTITION BY lang ORDER BY junk - k DESC, turn) = 1),
 rejected AS (
-  SELECT DISTINCT m.doc_id FROM metrics m
-  JOIN chosen c ON m.rule = c.rule AND m.lang IS NOT DISTINCT FROM c.lang WHERE metric > cutoff)
+  SELECT DISTINCT a.doc_id FROM above a
+  JOIN chosen c ON a.turn = c.turn AND a.lang IS NOT DISTINCT FROM c.lang WHERE hit)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM rejected) AS kept
 FROM base""")
