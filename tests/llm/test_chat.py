@@ -64,7 +64,7 @@ def test_one_conversation_over_many_partitions(spark, partitions):
     assert [r["position"] for r in formatted] == list(range(900))
     at = 0
     for r in formatted:
-        assert r["start"] == at and len(r["ids"]) == 4 * r["length"] and len(r["mask"]) == r["length"]
+        assert r["start"] == at and len(r["ids"]) == chat.id_kind().itemsize * r["length"] and len(r["mask"]) == r["length"]
         at += r["length"]
 
 
@@ -77,7 +77,7 @@ def test_read_back_and_mask(spark):
         assert back[i]["learned"] == (text or "" if role == "assistant" else "")
     reserved = chat.vocabulary_size()
     for r in formatted.collect():
-        ids, mask = np.frombuffer(r["ids"], "<u4"), np.frombuffer(r["mask"], np.int8)
+        ids, mask = np.frombuffer(r["ids"], chat.id_kind()), np.frombuffer(r["mask"], np.int8)
         assert not mask[ids >= reserved].any() and set(mask.tolist()) <= {0, 1}
 
 

@@ -37,12 +37,17 @@ def unescape(text):
     return _UNESCAPE.sub(r"\1\2\3", text)
 
 
+def id_kind(tokenizer=TOKENIZER):
+    """Type of the stored ids: two bytes where all ids fit, else four; little-endian."""
+    return np.dtype("<u2" if vocabulary_size(tokenizer) + len(CONTROLS) <= 1 << 16 else "<u4")
+
+
 class Assembler:
     """Tokens and loss mask of single turns, and the way back."""
 
     def __init__(self, tokenizer=TOKENIZER):
         self.encode, self.decode = encoder(tokenizer), decoder(tokenizer)
-        self.reserved = vocabulary_size(tokenizer)
+        self.reserved, self.kind = vocabulary_size(tokenizer), id_kind(tokenizer)
         self.ids = {control: self.reserved + i for i, control in enumerate(CONTROLS)}
 
     def turn(self, role, text):
@@ -62,7 +67,8 @@ class Assembler:
         for end, (ids, learned) in zip(ends, segments):
             steps[end - len(ids)] += learned
             steps[end] -= learned
-        return np.concatenate([np.array(ids, "<u4") for ids, _ in segments]), np.cumsum(steps[:-1], dtype=np.int8)
+        ids = np.concatenate([np.array(ids, self.kind) for ids, _ in segments])
+        return ids, np.cumsum(steps[:-1], dtype=np.int8)
 
     def turns(self, ids, mask):
         """``(role, text, learned text, characters)`` of each turn in some whole turns' tokens.
@@ -159,7 +165,7 @@ def format_turns(conversations, id_column="conv_id", turn_column="turn", role_co
 
     Returns ``(id, position, start, length, ids, mask)``: ``position`` counts the turns of a
     conversation from 0, ``start`` is how many of its tokens stand before, ``ids`` are
-    little-endian 32-bit token ids, and ``mask`` has a byte of 1 for each token to be learned:
+    token ids of the type :func:`id_kind`, and ``mask`` has a byte of 1 for each token to be learned:
     those of assistants' texts, without marks. A conversation's rows joined by ``position`` are
     its token sequence. Its first row begins with ``<s>``; turns are ``[SYS]text[/SYS]``,
     ``[INST]text[/INST]``, ``text</s>`` for assistants, ``[ROLE]role[TEXT]text[/ROLE]`` for
@@ -192,7 +198,7 @@ def format_turns(conversations, id_column="conv_id", turn_column="turn", role_co
     position = F.col("rank") + F.when(F.col("first"), F.col("ranks")).otherwise(0)
     start = F.col("before") + F.when(F.col("first"), F.col("tokens")).otherwise(0)
     opens = F.col("position") == 0
-    begin = np.array([vocabulary_size(tokenizer) + CONTROLS.index("<s>")], "<u4").tobytes()
+    begin = np.array([vocabulary_size(tokenizer) + CONTROLS.index("<s>")], id_kind(tokenizer)).tobytes()
 
     def with_begin(column, prefix):
         return F.when(opens, F.concat(F.lit(prefix), column)).otherwise(F.col(column)).alias(column)
@@ -215,7 +221,7 @@ def read_back(formatted, id_column="conv_id", tokenizer=TOKENIZER):
             given = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
             at, found = [], []
             for i, (ids, mask) in enumerate(zip(given["ids"], given["mask"])):
-                for turn in made.turns(*_tokens(ids, mask)):
+                for turn in made.turns(*_tokens(ids, mask, made.kind)):
                     at.append(i)
                     found.append(turn)
             rows = pa.array(at, pa.int64())
@@ -250,7 +256,7 @@ def digests(formatted, id_column="conv_id", tokenizer=TOKENIZER):
                     if state is not None:
                         done.append(_closed(own, state))
                     own, state = conv, [0, hashlib.sha256(), 0, hashlib.sha256(), 0]
-                for role, text, learned, chars in made.turns(*_tokens(given["ids"][i], given["mask"][i])):
+                for role, text, learned, chars in made.turns(*_tokens(given["ids"][i], given["mask"][i], made.kind)):
                     state[0] += 1
                     state[1].update(f"{role}\n{text}\n".encode())
                     state[2] += len(learned)
@@ -268,8 +274,8 @@ def digests(formatted, id_column="conv_id", tokenizer=TOKENIZER):
         "formatted_chars long").withColumnRenamed("conv", id_column)
 
 
-def _tokens(ids, mask):
-    return np.frombuffer(ids.as_buffer(), "<u4"), np.frombuffer(mask.as_buffer(), np.int8)
+def _tokens(ids, mask, kind):
+    return np.frombuffer(ids.as_buffer(), kind), np.frombuffer(mask.as_buffer(), np.int8)
 
 
 def _closed(conv, state):
