@@ -1,5 +1,7 @@
 """Session settings, staged tables and small helpers that the operators share."""
 
+from contextlib import contextmanager
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,16 +29,45 @@ def configure(spark):
     return use_local_scratch(spark)
 
 
+_staging = []  # paths staged in each open block of :func:`staging`
+
+
+@contextmanager
+def staging(spark):
+    """Block at whose end all tables that operators staged in it are deleted.
+
+    Results are lazy and read those tables, so they have to be written within the block.
+    """
+    paths = []
+    _staging.append(paths)
+    try:
+        yield
+    finally:
+        _staging[:] = [own for own in _staging if own is not paths]
+        for path in paths:
+            _delete(spark, path)
+
+
+def _delete(spark, path):
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 class Scratch:
-    """Tables of one run in the shared folder: they cut lineage and survive lost executors."""
+    """Tables of one run in the shared folder: they cut lineage and survive lost executors.
+
+    Those of a ``lasting`` one outlive a block of :func:`staging`.
+    """
 
-    def __init__(self, spark):
-        self.spark = spark
+    def __init__(self, spark, lasting=False):
+        self.spark, self.lasting = spark, lasting
         self.paths = {}
 
     def write(self, df, label):
         """``df`` as written and read back; ``label`` names it for :meth:`drop`."""
-        path = scratch_dir(self.spark, label)
+        path = scratch_dir(self.spark, label.replace(" ", "-"))
+        if _staging and not self.lasting:
+            _staging[-1].append(path)
         df.write.option("compression", "zstd").parquet(path)
         self.paths[label] = path
         return self.spark.read.schema(df.schema).parquet(path)
@@ -44,8 +75,7 @@ class Scratch:
     def drop(self, *labels):
         """Delete tables that no later step reads."""
         for label in labels:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.paths.pop(label))
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            _delete(self.spark, self.paths.pop(label))
 
 
 def hash_sample(df, column, rows):
