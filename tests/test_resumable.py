@@ -176,8 +176,20 @@ def test_rate_bounds_retries_and_planning(spark, tmp_path):
             raise OSError("busy")
         return "[]" if page > 5 else '[{"id": "1"}]'
 
-    ranges = page_ranges(spark, flaky, backoff_sec=0, pages_per_task=1, max_rate=20, slots=4)
+    ranges = page_ranges(spark, flaky, backoff_sec=0, pages_per_task=2, max_rate=20)
     assert ranges == [(1, 2), (3, 4), (5, 6)]
     assert all(b - a > 0.04 for a, b in zip(tries, tries[1:]))
     with pytest.raises(ValueError, match="max_rate"):
         page_ranges(spark, flaky, max_rate=0)
+
+
+def test_waves_keep_the_rate(spark, tmp_path):
+    """A landing with a rate has as many waves as one without, and is taken up like it."""
+    layout, fetch = Layout(str(tmp_path / "data"), "items"), collection(pages_of(40))
+    options = {"total_pages": 40, "pages_per_task": 2, "max_rate": 100, "backoff_sec": 0, "max_retries": 1}
+    first, second = calls(tmp_path, "first"), calls(tmp_path, "second")
+    with pytest.raises(PythonException, match="is down"):
+        land_collection(spark, layout, DATE, logged(first, fetch, lambda page: page == 21), **options)
+    assert read_ledger(spark, layout, DATE).count() == 8  # one wave of a range for each core
+    assert land_collection(spark, layout, DATE, logged(second, fetch), **options)["pages"] == 40
+    assert sorted(asked(second)) == list(range(17, 42))

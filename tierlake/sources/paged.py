@@ -221,8 +221,12 @@ def scan_options(spark, options):
 
 
 def page_ranges(spark, fetch, max_retries=3, backoff_sec=20, **options):
-    """``(first, last)`` of the page ranges that a scan with these options has, in order."""
+    """``(first, last)`` of the page ranges of a collection, in order, for scans of some at a time.
+
+    With ``max_rate`` the search for the end keeps it; the ranges are as many as without.
+    """
     given = {key: str(value) for key, value in scan_options(spark, options).items()}
+    given["slots"] = given.get("max_tasks", "10000")
     source = paged_source(fetch, "planned", max_retries, backoff_sec)(given)
     ranges = [(r.first, r.last) for r in source.reader(None).partitions()]
     return [(first, last) for first, last in ranges if first <= last]
