@@ -130,10 +130,11 @@ def calibrate(measured, labels, stratum="lang", id_column="doc_id", risk=RISK, d
     Level t has every rule at its t-th cutoff, and what counts is whether any of them rejects a
     document: so the limit holds for all rules together. In a stratum the levels are tested in
     order, lenient to strict, up to the first failure, which needs no correction. The strata
-    are corrected for by Tarone's form of Bonferroni (:func:`error_share`). Of the proven
-    levels the one is taken that rejects most labelled junk beyond the good documents it
-    rejects; equal ones go to the lenient side. A stratum without such a level rejects nothing
-    (null).
+    are corrected for by Tarone's form of Bonferroni (:func:`error_share`). ``level`` is the last
+    one proven, null if there is none. Rules that stay on its lenient side, or out, reject no
+    more documents than it does; so each rule takes, of its cutoffs up to that level, the one
+    that rejects most labelled junk beyond the good documents it rejects. Equal ones go to the
+    lenient side, and a rule without such a cutoff rejects nothing (null).
 
     Rejections are counted for all labelled documents in one aggregation; the tests
     run on the small table of counts, in tasks.
@@ -146,27 +147,28 @@ def calibrate(measured, labels, stratum="lang", id_column="doc_id", risk=RISK, d
     held = rows.join(labelled, id_column)
     levels = range(min(len(cutoffs[name]) for name in RULES))
 
-    def rejected(level, good):
-        hit = F.greatest(*[F.col(name) > cutoffs[name][level] for name in RULES])
-        return F.count_if(hit & (F.col("_good") == good))
+    def rejected(good, *rules):
+        return F.array(*[
+            F.count_if(F.greatest(*[F.col(name) > cutoffs[name][level] for name in [*rules, rules[0]]])
+                       & (F.col("_good") == good)) for level in levels])
 
     tallies = held.groupBy("stratum").agg(
-        F.count_if("_good").alias("good"),
-        F.array(*[rejected(level, True) for level in levels]).alias("false"),
-        F.array(*[rejected(level, False) for level in levels]).alias("junk"))
+        F.count_if("_good").alias("good"), rejected(True, *RULES).alias("false"),
+        *[F.struct(rejected(True, name).alias("false"), rejected(False, name).alias("junk")).alias(name) for name in RULES])
     # One number per stratum.
     sizes = tallies.agg(F.collect_list("good").alias("sizes"))
     tallies = tallies.join(F.broadcast(sizes), F.lit(True))
 
     def choose(batches):
         for table in batches:
-            chosen = [
-                proven(false, junk, good, risk, error_share(sizes, risk, delta))
-                for false, junk, good, sizes in zip(table["false"], table["junk"], table["good"], table["sizes"])]
+            found = [
+                proven(false, good, risk, error_share(sizes, risk, delta))
+                for false, good, sizes in zip(table["false"], table["good"], table["sizes"])]
             made = table[["stratum", "good"]].copy()
-            made["level"] = pd.array(chosen, "Int32")
+            made["level"] = pd.array([level if level >= 0 else None for level in found], "Int32")
             for name in RULES:
-                made[name] = [math.nan if level is None else cutoffs[name][level] for level in chosen]
+                best = [most_useful(counts["false"], counts["junk"], level) for counts, level in zip(table[name], found)]
+                made[name] = [math.nan if at is None else cutoffs[name][at] for at in best]
             yield made
 
     schema = "stratum string, good long, level int, " + ", ".join(f"{name} double" for name in RULES)
@@ -186,14 +188,20 @@ def error_share(sizes, risk, delta):
     return delta / max(able) if able else 0.0
 
 
-def proven(false, junk, good, risk, share):
-    """Of the levels before the first that cannot be proven, the most useful; none: None."""
-    best, most = None, 0
-    for level, (k, n) in enumerate(zip(map(int, false), map(int, junk))):
+def proven(false, good, risk, share):
+    """The last level before the first that cannot be proven; none: -1."""
+    for level, k in enumerate(map(int, false)):
         if not holds(k, int(good), risk, share):
-            break
-        if n - k > most:
-            best, most = level, n - k
+            return level - 1
+    return len(false) - 1
+
+
+def most_useful(false, junk, last):
+    """Of a rule's cutoffs up to level ``last``, the one with most junk beyond good; none: None."""
+    best, most = None, 0
+    for level in range(last + 1):
+        if int(junk[level]) - int(false[level]) > most:
+            best, most = level, int(junk[level]) - int(false[level])
     return best
 
 

@@ -79,13 +79,13 @@ metrics AS (
 tests(rule, turn, cutoff) AS (VALUES
 {TESTS_SQL}),
 judged AS (SELECT doc_id, min(quality) = 1 AS good FROM labels GROUP BY doc_id),
-above AS (
-  SELECT m.doc_id, lang, turn, bool_or(metric > cutoff) AS hit
-  FROM metrics m JOIN tests t ON m.rule = t.rule GROUP BY m.doc_id, lang, turn),
+hits AS (
+  SELECT m.doc_id, lang, m.rule, turn, cutoff, good, metric > cutoff AS hit
+  FROM metrics m JOIN judged USING (doc_id) JOIN tests t ON m.rule = t.rule),
 tallies AS (
-  SELECT lang, turn, count(*) FILTER (WHERE good) AS n, count(*) FILTER (WHERE good AND hit) AS k,
-         count(*) FILTER (WHERE NOT good AND hit) AS junk
-  FROM above JOIN judged USING (doc_id) GROUP BY lang, turn),
+  SELECT lang, turn, count(*) FILTER (WHERE good) AS n, count(*) FILTER (WHERE good AND hit) AS k
+  FROM (SELECT doc_id, lang, turn, good, bool_or(hit) AS hit FROM hits GROUP BY doc_id, lang, turn, good)
+  GROUP BY lang, turn),
 sizes AS (
   SELECT n, row_number() OVER (ORDER BY n DESC) AS place FROM tallies WHERE turn = 0),
 able AS (SELECT max(place) AS strata FROM sizes WHERE pow(1 - {quality.RISK}, n) <= {quality.DELTA} / place),
@@ -94,15 +94,21 @@ bounds AS (
     range(k + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1)
       + i * ln({quality.RISK}) + (n - i) * ln(1 - {quality.RISK})))) END AS p
   FROM tallies),
-chosen AS (
+proven AS (
   SELECT lang, turn
-  FROM (SELECT *, bool_and(p <= {quality.DELTA} / (SELECT strata FROM able)) OVER (PARTITION BY lang ORDER BY turn) AS proven
+  FROM (SELECT *, bool_and(p <= {quality.DELTA} / (SELECT strata FROM able)) OVER (PARTITION BY lang ORDER BY turn) AS ok
         FROM bounds)
-  WHERE proven AND junk > k
-  QUALIFY row_number() OVER (PARTITION BY lang ORDER BY junk - k DESC, turn) = 1),
+  WHERE ok),
+chosen AS (
+  SELECT h.lang, rule, cutoff
+  FROM hits h JOIN proven p ON h.turn = p.turn AND h.lang IS NOT DISTINCT FROM p.lang
+  GROUP BY h.lang, rule, h.turn, cutoff
+  HAVING count(*) FILTER (WHERE hit AND NOT good) > count(*) FILTER (WHERE hit AND good)
+  QUALIFY row_number() OVER (PARTITION BY h.lang, rule ORDER BY
+    count(*) FILTER (WHERE hit AND NOT good) - count(*) FILTER (WHERE hit AND good) DESC, h.turn) = 1),
 rejected AS (
-  SELECT DISTINCT a.doc_id FROM above a
-  JOIN chosen c ON a.turn = c.turn AND a.lang IS NOT DISTINCT FROM c.lang WHERE hit)
+  SELECT DISTINCT m.doc_id FROM metrics m
+  JOIN chosen c ON m.rule = c.rule AND m.lang IS NOT DISTINCT FROM c.lang WHERE metric > cutoff)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM rejected) AS kept
 FROM base""")
