@@ -2,7 +2,7 @@
 
 import math
 
-from pyspark.errors import PythonException
+from pyspark.errors import PySparkException, PythonException
 from pyspark.sql import functions as F
 
 from checks.inputs import (
@@ -34,7 +34,16 @@ from tierlake.layout import snapshot_path
 from tierlake.plans import gold, layer_counts, layer_schemas, run, silver
 from tierlake.schemas import COORDINATE_COLUMNS, COUNT_COLUMN, DATE_COLUMN, LOCATION_COLUMNS, SILVER_COLUMNS
 from tierlake.session import configure, use_local_scratch
-from tierlake.sinks import import_pages, land_collection, land_meta, land_pages, load_stats, write_gold, write_silver
+from tierlake.sinks import (
+    import_pages,
+    land_collection,
+    land_dated_pages,
+    land_meta,
+    land_pages,
+    load_stats,
+    write_gold,
+    write_silver,
+)
 from tierlake.sources import (
     latest_date,
     latest_date_frame,
@@ -497,6 +506,23 @@ def _(spark, sf_dir):
     return with_date_text(counted, "total_rows", "pages")
 
 
+@query("dated_replacement", """
+SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS ingestion_date, count(*) AS "rows", sum(event_id)::BIGINT AS event_id_sum
+FROM events WHERE day(ts) % 3 <> 0 GROUP BY 1""")
+def _(spark, sf_dir):
+    """A history loaded again: on every third day the collection is empty by now, and nothing of it stays."""
+    layout = new_layout(spark, "events")
+    pages = event_pages(spark, sf_dir, by_date=True)
+    land_dated_pages(pages, layout)
+    gone = F.day(F.col(DATE_COLUMN).cast("date")) % 3 == 0
+    land_dated_pages(pages.withColumn("payload", F.when(gone, "[]").otherwise(F.col("payload"))).where(
+        gone | (F.day(F.col(DATE_COLUMN).cast("date")) % 3 == 1)), layout)
+    records = read_bronze(spark, layout, schema=EVENT_SCHEMA, columns=["event_id"])
+    counts = records.groupBy(DATE_COLUMN).agg(
+        F.count("*").alias("rows"), F.sum("event_id").alias("event_id_sum"))
+    return with_date_text(counts, "rows", "event_id_sum")
+
+
 # --- stored silver and gold --------------------------------------------------
 
 
@@ -520,6 +546,20 @@ def _(spark, sf_dir):
     return with_date_text(stored.where(F.col("country") == COUNTRY), *SILVER_FRAME)
 
 
+@query("failed_rebuild", f"WITH {SILVER_SQL} SELECT {SILVER_LIST} FROM silver")
+def _(spark, sf_dir):
+    """A rebuild that fails in the middle of its write leaves the snapshot there was."""
+    layout = new_layout(spark, "entity")
+    clean = silver_frame(spark, sf_dir)
+    write_silver(clean, layout, DATE)
+    broken = F.when(F.xxhash64("id") % 50 == 0, F.raise_error(F.lit("a task fails"))).otherwise(F.col("name"))
+    try:
+        write_silver(clean.withColumn("name", broken), layout, DATE)
+    except PySparkException:
+        return read_silver(spark, layout, DATE).select(*SILVER_FRAME)
+    raise AssertionError("the rebuild did not fail")
+
+
 @query("gold_roundtrip", f"WITH {LAYERS_SQL} SELECT {GOLD_LIST} FROM gold")
 def _(spark, sf_dir):
     layout = new_layout(spark, "entity")
