@@ -64,6 +64,30 @@ def test_import_into_its_own_folder_is_refused(spark, layouts):
         import_pages(spark, layouts[0], layouts[0])
 
 
+def test_listing_many_folders_takes_few_tasks(spark, tmp_path):
+    """Each task that lists sends some 3 kB to the driver, whatever it finds."""
+    source, target = Layout(str(tmp_path / "loose"), "items"), Layout(str(tmp_path / "table"), "items")
+    for n in range(1, 301):
+        folder = tmp_path / "loose" / "bronze" / "items" / "ingestion_date=2025-01-01" / f"page={n}"
+        folder.mkdir(parents=True)
+        (folder / "part-0.txt").write_text(json.dumps([record(n)]))
+    context, key = spark.sparkContext, "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(key)
+    context.setJobGroup("listings", "listings")
+    try:
+        pages = read_pages(spark, source, "2025-01-01", loose=True, glob="part-*")
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    jobs = [context.statusTracker().getJobInfo(j) for j in context.statusTracker().getJobIdsForGroup("listings")]
+    tasks = [context.statusTracker().getStageInfo(s).numTasks for j in jobs for s in j.stageIds]
+    assert tasks and sum(tasks) <= 100
+    assert spark.conf.get(key) == before
+    assert import_pages(spark, source, target, glob="part-*") == ["2025-01-01"]
+    stored = read_pages(spark, target)
+    assert sorted(r["page"] for r in stored.collect()) == list(range(1, 301))
+    assert spark_rows(stored) == spark_rows(pages)
+
+
 def columns(df, *names):
     return [tuple(r[n] for n in names) for r in df.orderBy("ingestion_date", "position", "type").collect()]
 

@@ -107,12 +107,12 @@ def file_columns(spark, root, date=None, fmt="parquet"):
         rows = [
             (d, n, f.name, f.dataType.simpleString(), f.nullable, None)
             for d in dates
-            for n, f in enumerate(load(spark.read.format(fmt), snapshot_path(root, d)).schema, start=1)]
+            for n, f in enumerate(load(spark, spark.read.format(fmt), snapshot_path(root, d)).schema, start=1)]
         return spark.createDataFrame(rows, f"{DATE_COLUMN} date, {COLUMNS}, found long")
     reader = spark.read.format("binaryFile").schema(with_date_text(FILE)).option("basePath", root)
     reader = reader.option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", False)
     path = root if date is None else snapshot_path(root, date)
-    files = dated(load(reader, path), date).select("path", F.col(DATE_COLUMN).cast("string").alias(DATE_COLUMN))
+    files = dated(load(spark, reader, path), date).select("path", F.col(DATE_COLUMN).cast("string").alias(DATE_COLUMN))
     return (
         files.repartition(spark.sparkContext.defaultParallelism).mapInArrow(_footers, f"{DATE_COLUMN} string, {COLUMNS}")
         .groupBy(F.col(DATE_COLUMN).cast("date").alias(DATE_COLUMN), "position", "column", "type", "nullable")

@@ -63,7 +63,7 @@ def read_quarantine(spark, layout, date=None, loose=False, glob=LOOSE_GLOB):
 def loose_size(spark, layout, date, glob=LOOSE_GLOB):
     """Number and bytes of a snapshot's loose page files, from the file listing."""
     reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
-    files = load(reader, snapshot_path(layout.bronze, date))
+    files = load(spark, reader, snapshot_path(layout.bronze, date))
     size = F.coalesce(F.sum("length"), F.lit(0))
     with skimming_scans(spark):
         return files.agg(F.count("*").alias("pages"), size.alias("bytes")).first()

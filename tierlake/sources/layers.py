@@ -9,17 +9,18 @@ from pyspark.sql import types as T
 
 from tierlake.layout import as_date, snapshot_path
 from tierlake.schemas import DATE_COLUMN, GOLD, SILVER
-from tierlake.session import skimming_scans
+from tierlake.session import bounded_listings, skimming_scans
 
 log = logging.getLogger(__name__)
 
 ISO_DATE = "^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 
 
-def load(reader, path):
-    """``reader.load(path)``, with a missing path as ``FileNotFoundError``."""
+def load(spark, reader, path):
+    """``reader.load(path)``, with a missing path as ``FileNotFoundError``; it lists the files."""
     try:
-        return reader.load(path)
+        with bounded_listings(spark):
+            return reader.load(path)
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "DELTA_MISSING_DELTA_TABLE", "DELTA_TABLE_NOT_FOUND"):
             raise FileNotFoundError(f"no snapshot at {path}") from error
@@ -59,11 +60,11 @@ def read_layer(spark, root, schema, date=None, fmt="parquet"):
     if fmt == "delta":
         if date is None:
             raise ValueError("a delta layer is read one date at a time")
-        table = load(spark.read.format(fmt), snapshot_path(root, date))
+        table = load(spark, spark.read.format(fmt), snapshot_path(root, date))
         return table.withColumn(DATE_COLUMN, F.lit(as_date(date))).select(*columns)
     reader = spark.read.format(fmt).schema(with_date_text(schema)).option("basePath", root)
     path = root if date is None else snapshot_path(root, date)
-    return dated(load(reader, path), date).select(*columns)
+    return dated(load(spark, reader, path), date).select(*columns)
 
 
 def read_silver(spark, layout, date=None):
@@ -102,7 +103,7 @@ def latest_date(spark, root, fmt="parquet"):
         reader = spark.read.format(fmt)
         if fmt != "delta":
             reader = reader.schema(T.StructType([]))
-        return not load(reader, snapshot_path(root, date)).isEmpty()
+        return not load(spark, reader, snapshot_path(root, date)).isEmpty()
 
     return _newest(spark, root, has_rows)
 
@@ -121,7 +122,7 @@ def latest_loose_date(spark, root, glob="page=*.json"):
 
     def has_pages(date):
         reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
-        files = load(reader, snapshot_path(root, date)).where("length > 0")
+        files = load(spark, reader, snapshot_path(root, date)).where("length > 0")
         return not files.select("length").isEmpty()
 
     return _newest(spark, root, has_pages)

@@ -29,8 +29,8 @@ def loose_texts(spark, layout, date, glob):
     )
     if date is None or isinstance(date, (list, tuple)):
         paths = layout.bronze if date is None else [snapshot_path(layout.bronze, d) for d in date]
-        files = dated(load(reader, paths))
+        files = dated(load(spark, reader, paths))
     else:
-        files = dated(load(reader, snapshot_path(layout.bronze, date)), date)
+        files = dated(load(spark, reader, snapshot_path(layout.bronze, date)), date)
     texts = with_text(files.where("length > 0").select("path", "content", DATE_COLUMN))
     return texts.select("path", "payload", "sound", DATE_COLUMN)
